@@ -7,12 +7,19 @@ tables. The occupancy calendar spans the years the generated data covers
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgepole.operators import curate, metrics
-from lodgepole.sources.domain import raw_table
+from lodgepole.functions.dates import parse_date
+from lodgepole.operators import clean, curate, merge, metrics, profile
+from lodgepole.plans import layers, pipeline
+from lodgepole.schemas import CURATED_BOOKINGS, RAW
+from lodgepole.session import lake_root
+from lodgepole.sources.domain import SOURCES, raw_table, raw_tables
+from lodgepole.sources.readers import read_csv
+from lodgepole.sources.updates import listing_price_updates
 
 SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
@@ -34,6 +41,80 @@ def _views(spark: SparkSession, sf: str) -> DataFrame:
     return curate.curated_user_viewing(raw_table(spark, sf, "user_viewing"))
 
 
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder under the shared lake root for one run of a sink query."""
+    return f"{lake_root(spark)}/runs/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def _fresh_table(spark: SparkSession, layer: str, table: str, schema, root: str) -> str:
+    name = f"{layer}.{table}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{root}/{table}'")
+    return name
+
+
+def _cleaned_tables(spark: SparkSession, sf: str, dedupe: bool) -> dict[str, DataFrame]:
+    step = clean.clean if dedupe else clean.clean_without_dedupe
+    return {t: step(raw_table(spark, sf, t), t) for t in SOURCES}
+
+
+def _upsert_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.upsert(
+        raw_table(spark, sf, "apartments"),
+        listing_price_updates(spark, sf),
+        keys=["id"],
+        order_by=[parse_date("last_modified_timestamp")],
+    )
+
+
+def _append_views_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    views = raw_table(spark, sf, "user_viewing")
+    return curate.curated_user_viewing(merge.append(views, views))
+
+
+def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark, "csv") + "/bookings"
+    layers.write_table(raw_table(spark, sf, "bookings"), path, fmt="csv")
+    return read_csv(spark, path, RAW["bookings"])
+
+
+def _catalog_register(spark: SparkSession, sf: str) -> DataFrame:
+    root = _scratch(spark, "catalog")
+    pipeline.extract(spark, {"bookings": raw_table(spark, sf, "bookings")}, root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw_layer")
+    spark.sql("DROP TABLE IF EXISTS raw_layer.bookings")
+    return layers.register_parquet(
+        spark, "raw_layer", "bookings", layers.layer_path(root, "raw_layer", "bookings")
+    )
+
+
+def _layer_load(spark: SparkSession, sf: str, modes: tuple[str, ...]) -> DataFrame:
+    root = _scratch(spark, "load")
+    name = _fresh_table(spark, "curated_layer", "curated_bookings", CURATED_BOOKINGS, root)
+    # Stage as Parquet first, then bulk-load the staged files.
+    staged_path = layers.layer_path(root, "staged", "curated_bookings")
+    layers.write_layer_table(_bookings(spark, sf), root, "staged", "curated_bookings")
+    staged = spark.read.parquet(staged_path)
+    layers.ensure_not_empty(staged, staged_path)
+    for mode in modes:
+        layers.load_into(spark, staged, name, mode=mode)
+    return spark.table(name)
+
+
+def _layout_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    root = _scratch(spark, "layout")
+    layers.write_layer_table(_bookings(spark, sf), root, "curated_layer", "curated_bookings")
+    return spark.read.parquet(layers.layer_path(root, "curated_layer", "curated_bookings"))
+
+
+def _pipeline_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.run_batch(
+        spark, raw_tables(spark, sf), _scratch(spark, "batch"), SPINE_START, SPINE_END
+    )
+
+
 QUERIES: dict[str, Query] = {
     # curated layer
     "curated_apartments": _listings,
@@ -59,4 +140,19 @@ QUERIES: dict[str, Query] = {
     "average_booking_duration": lambda s, sf: metrics.average_booking_duration(_bookings(s, sf)),
     "repeat_customer_rate": lambda s, sf: metrics.repeat_customer_rate(_bookings(s, sf)),
     "repeat_rate_30d": lambda s, sf: metrics.repeat_rate_30d(_bookings(s, sf)),
+    # profiling
+    "duplicate_profile": lambda s, sf: profile.duplicate_profile(_cleaned_tables(s, sf, False)),
+    "null_profile": lambda s, sf: profile.null_profile(_cleaned_tables(s, sf, True)),
+    "summary_profile": lambda s, sf: profile.summary_profile(raw_tables(s, sf)),
+    # ingest: NaN normalisation, keyed upsert, keyless append
+    "nan_to_null_attributes": lambda s, sf: raw_table(s, sf, "apartments_attributes"),
+    "upsert_listings": _upsert_listings,
+    "append_views_dedup": _append_views_dedup,
+    # sources, sinks, catalog, layer loads
+    "csv_roundtrip": _csv_roundtrip,
+    "catalog_register": _catalog_register,
+    "layer_load_overwrite": lambda s, sf: _layer_load(s, sf, ("overwrite",)),
+    "layer_load_append": lambda s, sf: _layer_load(s, sf, ("overwrite", "append")),
+    "layout_sorted": _layout_sorted,
+    "pipeline_reconcile": _pipeline_reconcile,
 }

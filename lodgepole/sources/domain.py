@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lodgepole.functions.numeric import nan_to_null
 from lodgepole.schemas import DATE_FORMAT, RAW
-from lodgepole.sources.readers import read_parquet_table
+from lodgepole.sources.readers import read_parquet_table, spread
 
 # Fixed values of the mapping.
 LISTING_EPOCH = "1995-01-01"
@@ -46,7 +46,7 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_parquet_table(spark, sf_dir, "part")
+    part = spread(read_parquet_table(spark, sf_dir, "part"), "p_partkey")
     created = F.date_add(
         F.to_date(F.lit(LISTING_EPOCH)), (F.col("p_partkey") % LISTING_DAY_SPREAD).cast("int")
     )
@@ -66,7 +66,7 @@ def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_parquet_table(spark, sf_dir, "part")
+    part = spread(read_parquet_table(spark, sf_dir, "part"), "p_partkey")
     # nation (25 rows) and region (5 rows) are fixed-size dimensions.
     places = read_parquet_table(spark, sf_dir, "nation").join(
         read_parquet_table(spark, sf_dir, "region"),
@@ -99,8 +99,8 @@ def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_parquet_table(spark, sf_dir, "lineitem")
-    orders = read_parquet_table(spark, sf_dir, "orders")
+    lineitem = spread(read_parquet_table(spark, sf_dir, "lineitem"), "l_orderkey")
+    orders = spread(read_parquet_table(spark, sf_dir, "orders"), "o_orderkey")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     ship = F.to_date("l_shipdate")
     order_date = F.to_date("o_orderdate")
@@ -128,7 +128,7 @@ def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_user_viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_parquet_table(spark, sf_dir, "events")
+    events = spread(read_parquet_table(spark, sf_dir, "events"), "event_id")
     df = events.select(
         F.col("user_id"),
         F.col("event_id").alias("apartment_id"),

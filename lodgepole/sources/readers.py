@@ -23,6 +23,23 @@ def read_parquet_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a scan on ``key`` when it has fewer input splits than
+    the cluster has task slots.
+
+    A Parquet file written as one row group cannot be split, so every
+    operator fused behind its scan (projections, date formatting, partial
+    aggregates) would run in a single task. On a large input the scan
+    already has thousands of splits and this is a no-op, so no extra
+    shuffle is added at scale. Hashing on a key (not round-robin) keeps the
+    distribution deterministic when a lost task is recomputed.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,

@@ -20,8 +20,12 @@ SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
 
 
+def spark_round(expr: str, digits: int = 2) -> str:
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+
+
 def spark_round2(expr: str) -> str:
-    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), 2) AS DOUBLE)"
+    return spark_round(expr, 2)
 
 
 def parse(col: str, fmt: str = "%d/%m/%Y") -> str:
@@ -96,25 +100,29 @@ raw_user_viewing AS (SELECT * FROM src_user_viewing)
 """
 
 CLEAN_CTES = f"""
-clean_apartments AS (
-  SELECT DISTINCT id, title, source, price, 'USD' AS currency,
+pre_apartments AS (
+  SELECT id, title, source, price, 'USD' AS currency,
          {parse('listing_created_on')} AS listing_created_on, is_active,
          {parse('last_modified_timestamp')} AS last_modified_timestamp
   FROM raw_apartments
 ),
-clean_apartments_attributes AS (SELECT DISTINCT * FROM raw_apartments_attributes),
-clean_bookings AS (
-  SELECT DISTINCT booking_id, user_id, apartment_id,
+pre_apartments_attributes AS (SELECT * FROM raw_apartments_attributes),
+pre_bookings AS (
+  SELECT booking_id, user_id, apartment_id,
          {parse('booking_date')} AS booking_date,
          {parse('checkin_date')} AS checkin_date,
          {parse('checkout_date')} AS checkout_date,
          total_price, 'USD' AS currency, booking_status
   FROM raw_bookings
 ),
-clean_user_viewing AS (
-  SELECT DISTINCT user_id, apartment_id, {parse('viewed_at')} AS viewed_at, is_wishlisted, call_to_action
+pre_user_viewing AS (
+  SELECT user_id, apartment_id, {parse('viewed_at')} AS viewed_at, is_wishlisted, call_to_action
   FROM raw_user_viewing
 ),
+clean_apartments AS (SELECT DISTINCT * FROM pre_apartments),
+clean_apartments_attributes AS (SELECT DISTINCT * FROM pre_apartments_attributes),
+clean_bookings AS (SELECT DISTINCT * FROM pre_bookings),
+clean_user_viewing AS (SELECT DISTINCT * FROM pre_user_viewing),
 curated_apartments AS (
   SELECT a.id, a.title, a.source, a.price, a.currency, a.listing_created_on, a.is_active,
          a.last_modified_timestamp, b.category, b.body, b.amenities, b.bathrooms, b.bedrooms,
@@ -304,3 +312,124 @@ ORACLE = {
     "curated_user_viewing": CURATED_USER_VIEWING,
     "active_listing_calendar": ACTIVE_LISTING_CALENDAR,
 }
+
+
+# --------------------------------------------------------------------------
+# Profiling, ingest, sinks and loads
+# --------------------------------------------------------------------------
+from lodgepole.schemas import RAW, RAW_DATE_COLUMNS  # noqa: E402  (column lists only)
+
+NUMERIC_TYPES = ("int", "bigint", "double", "float", "smallint", "tinyint")
+
+
+def _duplicate_profile() -> str:
+    parts = [
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS total_rows, "
+        f"CAST((SELECT count(*) FROM clean_{t}) AS BIGINT) AS distinct_rows, "
+        f"CAST(count(*) - (SELECT count(*) FROM clean_{t}) AS BIGINT) AS duplicate_rows FROM pre_{t}"
+        for t in RAW
+    ]
+    return _with("", "\nUNION ALL\n".join(parts))
+
+
+def _null_profile() -> str:
+    parts = []
+    for t, schema in RAW.items():
+        for i, f in enumerate(schema.fields):
+            dtype = "date" if f.name in RAW_DATE_COLUMNS[t] else f.dataType.simpleString()
+            parts.append(
+                f"SELECT '{t}' AS table_name, {i} AS ordinal, '{f.name}' AS column_name, "
+                f"'{dtype}' AS data_type, CAST(count(*) - count(\"{f.name}\") AS BIGINT) AS null_count "
+                f"FROM clean_{t}"
+            )
+    return _with("", "\nUNION ALL\n".join(parts))
+
+
+def _summary_profile() -> str:
+    parts = []
+    for t, schema in RAW.items():
+        numeric = [f for f in schema.fields if f.dataType.simpleString() in NUMERIC_TYPES]
+        for i, f in enumerate(numeric):
+            c = f'CAST("{f.name}" AS DOUBLE)'
+            parts.append(
+                f"SELECT '{t}' AS table_name, {i} AS ordinal, '{f.name}' AS column_name, "
+                f"CAST(count({c}) AS BIGINT) AS count, {spark_round(f'avg({c})', 6)} AS mean, "
+                f"{spark_round(f'stddev_samp({c})', 6)} AS stddev, min({c}) AS min, max({c}) AS max "
+                f"FROM raw_{t}"
+            )
+    return _with("", "\nUNION ALL\n".join(parts))
+
+
+_LISTING_COLS = [f.name for f in RAW["apartments"].fields]
+UPSERT_LISTINGS = _with(
+    f"""
+updates AS (
+  SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS title, p_brand AS source,
+         CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS price,
+         'EUR' AS currency,
+         strftime(DATE '1995-01-01' + CAST(p_partkey % 2000 AS INTEGER), '%d/%m/%Y') AS listing_created_on,
+         true AS is_active,
+         strftime(CAST(l_shipdate AS DATE), '%d/%m/%Y') AS last_modified_timestamp
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+merged AS (
+  SELECT *, 0 AS src FROM raw_apartments
+  UNION ALL
+  SELECT *, 1 AS src FROM updates
+),
+ranked AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY id
+      ORDER BY src DESC, {parse('last_modified_timestamp')} DESC NULLS LAST,
+               {', '.join(f'{c} DESC NULLS LAST' for c in _LISTING_COLS if c != 'id')}) AS rn
+  FROM merged
+)""",
+    f"SELECT {', '.join(_LISTING_COLS)} FROM ranked WHERE rn = 1",
+)
+
+
+def _count(sql: str) -> str:
+    return f"(SELECT CAST(count(*) AS BIGINT) FROM ({sql}) q)"
+
+
+def _pipeline_reconcile() -> str:
+    rows = []
+    for t in RAW:
+        rows.append(("raw_layer", t, _count(_with("", f"SELECT * FROM raw_{t}"))))
+    for t in ("curated_apartments", "curated_bookings", "curated_user_viewing"):
+        rows.append(("curated_layer", t, _count(_with("", f"SELECT * FROM {t}"))))
+    for t in (
+        "average_listing_price",
+        "occupancy_rate",
+        "popular_locations",
+        "top_performing_listings",
+        "user_weekly_bookings",
+        "average_booking_duration",
+        "repeat_customer_rate",
+    ):
+        rows.append(("presentation_layer", t, _count(ORACLE[t])))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, true AS present, "
+        f"{n} AS source_rows, {n} AS target_rows"
+        for layer, t, n in rows
+    )
+
+
+ORACLE.update(
+    {
+        "duplicate_profile": _duplicate_profile(),
+        "null_profile": _null_profile(),
+        "summary_profile": _summary_profile(),
+        "nan_to_null_attributes": _with("", "SELECT * FROM raw_apartments_attributes"),
+        "upsert_listings": UPSERT_LISTINGS,
+        "append_views_dedup": CURATED_USER_VIEWING,
+        "csv_roundtrip": _with("", "SELECT * FROM raw_bookings"),
+        "catalog_register": _with("", "SELECT * FROM raw_bookings"),
+        "layer_load_overwrite": CURATED_BOOKINGS,
+        "layer_load_append": _with(
+            "", "SELECT * FROM curated_bookings UNION ALL SELECT * FROM curated_bookings"
+        ),
+        "layout_sorted": CURATED_BOOKINGS,
+        "pipeline_reconcile": _pipeline_reconcile(),
+    }
+)
