@@ -20,6 +20,7 @@ from lodgepole.session import lake_root
 from lodgepole.sources.domain import SOURCES, raw_table, raw_tables
 from lodgepole.sources.readers import read_csv
 from lodgepole.sources.updates import listing_price_updates
+from lodgepole.streaming.ingest import run_ingest
 
 SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
@@ -109,6 +110,23 @@ def _layout_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(layers.layer_path(root, "curated_layer", "curated_bookings"))
 
 
+def _stream_upsert_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw bookings land as several files (all rows of a key in one file)
+    and are merged micro-batch by micro-batch into a versioned table."""
+    root = _scratch(spark, "stream")
+    landing = f"{root}/landing/bookings"
+    raw_bookings = raw_table(spark, sf, "bookings")
+    layers.write_table(raw_bookings.repartition(4, "booking_id"), landing)
+    return run_ingest(
+        spark,
+        "bookings",
+        landing,
+        f"{root}/raw_layer/bookings",
+        f"{root}/_checkpoints/bookings",
+        max_files_per_trigger=1,
+    )
+
+
 def _pipeline_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.run_batch(
         spark, raw_tables(spark, sf), _scratch(spark, "batch"), SPINE_START, SPINE_END
@@ -155,4 +173,6 @@ QUERIES: dict[str, Query] = {
     "layer_load_append": lambda s, sf: _layer_load(s, sf, ("overwrite", "append")),
     "layout_sorted": _layout_sorted,
     "pipeline_reconcile": _pipeline_reconcile,
+    # streaming: micro-batch keyed upsert into a versioned raw table
+    "stream_upsert_bookings": _stream_upsert_bookings,
 }

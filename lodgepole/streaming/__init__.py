@@ -1,0 +1,3 @@
+from lodgepole.streaming.ingest import current_version, run_ingest, start_ingest
+
+__all__ = ["current_version", "run_ingest", "start_ingest"]

@@ -415,8 +415,21 @@ def _pipeline_reconcile() -> str:
     )
 
 
+_BOOKING_COLS = [f.name for f in RAW["bookings"].fields]
+STREAM_UPSERT_BOOKINGS = _with(
+    f"""
+ranked AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY booking_id
+      ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in _BOOKING_COLS if c != 'booking_id')}) AS rn
+  FROM raw_bookings
+)""",
+    f"SELECT {', '.join(_BOOKING_COLS)} FROM ranked WHERE rn = 1",
+)
+
 ORACLE.update(
     {
+        "stream_upsert_bookings": STREAM_UPSERT_BOOKINGS,
         "duplicate_profile": _duplicate_profile(),
         "null_profile": _null_profile(),
         "summary_profile": _summary_profile(),
