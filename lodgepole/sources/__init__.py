@@ -1,6 +1,7 @@
 from lodgepole.sources.domain import raw_table, raw_tables
 from lodgepole.sources.readers import (
     jdbc_options,
+    jdbc_sources,
     read_catalog_table,
     read_csv,
     read_jdbc,
@@ -10,6 +11,7 @@ from lodgepole.sources.readers import (
 
 __all__ = [
     "jdbc_options",
+    "jdbc_sources",
     "raw_table",
     "raw_tables",
     "read_catalog_table",

@@ -100,7 +100,9 @@ def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spread(read_parquet_table(spark, sf_dir, "lineitem"), "l_orderkey")
-    orders = spread(read_parquet_table(spark, sf_dir, "orders"), "o_orderkey")
+    # orders is not spread: below the broadcast threshold it is broadcast
+    # whole, above it the sort-merge join shuffles it by o_orderkey anyway.
+    orders = read_parquet_table(spark, sf_dir, "orders")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     ship = F.to_date("l_shipdate")
     order_date = F.to_date("o_orderdate")

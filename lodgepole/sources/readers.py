@@ -131,6 +131,29 @@ def read_jdbc_partitioned(
     )
 
 
+def jdbc_sources(
+    spark: SparkSession,
+    url: str,
+    tables: str | list[str],
+    partition_keys: dict[str, str] | None = None,
+    num_partitions: int = 8,
+    **kwargs,
+) -> dict[str, DataFrame]:
+    """Lazy readers for several tables of one database (a comma-separated
+    list is accepted). Tables with a key in ``partition_keys`` are read in
+    parallel ranges; the others in one query. Hand the result to
+    :func:`lodgepole.plans.pipeline.extract` to stage them as Parquet."""
+    names = [t.strip() for t in (tables.split(",") if isinstance(tables, str) else tables) if t.strip()]
+    keys = partition_keys or {}
+    out = {}
+    for name in names:
+        if name in keys:
+            out[name] = read_jdbc_partitioned(spark, url, name, keys[name], num_partitions, **kwargs)
+        else:
+            out[name] = read_jdbc(spark, url=url, table=name, **kwargs)
+    return out
+
+
 def read_catalog_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     """A table registered in the session catalog, by database and name."""
     return spark.table(f"{database}.{table}")

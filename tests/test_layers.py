@@ -80,3 +80,13 @@ def test_jdbc_options_partitioned():
     assert opts["partitionColumn"] == "booking_id" and opts["numPartitions"] == "4"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_schema_profile_and_describe(spark, raw):
+    from lodgepole.operators import profile
+
+    df = raw("bookings", booking(1), booking(2, total_price=300.0))
+    sp = profile.schema_profile(spark, {"bookings": df}).collect()
+    assert [(r.column_name, r.data_type) for r in sp][:2] == [("booking_id", "bigint"), ("user_id", "bigint")]
+    d = {r.summary: r.total_price for r in profile.describe(df).collect()}
+    assert d["count"] == "2" and float(d["mean"]) == 200.0
