@@ -1,5 +1,7 @@
 """Physical-plan checks: the optimisations the design relies on are present."""
 
+import contextlib
+import io
 import os
 
 import pytest
@@ -16,9 +18,24 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
-def _plan(df) -> str:
+def _explain(df, extended: bool = False) -> str:
+    """Text of ``df.explain()`` (physical plan; with ``extended`` also the
+    optimized logical plan)."""
     df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(extended=extended)
+    return buf.getvalue()
+
+
+def _plan(df) -> str:
+    return _explain(df)
+
+
+def _optimized(df) -> str:
+    text = _explain(df, extended=True)
+    start = text.index("== Optimized Logical Plan ==")
+    return text[start : text.index("== Physical Plan ==")]
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +46,7 @@ def curated(spark):
 def test_topk_uses_partial_window_group_limit(curated):
     b, l = curated["curated_bookings"], curated["curated_apartments"]
     for df in (metrics.popular_locations(b, l), metrics.top_performing_listings(b, l)):
-        plan = df._jdf.queryExecution().sparkPlan().toString()
+        plan = _plan(df)
         assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
@@ -44,7 +61,7 @@ def test_occupancy_has_no_listing_sized_cross_join(spark, curated):
     df = metrics.occupancy_rate(
         spark, curated["curated_apartments"], curated["curated_bookings"], "1995-01-01", "2001-12-31"
     )
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    plan = _optimized(df)
     # the only cross join is spine x one aggregated row
     assert plan.count("Join Cross") == 1
     assert "Aggregate [count(1) AS active_listings" in plan
@@ -59,13 +76,13 @@ def test_upsert_cuts_hot_keys_before_the_shuffle(spark):
         ["id"],
         [parse_date("last_modified_timestamp")],
     )
-    plan = df._jdf.queryExecution().sparkPlan().toString()
+    plan = _plan(df)
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_metrics_join_preaggregated_bookings(curated):
     df = metrics.popular_locations(curated["curated_bookings"], curated["curated_apartments"])
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    plan = _optimized(df)
     join_at = plan.index("Join Inner")
     # bookings are counted per (year, week, listing) below the join
     below = plan[join_at:]
