@@ -265,7 +265,9 @@ def user_weekly_bookings(bookings: DataFrame) -> DataFrame:
             "user_id",
             F.col("total_bookings").cast("long"),
         )
-        .orderBy("year", "week", F.col("total_bookings").desc())
+        # user_id makes the sort key unique: range partitioning can then split
+        # a week in which most users share the same booking count.
+        .orderBy("year", "week", F.col("total_bookings").desc(), F.col("user_id").asc_nulls_last())
     )
 
 

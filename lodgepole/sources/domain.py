@@ -67,12 +67,13 @@ def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spread(read_parquet_table(spark, sf_dir, "part"), "p_partkey")
-    # nation (25 rows) and region (5 rows) are fixed-size dimensions.
+    # nation and region are small dimensions; the planner broadcasts them
+    # after checking their size against the broadcast threshold.
     places = read_parquet_table(spark, sf_dir, "nation").join(
         read_parquet_table(spark, sf_dir, "region"),
         F.col("n_regionkey") == F.col("r_regionkey"),
     )
-    joined = part.join(F.broadcast(places), (F.col("p_partkey") % 25) == F.col("n_nationkey"))
+    joined = part.join(places, (F.col("p_partkey") % 25) == F.col("n_nationkey"))
     size = F.col("p_size")
     df = joined.select(
         F.col("p_partkey").alias("id"),
