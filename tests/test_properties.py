@@ -1,0 +1,74 @@
+"""Property tests against plain-Python models on small random inputs."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import booking, listing
+from lodgepole.functions.dates import parse_date
+from lodgepole.operators import curate, metrics
+from lodgepole.operators.merge import upsert
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+listing_rows = st.lists(
+    st.tuples(st.integers(0, 4), st.integers(1, 9), st.integers(1, 28)), min_size=0, max_size=8
+)
+
+
+@SETTINGS
+@given(target=listing_rows, batch=listing_rows)
+def test_upsert_matches_model(raw, target, batch):
+    def rows(spec):
+        return [
+            listing(i, price=float(p), last_modified_timestamp=f"{d:02d}/03/2020") for i, p, d in spec
+        ]
+
+    t = raw("apartments", *rows(target)) if target else raw("apartments", listing(0)).limit(0)
+    b = raw("apartments", *rows(batch)) if batch else raw("apartments", listing(0)).limit(0)
+    got = {r.id: (r.price, r.last_modified_timestamp) for r in upsert(
+        t, b, ["id"], [parse_date("last_modified_timestamp")]).collect()}
+
+    # model: batch beats target; within a side the latest date, then the highest price
+    model: dict[int, tuple] = {}
+    for side, spec in ((0, target), (1, batch)):
+        for i, p, d in spec:
+            cand = (side, d, float(p))
+            if i not in model or cand > model[i]:
+                model[i] = cand
+    assert got == {i: (p, f"{d:02d}/03/2020") for i, (_, d, p) in model.items()}
+
+
+booking_rows = st.lists(
+    st.tuples(
+        st.integers(0, 60),  # check-in day offset from 2020-01-01
+        st.integers(-3, 10),  # nights (signed)
+        st.sampled_from(["confirmed", "pending"]),
+    ),
+    min_size=1,
+    max_size=10,
+)
+
+
+@SETTINGS
+@given(spec=booking_rows)
+def test_occupancy_totals_match_model(spark, raw, spec):
+    base = dt.date(2020, 1, 1)
+    rows = []
+    for k, (off, nights, status) in enumerate(spec):
+        ci = base + dt.timedelta(days=off)
+        co = ci + dt.timedelta(days=nights)
+        rows.append(
+            booking(k, checkin_date=ci.strftime("%d/%m/%Y"), checkout_date=co.strftime("%d/%m/%Y"),
+                    booking_status=status)
+        )
+    listings = curate.curated_apartments(
+        raw("apartments", listing(1)), raw("apartments_attributes", dict(id=1, cityname="c"))
+    )
+    bookings = curate.curated_bookings(raw("bookings", *rows))
+    out = metrics.occupancy_rate(spark, listings, bookings, "2020-01-01", "2020-02-29").collect()
+    confirmed = [(off, n) for off, n, s in spec if s == "confirmed" and off < 60]
+    assert sum(r.total_booked_nights for r in out) == sum(n for _, n in confirmed)
+    assert sum(r.total_bookings for r in out) == len(confirmed)
+    assert [r.month for r in out] == [1, 2]
