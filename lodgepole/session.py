@@ -75,16 +75,22 @@ def lake_root(spark: SparkSession) -> str:
     as the checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = None
+    try:
+        context = spark.sparkContext
+    except Exception:  # Spark Connect: only the session configuration is visible
+        pass
+    if not root and context is not None:
+        root = context.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    key = id(spark.sparkContext)
+    key = id(context) if context is not None else id(spark)
     if key not in _LOCAL_ROOTS:
         # Unset (tests / local checks only): use a private folder and make it
         # the checkpoint directory so checkpoint() works the same way.
         local = tempfile.mkdtemp(prefix="lodgepole-")
-        spark.sparkContext.setCheckpointDir(os.path.join(local, "_checkpoints"))
+        if context is not None:
+            context.setCheckpointDir(os.path.join(local, "_checkpoints"))
         _LOCAL_ROOTS[key] = local
     return _LOCAL_ROOTS[key]
 

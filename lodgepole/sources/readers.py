@@ -34,8 +34,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     shuffle is added at scale. Hashing on a key (not round-robin) keeps the
     distribution deterministic when a lost task is recomputed.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, key)
 
