@@ -12,6 +12,9 @@ Everything here is plain Spark configuration:
   Spark falls back to a sort-merge join.
 * ANSI mode is left on (Spark 4 default); the code uses ``try_*`` functions
   where the reference relied on NULL-on-error behaviour.
+* PySpark's per-call capture of the Python call site (used only to decorate
+  error messages) is off: it costs several extra driver→JVM round trips for
+  every column function, which dominates plan construction of wide plans.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -39,6 +39,26 @@ SOURCE_CURRENCY = "EUR"
 ORDER_STATUS_TO_BOOKING_STATUS = {"F": "confirmed", "O": "pending", "P": "cancelled"}
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 
+# Declared schemas of the generated input tables (read without inference).
+INPUT_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+    "p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
+def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One generated input table, read with its declared schema."""
+    return read_parquet_table(spark, sf_dir, name, INPUT_SCHEMAS[name])
+
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
     schema = RAW[table]
@@ -46,7 +66,7 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spread(read_parquet_table(spark, sf_dir, "part"), "p_partkey")
+    part = spread(read_input(spark, sf_dir, "part"), "p_partkey")
     created = F.date_add(
         F.to_date(F.lit(LISTING_EPOCH)), (F.col("p_partkey") % LISTING_DAY_SPREAD).cast("int")
     )
@@ -66,11 +86,11 @@ def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spread(read_parquet_table(spark, sf_dir, "part"), "p_partkey")
+    part = spread(read_input(spark, sf_dir, "part"), "p_partkey")
     # nation and region are small dimensions; the planner broadcasts them
     # after checking their size against the broadcast threshold.
-    places = read_parquet_table(spark, sf_dir, "nation").join(
-        read_parquet_table(spark, sf_dir, "region"),
+    places = read_input(spark, sf_dir, "nation").join(
+        read_input(spark, sf_dir, "region"),
         F.col("n_regionkey") == F.col("r_regionkey"),
     )
     joined = part.join(places, (F.col("p_partkey") % 25) == F.col("n_nationkey"))
@@ -100,10 +120,10 @@ def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(read_parquet_table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = spread(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
     # orders is not spread: below the broadcast threshold it is broadcast
     # whole, above it the sort-merge join shuffles it by o_orderkey anyway.
-    orders = read_parquet_table(spark, sf_dir, "orders")
+    orders = read_input(spark, sf_dir, "orders")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     ship = F.to_date("l_shipdate")
     order_date = F.to_date("o_orderdate")
@@ -131,7 +151,7 @@ def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_user_viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(read_parquet_table(spark, sf_dir, "events"), "event_id")
+    events = spread(read_input(spark, sf_dir, "events"), "event_id")
     df = events.select(
         F.col("user_id"),
         F.col("event_id").alias("apartment_id"),

@@ -15,12 +15,20 @@ from pyspark.sql import types as T
 from lodgepole.schemas import RAW
 
 
-def read_parquet_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``{root}/{name}.parquet`` (a file or a folder of part files)."""
+def read_parquet_table(
+    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """``{root}/{name}.parquet`` (a file or a folder of part files).
+
+    With a declared ``schema`` no job is run to infer it from the file
+    footers; columns are still matched by name, so the scan reads only the
+    columns a plan uses.
+    """
     path = os.path.join(root, f"{name}.parquet")
     if not os.path.exists(path) and "://" not in root:
         path = os.path.join(root, name)
-    return spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

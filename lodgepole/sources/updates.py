@@ -13,13 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgepole.schemas import DATE_FORMAT, RAW
-from lodgepole.sources.domain import LISTING_DAY_SPREAD, LISTING_EPOCH, SOURCE_CURRENCY
-from lodgepole.sources.readers import read_parquet_table, spread
+from lodgepole.sources.domain import (
+    LISTING_DAY_SPREAD,
+    LISTING_EPOCH,
+    SOURCE_CURRENCY,
+    read_input,
+)
+from lodgepole.sources.readers import spread
 
 
 def listing_price_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(read_parquet_table(spark, sf_dir, "lineitem"), "l_orderkey")
-    part = read_parquet_table(spark, sf_dir, "part")
+    lineitem = spread(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
+    part = read_input(spark, sf_dir, "part")
     created = F.date_add(
         F.to_date(F.lit(LISTING_EPOCH)), (F.col("p_partkey") % LISTING_DAY_SPREAD).cast("int")
     )
