@@ -129,6 +129,43 @@ def load_into(spark: SparkSession, df: DataFrame, table: str, mode: str = "overw
     df.select(*target_cols).write.insertInto(table, overwrite=(mode == "overwrite"))
 
 
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name.lower(), f.dataType) for f in a.fields] == [
+        (f.name.lower(), f.dataType) for f in b.fields
+    ]
+
+
+def publish(spark: SparkSession, path: str, table: str, mode: str = "overwrite") -> str:
+    """Make the Parquet files written at ``path`` the content of ``table``.
+
+    ``overwrite`` without copying: when the files have exactly the table's
+    columns and types, the table is re-pointed at ``path`` with
+    ``ALTER TABLE … SET LOCATION``. That is one catalog update, so readers
+    see either the previous or the new data, a failed run never leaves a
+    half-written table, and a layer is written once instead of twice.
+    Write each run to a new folder; folders of earlier runs are left for
+    the caller's retention. ``append`` (or files whose schema differs)
+    falls back to a bulk load that copies and casts the rows.
+
+    Returns ``"relocated"`` or ``"loaded"``.
+    """
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}")
+    staged = spark.read.parquet(path)
+    if mode == "overwrite" and _same_columns(staged.schema, spark.table(table).schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+        return "relocated"
+    target = spark.table(table).schema
+    load_into(
+        spark,
+        staged.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields]),
+        table,
+        mode=mode,
+    )
+    return "loaded"
+
+
 def reconcile(spark: SparkSession, pairs: list[tuple[str, str, DataFrame]]) -> DataFrame:
     """Row counts of each staged source against its loaded table.
 

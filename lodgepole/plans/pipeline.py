@@ -9,7 +9,10 @@ Each stage writes its tables before the next stage reads them back:
   Parquet, so each metric scans only the columns it needs with its filter
   pushed into the scan (the whole-row de-duplication upstream would
   otherwise defeat column pruning);
-* the de-duplication and the listings join run once, not once per sink.
+* the de-duplication and the listings join run once, not once per sink;
+* every layer is written once: in overwrite mode the layer tables are
+  re-pointed at the written files (an atomic catalog update, no copy),
+  only append mode copies rows into the tables.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from lodgepole.plans.layers import (
     create_layer_tables,
     ensure_not_empty,
     layer_path,
-    load_into,
+    publish,
     reconcile,
     write_layer_table,
     write_table,
@@ -87,6 +90,6 @@ def run_batch(
     pairs = []
     for layer, tables in staged.items():
         for table, df in tables.items():
-            load_into(spark, df, f"{layer}.{table}", mode=load_mode)
+            publish(spark, layer_path(root, layer, table), f"{layer}.{table}", mode=load_mode)
             pairs.append((layer, table, df))
     return reconcile(spark, pairs)

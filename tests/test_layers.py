@@ -90,3 +90,29 @@ def test_schema_profile_and_describe(spark, raw):
     assert [(r.column_name, r.data_type) for r in sp][:2] == [("booking_id", "bigint"), ("user_id", "bigint")]
     d = {r.summary: r.total_price for r in profile.describe(df).collect()}
     assert d["count"] == "2" and float(d["mean"]) == 200.0
+
+
+def test_publish_relocates_on_overwrite_and_copies_on_append(spark, raw):
+    root = _root(spark, "publish")
+    spark.sql("CREATE DATABASE IF NOT EXISTS testpub")
+    spark.sql("DROP TABLE IF EXISTS testpub.b")
+    spark.sql(
+        f"CREATE TABLE testpub.b (booking_id bigint, user_id bigint) USING parquet LOCATION '{root}/table'"
+    )
+    src = raw("bookings", *[booking(i, user_id=i) for i in range(4)]).select("booking_id", "user_id")
+    run1 = layers.write_table(src, f"{root}/run1")
+    assert layers.publish(spark, run1, "testpub.b") == "relocated"
+    location = spark.sql("DESCRIBE TABLE EXTENDED testpub.b").filter("col_name = 'Location'").first()
+    assert location.data_type.rstrip("/").endswith("run1")
+    assert sorted(spark.table("testpub.b").collect()) == sorted(src.collect())
+
+    # append copies the rows into the table's current data
+    run2 = layers.write_table(src.filter("booking_id < 2"), f"{root}/run2")
+    assert layers.publish(spark, run2, "testpub.b", mode="append") == "loaded"
+    assert spark.table("testpub.b").count() == 6
+
+    # files whose columns differ from the table are cast and loaded, not relocated
+    wider = src.select("user_id", "booking_id", F.lit(1).alias("extra"))
+    run3 = layers.write_table(wider, f"{root}/run3")
+    assert layers.publish(spark, run3, "testpub.b") == "loaded"
+    assert sorted(spark.table("testpub.b").collect()) == sorted(src.collect())
