@@ -17,6 +17,25 @@ _SOURCE = "__merge_source"
 _RANK = "__merge_rank"
 
 
+def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """One row per key: the first by ``order``; any tie left after it is
+    broken by the remaining columns (descending), so the choice never
+    depends on partitioning.
+
+    Planned as ``row_number() = 1`` per key, which Spark executes with a
+    partial ``WindowGroupLimit`` before the shuffle: a key repeated in a
+    large share of the rows is cut to one row per task before it is
+    exchanged, so a hot key does not pile up in one reducer.
+    """
+    tie_break = [F.col(c).desc_nulls_last() for c in rows.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*order, *tie_break)
+    return (
+        rows.withColumn(_RANK, F.row_number().over(w))
+        .filter(F.col(_RANK) == 1)
+        .drop(_RANK)
+    )
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -25,11 +44,6 @@ def upsert(
 ) -> DataFrame:
     """One row per key from ``target ∪ batch``; batch rows beat target rows.
 
-    Planned as ``row_number() = 1`` per key, which Spark executes with a
-    partial ``WindowGroupLimit`` before the shuffle: a key repeated in a
-    large share of the batch is cut to one row per task before it is
-    exchanged, so a hot key does not pile up in one reducer.
-
     The result is a new DataFrame; write it to a new location (or version)
     rather than over the table it was read from.
     """
@@ -39,15 +53,8 @@ def upsert(
     both = target.select(*cols, F.lit(0).alias(_SOURCE)).unionByName(
         batch.select(*cols, F.lit(1).alias(_SOURCE))
     )
-    order = [F.col(_SOURCE).desc()]
-    order += [o.desc_nulls_last() for o in (order_by or [])]
-    order += [F.col(c).desc_nulls_last() for c in cols if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        both.withColumn(_RANK, F.row_number().over(w))
-        .filter(F.col(_RANK) == 1)
-        .select(*cols)
-    )
+    order = [F.col(_SOURCE).desc()] + [o.desc_nulls_last() for o in (order_by or [])]
+    return latest_per_key(both, keys, order).select(*cols)
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:

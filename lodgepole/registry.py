@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodgepole.functions.dates import parse_date
 from lodgepole.operators import clean, curate, merge, metrics, profile
@@ -20,7 +21,7 @@ from lodgepole.session import lake_root
 from lodgepole.sources.domain import SOURCES, raw_table, raw_tables
 from lodgepole.sources.readers import read_csv
 from lodgepole.sources.updates import listing_price_updates
-from lodgepole.streaming.ingest import run_ingest
+from lodgepole.streaming.ingest import compact, run_ingest
 
 SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
@@ -111,20 +112,24 @@ def _layout_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_upsert_bookings(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw bookings land as several files (all rows of a key in one file)
-    and are merged micro-batch by micro-batch into a versioned table."""
+    """Raw bookings arrive in two waves of files (every row in exactly one
+    wave, all rows of a key in one file). Each wave is ingested micro-batch
+    by micro-batch; between the waves the change log is compacted, so the
+    result is read from a snapshot plus the changes after it."""
     root = _scratch(spark, "stream")
-    landing = f"{root}/landing/bookings"
+    target, checkpoint = f"{root}/raw_layer/bookings", f"{root}/_checkpoints/bookings"
     raw_bookings = raw_table(spark, sf, "bookings")
-    layers.write_table(raw_bookings.repartition(4, "booking_id"), landing)
-    return run_ingest(
-        spark,
-        "bookings",
-        landing,
-        f"{root}/raw_layer/bookings",
-        f"{root}/_checkpoints/bookings",
-        max_files_per_trigger=1,
-    )
+    wave = F.pmod(F.xxhash64("booking_id"), F.lit(2))
+    out = None
+    for i in range(2):
+        landed = raw_bookings.filter(wave == i).repartition(2, "booking_id")
+        layers.write_table(landed, f"{root}/landing/wave{i}")
+        out = run_ingest(
+            spark, "bookings", f"{root}/landing/*", target, checkpoint, max_files_per_trigger=1
+        )
+        if i == 0:
+            compact(spark, "bookings", target)
+    return out
 
 
 def _pipeline_reconcile(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,3 +1,3 @@
-from lodgepole.streaming.ingest import current_version, run_ingest, start_ingest
+from lodgepole.streaming.ingest import compact, current_table, newest_snapshot, run_ingest, start_ingest
 
-__all__ = ["current_version", "run_ingest", "start_ingest"]
+__all__ = ["compact", "current_table", "newest_snapshot", "run_ingest", "start_ingest"]

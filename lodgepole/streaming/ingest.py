@@ -2,17 +2,32 @@
 
 The operational loader applies each batch of rows with a keyed upsert and
 commits batch by batch. Here a landing folder is read as a file stream and
-every micro-batch is merged into the raw table:
-
-* keyed tables (listings, attributes, bookings): ``foreachBatch`` upserts
-  the micro-batch into the current version of the table and writes the
-  result as the next version, ``{table}/v=<batch id>``. The version is named
-  after the batch id, so a micro-batch replayed after a failure overwrites
-  its own partial output instead of producing a second copy; readers use
-  the newest complete version.
-* keyless tables (views): the built-in Parquet file sink appends each
-  micro-batch exactly once (its commit log records which files belong to
-  which batch).
+each micro-batch is applied to the raw table.
+
+Keyed tables (listings, attributes, bookings) are kept as a change log plus
+compacted snapshots, all plain Parquet folders::
+
+    {target}/changes/batch=<id>/    rows of micro-batch <id>, one per key
+    {target}/snapshot/upto=<id>/    every key, folding all batches <= <id>
+    {target}/_snapshots/upto=<id>/  marker, written once the snapshot is complete
+
+* A micro-batch writes only its own rows (``foreachBatch``), reduced to the
+  latest row per key: the cost of a trigger grows with the batch, not with
+  the table. The folder is named after the batch id, so a micro-batch
+  replayed after a failure overwrites its own partial output.
+* The current table is one distributed plan over the newest snapshot and
+  the change folders after it: ``row_number() = 1`` per key, newest batch
+  first. The result is the same as applying the batches one after another
+  with an ``ON DUPLICATE KEY UPDATE``.
+* :func:`compact` materialises that plan as a new snapshot, then writes its
+  marker. A crash before the marker leaves the previous snapshot in use,
+  which together with the change folders still gives the right table.
+  Folders of older snapshots and of folded batches are left to the
+  caller's retention (delete only what the newest marker covers).
+
+Keyless tables (views) use the built-in Parquet file sink, which appends
+each micro-batch exactly once (its commit log records which files belong
+to which batch).
 
 The checkpoint (source offsets, commit log) lives under the shared lake
 root, so a restarted query resumes where it stopped.
@@ -20,38 +35,103 @@ root, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodgepole.functions.numeric import nan_to_null
-from lodgepole.operators.merge import upsert
+from lodgepole.operators.merge import latest_per_key
 from lodgepole.schemas import RAW, RAW_KEYS
 from lodgepole.sources.domain import NAN_TO_NULL_TABLES
 
-VERSION_PREFIX = "v="
+CHANGES = "changes"
+SNAPSHOT = "snapshot"
+MARKERS = "_snapshots"
+BATCH = "batch"
+UPTO = "upto"
 
 
-def _version_path(target: str, batch_id: int) -> str:
-    return f"{target}/{VERSION_PREFIX}{batch_id:012d}"
+def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing written there yet
+        return None
 
 
-def current_version(spark: SparkSession, target: str) -> DataFrame | None:
-    """The newest version of a keyed table written by :func:`start_ingest`.
+def newest_snapshot(spark: SparkSession, target: str) -> int | None:
+    """Batch id folded into the newest complete snapshot (None: no snapshot).
 
-    Version folders look like partitions (``v=<batch id>``), so Spark's
-    partition discovery lists them; a write that failed before its job
-    commit leaves no data files and is not discovered.
+    Reads only the one-row markers, one per compaction.
     """
-    try:
-        versions = spark.read.parquet(target)
-    except AnalysisException:
+    markers = _read_if_present(spark, f"{target}/{MARKERS}")
+    if markers is None:
         return None
-    newest = versions.agg(F.max("v")).first()[0]
-    if newest is None:
+    newest = markers.agg(F.max(UPTO)).first()[0]
+    return None if newest is None else int(newest)
+
+
+def _change_rows(spark: SparkSession, target: str, after: int | None, until: int | None):
+    changes = _read_if_present(spark, f"{target}/{CHANGES}")
+    if changes is None:
         return None
-    return spark.read.parquet(_version_path(target, int(newest)))
+    batch = F.col(BATCH)
+    # Partition pruning: only the folders of the selected batches are read.
+    if after is not None:
+        changes = changes.filter(batch > F.lit(after))
+    if until is not None:
+        changes = changes.filter(batch <= F.lit(until))
+    return changes
+
+
+def _table_rows(spark: SparkSession, table: str, target: str, until: int | None = None) -> DataFrame:
+    cols = RAW[table].fieldNames()
+    upto = newest_snapshot(spark, target)
+    if upto is not None and until is not None and upto > until:
+        raise ValueError(f"snapshot {upto} is newer than the requested batch {until}")
+    parts = []
+    if upto is not None:
+        snapshot = spark.read.parquet(f"{target}/{SNAPSHOT}/{UPTO}={upto}")
+        parts.append(snapshot.select(*cols, F.lit(upto).cast("long").alias(BATCH)))
+    changes = _change_rows(spark, target, upto, until)
+    if changes is not None:
+        parts.append(changes.select(*cols, F.col(BATCH).cast("long").alias(BATCH)))
+    if not parts:
+        return spark.createDataFrame([], RAW[table])
+    rows = reduce(DataFrame.unionByName, parts)
+    # Each folder holds at most one row per key, so the batch id alone
+    # decides which row is current.
+    return latest_per_key(rows, RAW_KEYS[table], [F.col(BATCH).desc()]).select(*cols)
+
+
+def current_table(spark: SparkSession, table: str, target: str) -> DataFrame:
+    """The keyed raw table as of the last committed micro-batch."""
+    return _table_rows(spark, table, target)
+
+
+def compact(spark: SparkSession, table: str, target: str) -> int | None:
+    """Fold every change written so far into a new snapshot.
+
+    Returns the batch id the newest snapshot covers. Batches committed while
+    compaction runs are not folded (the snapshot is bounded by the newest
+    batch id seen at the start) and stay visible as changes.
+    """
+    upto_before = newest_snapshot(spark, target)
+    newer = _change_rows(spark, target, upto_before, None)
+    if newer is None:
+        return upto_before
+    upto = newer.agg(F.max(BATCH)).first()[0]
+    if upto is None:
+        return upto_before
+    upto = int(upto)
+    rows = _table_rows(spark, table, target, until=upto)
+    rows.write.mode("overwrite").parquet(f"{target}/{SNAPSHOT}/{UPTO}={upto}")
+    spark.range(1).select(F.lit(True).alias("complete")).write.mode("overwrite").parquet(
+        f"{target}/{MARKERS}/{UPTO}={upto}"
+    )
+    return upto
 
 
 def _landing_stream(
@@ -79,9 +159,9 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest stream of one raw table; returns the running query.
 
-    ``order_by`` states which of several rows for the same key is the most
-    recent (e.g. a modification date); the remaining ties are broken by all
-    columns, so replays give identical versions.
+    ``order_by`` states which of several rows for the same key inside one
+    micro-batch is the most recent (e.g. a modification date); the remaining
+    ties are broken by all columns, so replays write identical folders.
     """
     stream = _landing_stream(spark, table, landing, fmt, max_files_per_trigger)
     keys = RAW_KEYS[table]
@@ -89,32 +169,24 @@ def start_ingest(
     writer = writer.trigger(availableNow=True) if available_now else writer
     if not keys:
         return writer.format("parquet").option("path", target).outputMode("append").start()
+    order = [o.desc_nulls_last() for o in (order_by or [])]
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # Batch ids are contiguous and every executed batch writes its
-        # version, so the previous state is exactly version ``batch_id - 1``
-        # (reading it fails loudly if it is missing, instead of silently
-        # starting from an empty table).
-        base = (
-            batch.sparkSession.read.parquet(_version_path(target, batch_id - 1))
-            if batch_id > 0
-            else batch.limit(0)
-        )
-        merged = upsert(base.select(*batch.columns), batch, keys, order_by)
-        merged.write.mode("overwrite").parquet(_version_path(target, batch_id))
+    def write_changes(batch: DataFrame, batch_id: int) -> None:
+        latest = latest_per_key(batch, keys, order)
+        latest.write.mode("overwrite").parquet(f"{target}/{CHANGES}/{BATCH}={batch_id}")
 
-    return writer.foreachBatch(merge_batch).start()
+    return writer.foreachBatch(write_changes).start()
 
 
 def run_ingest(
     spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, **kwargs
 ) -> DataFrame:
     """Run :func:`start_ingest` until the landing folder is drained and
-    return the resulting table (newest version, or the appended folder)."""
+    return the resulting table."""
     query = start_ingest(spark, table, landing, target, checkpoint, available_now=True, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     if RAW_KEYS[table]:
-        return current_version(spark, target)
+        return current_table(spark, table, target)
     return spark.read.schema(RAW[table]).parquet(target)

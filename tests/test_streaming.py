@@ -42,3 +42,37 @@ def test_keyless_stream_appends_exactly_once(spark, raw):
     assert run_ingest(spark, *args).count() == 1
     # a restart with no new files adds nothing
     assert run_ingest(spark, *args).count() == 1
+
+
+def test_compaction_keeps_the_table_and_later_batches_win(spark, raw):
+    from lodgepole.streaming.ingest import compact, current_table, newest_snapshot
+
+    root = _root(spark)
+    target, chk = f"{root}/table", f"{root}/_chk"
+    args = ("bookings", f"{root}/landing/*", target, chk)
+    write_table(raw("bookings", booking(1, total_price=10.0), booking(2)), f"{root}/landing/a")
+    run_ingest(spark, *args)
+    assert compact(spark, "bookings", target) == 0 and newest_snapshot(spark, target) == 0
+    # a later batch updates key 1 and adds key 3 on top of the snapshot
+    write_table(raw("bookings", booking(1, total_price=55.0), booking(3)), f"{root}/landing/b")
+    out = run_ingest(spark, *args)
+    assert {r.booking_id: r.total_price for r in out.collect()} == {1: 55.0, 2: 100.0, 3: 100.0}
+    # compacting again folds batch 1; the table is unchanged
+    assert compact(spark, "bookings", target) == 1
+    assert sorted(current_table(spark, "bookings", target).collect()) == sorted(out.collect())
+    # nothing new: compaction is a no-op
+    assert compact(spark, "bookings", target) == 1
+
+
+def test_hot_key_in_one_batch_is_written_once(spark, raw):
+    root = _root(spark)
+    rows = [booking(7, total_price=float(i), booking_date=f"{i % 28 + 1:02d}/01/2020") for i in range(30)]
+    write_table(raw("bookings", *rows, booking(8)), f"{root}/landing")
+    out = run_ingest(
+        spark, "bookings", f"{root}/landing", f"{root}/table", f"{root}/_chk",
+        order_by=[parse_date("booking_date")],
+    )
+    changes = spark.read.parquet(f"{root}/table/changes")
+    assert changes.count() == 2
+    # latest booking date (28/01/2020 → i = 27) wins for the hot key
+    assert {r.booking_id: r.total_price for r in out.collect()} == {7: 27.0, 8: 100.0}
