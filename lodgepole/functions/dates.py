@@ -111,15 +111,21 @@ def month_spine(
     )
 
 
+# The calendar as SQL text: a parameterised subquery for the bounds and a
+# table-generating function for the months. Named parameters are bound as
+# literals, so the optimizer folds the sequence into a constant array.
+_CALENDAR_SQL = """
+SELECT year(m) AS year, month(m) AS month, day(last_day(m)) AS days_in_month
+FROM (SELECT to_date(:start) AS first_month, to_date(:end) AS last_month) AS bounds
+LATERAL VIEW explode(sequence(first_month, last_month, INTERVAL 1 MONTH)) months AS m
+"""
+
+
 def month_calendar(
     spark: SparkSession,
     start: str = DEFAULT_SPINE_START,
     end: str = DEFAULT_SPINE_END,
 ) -> DataFrame:
-    """Spine with ``year``, ``month`` and ``days_in_month`` columns."""
-    m = F.col("month")
-    return month_spine(spark, start, end).select(
-        F.year(m).alias("year"),
-        F.month(m).alias("month"),
-        days_in_month(m).alias("days_in_month"),
-    )
+    """Spine with ``year``, ``month`` and ``days_in_month`` columns (one row
+    per month from ``start`` to ``end``, inclusive), built with Spark SQL."""
+    return spark.sql(_CALENDAR_SQL, args={"start": start, "end": end})

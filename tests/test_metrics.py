@@ -135,3 +135,18 @@ def test_results_do_not_depend_on_partitioning(spark, raw):
         )
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_month_calendar_defaults_and_month_lengths(spark):
+    from lodgepole.functions.dates import month_calendar, spine_bounds
+
+    rows = month_calendar(spark).collect()
+    assert len(rows) == 72
+    assert (rows[0].year, rows[0].month) == (2020, 1) and (rows[-1].year, rows[-1].month) == (2025, 12)
+    days = {(r.year, r.month): r.days_in_month for r in rows}
+    assert days[(2020, 2)] == 29 and days[(2021, 2)] == 28 and days[(2024, 4)] == 30
+    # a start in the middle of a month steps by whole months from that day
+    assert [(r.year, r.month) for r in month_calendar(spark, "2021-01-31", "2021-04-15").collect()] == [
+        (2021, 1), (2021, 2), (2021, 3)
+    ]
+    assert spine_bounds("2021-01-31", "2021-04-15") == ("2021-01-01", "2021-03-31")
