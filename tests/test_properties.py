@@ -72,3 +72,29 @@ def test_occupancy_totals_match_model(spark, raw, spec):
     assert sum(r.total_booked_nights for r in out) == sum(n for _, n in confirmed)
     assert sum(r.total_bookings for r in out) == len(confirmed)
     assert [r.month for r in out] == [1, 2]
+
+
+@SETTINGS
+@given(days=st.lists(st.one_of(st.none(), st.integers(-3000, 30000)), min_size=1, max_size=20))
+def test_epoch_window_equals_spark_tumbling_window(spark, days):
+    from pyspark.sql import functions as F
+
+    from lodgepole.functions.dates import epoch_window
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        df = spark.createDataFrame([(d,) for d in days], "d int").select(
+            F.date_add(F.to_date(F.lit("1970-01-01")), F.col("d")).alias("day")
+        )
+        rows = df.select(
+            epoch_window("day", 30).alias("idx"),
+            F.to_date(F.window(F.col("day").cast("timestamp"), "30 days").start).alias("start"),
+        ).collect()
+        for r in rows:
+            if r.start is None:
+                assert r.idx is None
+            else:
+                assert (r.start - dt.date(1970, 1, 1)).days == r.idx * 30
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
