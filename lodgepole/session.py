@@ -13,6 +13,13 @@ Everything here is plain Spark configuration:
   scan from its file size, but Parquet decodes to several times that
   (3–7× on the test tables), so file sizes are scaled by
   ``FILE_EXPANSION_FACTOR`` before the comparison.
+* Shuffle partitions are sized from the data: AQE can merge small shuffle
+  partitions but never split a large one (except in skewed joins), so the
+  initial count must be large enough for the biggest shuffle — the
+  whole-row de-duplication of bookings moves about the whole table. Pass
+  ``largest_shuffle_bytes`` and the count is chosen so that stage gets
+  ``SHUFFLE_PARTITION_BYTES`` per task (100 TB → 204,800 partitions of
+  512 MiB); AQE coalesces every smaller stage towards its advisory size.
 * ANSI mode is left on (Spark 4 default); the code uses ``try_*`` functions
   where the reference relied on NULL-on-error behaviour.
 * PySpark's per-call capture of the Python call site (used only to decorate
@@ -31,6 +38,10 @@ from pyspark.sql import SparkSession
 BROADCAST_THRESHOLD_BYTES = 32 * 1024 * 1024
 # In-memory size of decoded Parquet rows relative to the file size.
 FILE_EXPANSION_FACTOR = 4.0
+# Target bytes per task of the largest shuffle, and the advisory size AQE
+# coalesces smaller shuffles towards.
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+ADVISORY_PARTITION_BYTES = 128 * 1024 * 1024
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,6 +51,7 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_THRESHOLD_BYTES),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_THRESHOLD_BYTES),
     "spark.sql.sources.fileCompressionFactor": str(FILE_EXPANSION_FACTOR),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -48,21 +60,36 @@ DEFAULT_CONF = {
 }
 
 
+def shuffle_partitions_for(largest_shuffle_bytes: int, per_task: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Initial shuffle partition count so the largest shuffle of a job gets
+    about ``per_task`` bytes per task (at least 1)."""
+    return max(1, -(-int(largest_shuffle_bytes) // int(per_task)))
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "lodgepole",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    largest_shuffle_bytes: int | None = None,
 ) -> SparkSession:
     """Return a session with the engine's defaults.
 
-    On a cluster, call without ``master``/``shuffle_partitions`` and let the
-    cluster's submit-time configuration decide; AQE coalesces small shuffles.
+    On a cluster, call without ``master`` and pass ``largest_shuffle_bytes``
+    (about the size of the bookings table): the shuffle partition count is
+    sized from it and AQE coalesces smaller stages by size rather than by
+    parallelism. ``shuffle_partitions`` sets the count directly (tests).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if not master or not master.startswith("local"):
+        # On a cluster, merge small shuffle partitions up to the advisory
+        # size instead of keeping one per core.
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    if largest_shuffle_bytes and not shuffle_partitions:
+        shuffle_partitions = shuffle_partitions_for(largest_shuffle_bytes)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra_conf:

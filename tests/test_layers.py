@@ -116,3 +116,11 @@ def test_publish_relocates_on_overwrite_and_copies_on_append(spark, raw):
     run3 = layers.write_table(wider, f"{root}/run3")
     assert layers.publish(spark, run3, "testpub.b") == "loaded"
     assert sorted(spark.table("testpub.b").collect()) == sorted(src.collect())
+
+
+def test_shuffle_partitions_are_sized_from_the_largest_shuffle():
+    from lodgepole.session import SHUFFLE_PARTITION_BYTES, shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 2**40) == 100 * 2**40 // SHUFFLE_PARTITION_BYTES
+    assert shuffle_partitions_for(SHUFFLE_PARTITION_BYTES + 1) == 2
+    assert shuffle_partitions_for(0) == 1
