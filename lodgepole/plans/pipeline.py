@@ -12,11 +12,17 @@ Each stage writes its tables before the next stage reads them back:
 * the de-duplication and the listings join run once, not once per sink;
 * every layer is written once: in overwrite mode the layer tables are
   re-pointed at the written files (an atomic catalog update, no copy),
-  only append mode copies rows into the tables.
+  only append mode copies rows into the tables;
+* the tables of one stage do not depend on each other, so their writes are
+  submitted together from a few driver threads and Spark runs the jobs
+  side by side (one job's short tail stages leave cores another job uses).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgepole.functions.dates import DEFAULT_SPINE_END, DEFAULT_SPINE_START
@@ -34,15 +40,34 @@ from lodgepole.plans.layers import (
 from lodgepole.sources.domain import raw_tables
 
 
+# Independent writes of one stage submitted at the same time.
+MAX_CONCURRENT_WRITES = 8
+
+
+def _all_at_once(write: Callable[[str, DataFrame], str], frames: dict[str, DataFrame]) -> dict[str, str]:
+    """Run ``write(table, df)`` for every table concurrently (each call is
+    one Spark job); returns table → written path, raising the first error."""
+    if len(frames) <= 1:
+        return {t: write(t, df) for t, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(frames))) as pool:
+        futures = {t: pool.submit(write, t, df) for t, df in frames.items()}
+        return {t: f.result() for t, f in futures.items()}
+
+
+def write_layer(
+    spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str
+) -> dict[str, DataFrame]:
+    """Write the tables of one layer (with their layout) and return them
+    read back from the written files."""
+    paths = _all_at_once(lambda t, df: write_layer_table(df, root, layer, t), frames)
+    return {t: spark.read.parquet(paths[t]) for t in frames}
+
+
 def extract(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write each source table as Parquet under ``{root}/raw_layer/{table}``
     (one independent Spark job per table) and return the staged copies."""
-    staged = {}
-    for table, df in sources.items():
-        path = layer_path(root, "raw_layer", table)
-        write_table(df, path)
-        staged[table] = spark.read.parquet(path)
-    return staged
+    paths = _all_at_once(lambda t, df: write_table(df, layer_path(root, "raw_layer", t)), sources)
+    return {t: spark.read.parquet(paths[t]) for t in sources}
 
 
 def materialise_curated(
@@ -51,11 +76,7 @@ def materialise_curated(
     """Curate and write the three curated tables; return them read back."""
     if isinstance(raw, str):
         raw = raw_tables(spark, raw)
-    out = {}
-    for table, df in curate_all(raw).items():
-        write_layer_table(df, root, "curated_layer", table)
-        out[table] = spark.read.parquet(layer_path(root, "curated_layer", table))
-    return out
+    return write_layer(spark, curate_all(raw), root, "curated_layer")
 
 
 def metric_frames(
@@ -80,10 +101,7 @@ def run_batch(
     for table, df in raw.items():
         ensure_not_empty(df, f"raw_layer/{table}")
     curated = materialise_curated(spark, raw, root)
-    presentation = {}
-    for table, df in metric_frames(spark, curated, start, end).items():
-        write_layer_table(df, root, "presentation_layer", table)
-        presentation[table] = spark.read.parquet(layer_path(root, "presentation_layer", table))
+    presentation = write_layer(spark, metric_frames(spark, curated, start, end), root, "presentation_layer")
 
     create_layer_tables(spark, root)
     staged = {"raw_layer": raw, "curated_layer": curated, "presentation_layer": presentation}
