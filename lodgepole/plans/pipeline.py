@@ -44,13 +44,14 @@ from lodgepole.sources.domain import raw_tables
 MAX_CONCURRENT_WRITES = 8
 
 
-def _all_at_once(write: Callable[[str, DataFrame], str], frames: dict[str, DataFrame]) -> dict[str, str]:
-    """Run ``write(table, df)`` for every table concurrently (each call is
-    one Spark job); returns table → written path, raising the first error."""
+def run_each(action: Callable[[str, DataFrame], str], frames: dict[str, DataFrame]) -> dict[str, str]:
+    """Run ``action(table, df)`` for every table concurrently (each call is
+    one Spark job, e.g. a write); returns table → result, raising the first
+    error."""
     if len(frames) <= 1:
-        return {t: write(t, df) for t, df in frames.items()}
+        return {t: action(t, df) for t, df in frames.items()}
     with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(frames))) as pool:
-        futures = {t: pool.submit(write, t, df) for t, df in frames.items()}
+        futures = {t: pool.submit(action, t, df) for t, df in frames.items()}
         return {t: f.result() for t, f in futures.items()}
 
 
@@ -59,14 +60,14 @@ def write_layer(
 ) -> dict[str, DataFrame]:
     """Write the tables of one layer (with their layout) and return them
     read back from the written files."""
-    paths = _all_at_once(lambda t, df: write_layer_table(df, root, layer, t), frames)
+    paths = run_each(lambda t, df: write_layer_table(df, root, layer, t), frames)
     return {t: spark.read.parquet(paths[t]) for t in frames}
 
 
 def extract(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write each source table as Parquet under ``{root}/raw_layer/{table}``
     (one independent Spark job per table) and return the staged copies."""
-    paths = _all_at_once(lambda t, df: write_table(df, layer_path(root, "raw_layer", t)), sources)
+    paths = run_each(lambda t, df: write_table(df, layer_path(root, "raw_layer", t)), sources)
     return {t: spark.read.parquet(paths[t]) for t in sources}
 
 
