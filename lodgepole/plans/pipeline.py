@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,12 +40,13 @@ from lodgepole.plans.layers import (
 )
 from lodgepole.sources.domain import raw_tables
 
-
 # Independent writes of one stage submitted at the same time.
 MAX_CONCURRENT_WRITES = 8
 
+R = TypeVar("R")
+
 
-def run_each(action: Callable[[str, DataFrame], str], frames: dict[str, DataFrame]) -> dict[str, str]:
+def run_each(action: Callable[[str, DataFrame], R], frames: dict[str, DataFrame]) -> dict[str, R]:
     """Run ``action(table, df)`` for every table concurrently (each call is
     one Spark job, e.g. a write); returns table → result, raising the first
     error."""
