@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodgepole.functions.dates import parse_date
 from lodgepole.operators import clean, curate, merge, metrics, profile
-from lodgepole.plans import layers, pipeline
+from lodgepole.plans import batch, layers
 from lodgepole.schemas import CURATED_BOOKINGS, RAW
 from lodgepole.session import lake_root
 from lodgepole.sources.domain import SOURCES, raw_table, raw_tables
@@ -84,7 +84,7 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _catalog_register(spark: SparkSession, sf: str) -> DataFrame:
     root = _scratch(spark, "catalog")
-    pipeline.extract(spark, {"bookings": raw_table(spark, sf, "bookings")}, root)
+    batch.extract(spark, {"bookings": raw_table(spark, sf, "bookings")}, root)
     spark.sql("CREATE DATABASE IF NOT EXISTS raw_layer")
     spark.sql("DROP TABLE IF EXISTS raw_layer.bookings")
     return layers.register_parquet(
@@ -132,8 +132,8 @@ def _stream_upsert_bookings(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-def _pipeline_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.run_batch(
+def _batch_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    return batch.run_batch(
         spark, raw_tables(spark, sf), _scratch(spark, "batch"), SPINE_START, SPINE_END
     )
 
@@ -177,7 +177,7 @@ QUERIES: dict[str, Query] = {
     "layer_load_overwrite": lambda s, sf: _layer_load(s, sf, ("overwrite",)),
     "layer_load_append": lambda s, sf: _layer_load(s, sf, ("overwrite", "append")),
     "layout_sorted": _layout_sorted,
-    "pipeline_reconcile": _pipeline_reconcile,
+    "batch_reconcile": _batch_reconcile,
     # streaming: micro-batch keyed upsert into a versioned raw table
     "stream_upsert_bookings": _stream_upsert_bookings,
 }

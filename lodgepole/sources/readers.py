@@ -154,7 +154,7 @@ def jdbc_sources(
     """Lazy readers for several tables of one database (a comma-separated
     list is accepted). Tables with a key in ``partition_keys`` are read in
     parallel ranges; the others in one query. Hand the result to
-    :func:`lodgepole.plans.pipeline.extract` to stage them as Parquet."""
+    :func:`lodgepole.plans.batch.extract` to stage them as Parquet."""
     names = [t.strip() for t in (tables.split(",") if isinstance(tables, str) else tables) if t.strip()]
     keys = partition_keys or {}
     out = {}

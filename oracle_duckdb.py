@@ -392,7 +392,7 @@ def _count(sql: str) -> str:
     return f"(SELECT CAST(count(*) AS BIGINT) FROM ({sql}) q)"
 
 
-def _pipeline_reconcile() -> str:
+def _batch_reconcile() -> str:
     rows = []
     for t in RAW:
         rows.append(("raw_layer", t, _count(_with("", f"SELECT * FROM raw_{t}"))))
@@ -443,6 +443,6 @@ ORACLE.update(
             "", "SELECT * FROM curated_bookings UNION ALL SELECT * FROM curated_bookings"
         ),
         "layout_sorted": CURATED_BOOKINGS,
-        "pipeline_reconcile": _pipeline_reconcile(),
+        "batch_reconcile": _batch_reconcile(),
     }
 )

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tools.oracle_check import TABLES, norm
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"pipeline_reconcile"}
+SLOW = {"batch_reconcile"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 

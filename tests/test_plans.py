@@ -9,7 +9,7 @@ import pytest
 from lodgepole.functions.dates import parse_date
 from lodgepole.operators import metrics
 from lodgepole.operators.merge import upsert
-from lodgepole.plans.pipeline import materialise_curated
+from lodgepole.plans.batch import materialise_curated
 from lodgepole.session import lake_root
 from lodgepole.sources.domain import raw_table
 from lodgepole.sources.updates import listing_price_updates
