@@ -124,3 +124,20 @@ def test_shuffle_partitions_are_sized_from_the_largest_shuffle():
     assert shuffle_partitions_for(100 * 2**40) == 100 * 2**40 // SHUFFLE_PARTITION_BYTES
     assert shuffle_partitions_for(SHUFFLE_PARTITION_BYTES + 1) == 2
     assert shuffle_partitions_for(0) == 1
+
+
+def test_run_each_writes_every_table_and_raises_the_first_error(spark, raw):
+    from lodgepole.plans.batch import run_each
+
+    root = _root(spark, "each")
+    frames = {f"t{i}": raw("bookings", *[booking(j) for j in range(i + 1)]) for i in range(4)}
+    paths = run_each(lambda t, df: layers.write_table(df, f"{root}/{t}"), frames)
+    assert {t: spark.read.parquet(p).count() for t, p in paths.items()} == {"t0": 1, "t1": 2, "t2": 3, "t3": 4}
+
+    def fail_on_t2(t, df):
+        if t == "t2":
+            raise RuntimeError("t2 failed")
+        return df.count()
+
+    with pytest.raises(RuntimeError, match="t2 failed"):
+        run_each(fail_on_t2, frames)
