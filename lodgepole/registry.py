@@ -178,6 +178,6 @@ QUERIES: dict[str, Query] = {
     "layer_load_append": lambda s, sf: _layer_load(s, sf, ("overwrite", "append")),
     "layout_sorted": _layout_sorted,
     "batch_reconcile": _batch_reconcile,
-    # streaming: micro-batch keyed upsert into a versioned raw table
+    # streaming: micro-batch keyed upsert (change log + compacted snapshot)
     "stream_upsert_bookings": _stream_upsert_bookings,
 }
