@@ -61,16 +61,17 @@ def write_layer(
     spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str
 ) -> dict[str, DataFrame]:
     """Write the tables of one layer (with their layout) and return them
-    read back from the written files."""
+    read back from the written files (with the schema just written, so no
+    job is spent inferring it)."""
     paths = run_each(lambda t, df: write_layer_table(df, root, layer, t), frames)
-    return {t: spark.read.parquet(paths[t]) for t in frames}
+    return {t: spark.read.schema(frames[t].schema).parquet(paths[t]) for t in frames}
 
 
 def extract(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write each source table as Parquet under ``{root}/raw_layer/{table}``
     (one independent Spark job per table) and return the staged copies."""
     paths = run_each(lambda t, df: write_table(df, layer_path(root, "raw_layer", t)), sources)
-    return {t: spark.read.parquet(paths[t]) for t in sources}
+    return {t: spark.read.schema(sources[t].schema).parquet(paths[t]) for t in sources}
 
 
 def materialise_curated(
@@ -111,6 +112,6 @@ def run_batch(
     pairs = []
     for layer, tables in staged.items():
         for table, df in tables.items():
-            publish(spark, layer_path(root, layer, table), f"{layer}.{table}", mode=load_mode)
+            publish(spark, layer_path(root, layer, table), f"{layer}.{table}", load_mode, df)
             pairs.append((layer, table, df))
     return reconcile(spark, pairs)

@@ -135,7 +135,13 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     ]
 
 
-def publish(spark: SparkSession, path: str, table: str, mode: str = "overwrite") -> str:
+def publish(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    mode: str = "overwrite",
+    staged: DataFrame | None = None,
+) -> str:
     """Make the Parquet files written at ``path`` the content of ``table``.
 
     ``overwrite`` without copying: when the files have exactly the table's
@@ -147,11 +153,13 @@ def publish(spark: SparkSession, path: str, table: str, mode: str = "overwrite")
     the caller's retention. ``append`` (or files whose schema differs)
     falls back to a bulk load that copies and casts the rows.
 
+    ``staged`` may pass the files at ``path`` already opened as a DataFrame.
     Returns ``"relocated"`` or ``"loaded"``.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
-    staged = spark.read.parquet(path)
+    if staged is None:
+        staged = spark.read.parquet(path)
     if mode == "overwrite" and _same_columns(staged.schema, spark.table(table).schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
