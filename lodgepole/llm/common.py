@@ -123,12 +123,26 @@ def unpack(blob: bytes, *dtypes: str) -> list[np.ndarray]:
     return out
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of 1,000 rows at most, so that a batch stays small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= 1000:
+        spark.conf.set(key, "1000")
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small slices of the batches: Python objects are made for one slice at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def gathered(batches: Iterator[pa.RecordBatch], limit: int, columns: tuple[str, ...], text: str) -> Iterator[list[list]]:
     """Rows as column lists, gathered until about ``limit`` characters of ``text``."""
     held: list[list] = [[] for _ in columns]
     size = 0
     at = columns.index(text)
-    for b in batches:
+    for b in sliced(batches):
         cols = [b.column(c).to_pylist() for c in columns]
         for row in zip(*cols, strict=True):
             for h, v in zip(held, row, strict=True):
