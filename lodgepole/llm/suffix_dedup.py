@@ -43,18 +43,19 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, sliding_min, span_hash, text_bytes, unpack
+from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, sliding_min, small_batches, span_hash, text_bytes, unpack
 
 LENGTH = 100
 GRAM = 48
 HOT_CLASSES = 64
-BATCH_CHARS = 12 << 20
-BLOCK_BYTES = 24 << 20
+BATCH_CHARS = 8 << 20
+BLOCK_BYTES = 12 << 20
 _SEGMENT = 1 << 20
 _NO_ID = -(1 << 63)
 _TABLE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
@@ -104,10 +105,14 @@ def _firsts(order: tuple[np.ndarray, ...], *groups: np.ndarray) -> tuple[np.ndar
 
 
 def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Blobs of the arrays, one for each block of the key range."""
+    """Blobs of the arrays, one for each block of keys.
+
+    Keys of cover positions are lowest hashes, so they crowd near zero; another
+    hash of the key deals them evenly.
+    """
     if not len(keys):
         return
-    home = (keys >> U64(32)).astype(np.int64) * blocks >> 32
+    home = ((mix(keys) >> U64(32)).astype(np.int64) * blocks) >> 32
     by = np.argsort(home, kind="stable")
     cuts = np.flatnonzero(np.diff(home[by])) + 1
     for part in np.split(by, cuts):
@@ -348,6 +353,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     for the method and for nulls, ties and repeated rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = max(parts, math.ceil(text_bytes(docs) / BLOCK_BYTES))
@@ -361,3 +367,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     return (
         chunks.groupBy("block").cogroup(firsts.unionByName(windows).groupBy("block")).applyInArrow(_remove(length, gram, with_text), out)
     )
+
+
+def as_text(column: str):
+    """Remaining bytes as text; what is left of a character that was cut goes as well."""
+
+    @F.pandas_udf("string")
+    def decode(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return decode(F.col(column))
