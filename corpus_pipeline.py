@@ -1,15 +1,85 @@
-"""The corpus pipeline (stages are added as their operators are built)."""
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir)
+and returns a DataFrame, which is written as Parquet and read again as the next
+one's ``docs``.  All but the last return the columns of ``documents``.
+
+1. ``language_id`` drops documents in which no language is recognised: no
+   letters, or a score under one half.
+2. ``ngram_jaccard_join`` keeps one document, the one of the smallest doc_id, of
+   each group of near duplicates.
+3. ``suffix_dedup`` takes out passages of 100 bytes or more that appeared
+   before; a document of which nothing but white space stays goes.
+4. ``secret_scan`` masks secrets in the texts.
+5. ``best_fit_packing`` packs the tokens of what is left into sequences.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodgepole.llm import lang_id, ngram_join, packing, secret_scan, suffix_dedup
+from lodgepole.llm.common import shared_dir, small_batches
+
+MIN_SCORE = 0.5
+ORACLE_SQL = None  # models, MinHash and tokens are not expressible in SQL: tested against brute force
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    predict = lang_id.predictor(docs, lang_id.fit(docs))
+    told = docs.withColumn("__found", predict(F.col("text").cast("string")))
+    return told.filter((F.col("__found.lang_pred") != lang_id.UNKNOWN) & (F.col("__found.score") >= MIN_SCORE)).drop("__found")
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(docs)
+    stay = found.filter("doc_id = class_id").select(F.col("doc_id").alias("__stay")).distinct()
+    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
+    # rows of one doc_id and one text are copies too
+    kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def suffix_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rest = suffix_dedup.remove_repeats(docs, with_text=True)
+    # a removed run may start or end inside a character: what is left of it goes as well
+    rest = rest.filter("n_removed > 0 and doc_id is not null").select(F.col("doc_id").alias("__doc"), suffix_dedup.as_text("kept").alias("__kept"))
+    changed = docs.join(rest.dropDuplicates(["__doc"]), F.col("doc_id") == F.col("__doc"), "left")
+    gone = F.col("__doc").isNotNull()
+    out = changed.withColumn("text", F.when(gone, F.col("__kept")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(gone, F.length("__kept").cast("long")).otherwise(F.col("n_chars")))
+    return out.filter(~gone | F.col("text").rlike(r"\S")).select(*docs.columns)
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_dedup", suffix_removal),
+    ("secret_scan", secret_masking),
+    ("best_fit_packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed sequences of ``documents``; stages are written to the shared folder in between."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+        docs = spark.read.parquet(f"{root}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
