@@ -122,13 +122,14 @@ def features(found: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT) -> D
             "f_test_path": _flag(F.col("path").rlike(_TEST_PATH)),
             "f_secret_word": _flag(F.col("before").rlike(_KEYWORD)),
             "f_neutral_word": _flag(F.col("before").rlike(_NEUTRAL)),
+            "f_names_value": _flag(F.col("before").rlike(_KEYWORD + r"[\"']?\s*[=:]?\s*[\"']?$")),
             "f_assigned": _flag(F.col("before").rlike(r"[=:]\s*[\"']?$")),
         }
     ).drop("covered")
 
 
 def labelled_findings(docs: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
-    """(value, before, path, label): about ``rows`` documents, chosen by a hash, give 14 findings each."""
+    """(value, before, path, label): about ``rows`` documents, chosen by a hash, give 16 findings each."""
     n = docs.count()
     share = min(1.0, rows / n) if n else 1.0
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -154,10 +155,12 @@ def labelled_findings(docs: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
         (0, F.concat_ws("_", w(8), w(9), w(10), two), F.concat_ws(" ", w(11), F.lit("="))),
         (0, F.concat_ws("/", w(11), w(12), w(13), F.concat(w(14), F.lit("-"), two)), F.concat_ws(" ", w(15), w(16))),
         (0, number, F.concat_ws(" ", w(17), w(18))),
+        (0, number, F.concat(F.lit('token = "'), F.substring("h", 5, 40), F.lit('"'))),
+        (0, F.concat_ws("_", w(2), w(4), two), F.concat(F.lit("password="), F.substring("h", 7, 18))),
         (0, F.concat(day, F.lit("T"), F.substring(number, 3, 6)), F.concat_ws(" ", w(19), F.lit("date:"))),
     ]
     rows_ = F.array(*[F.struct(F.lit(float(label)).alias("label"), value.alias("value"), F.concat_ws(" ", before).alias("before")) for label, value, before in cases])
-    return base.select(F.explode(rows_).alias("f"), F.element_at("w", 1).alias("path")).select("f.label", "f.value", "f.before", F.coalesce("path", F.lit("")).alias("path"))
+    return base.select(F.explode(rows_).alias("f"), F.get("w", F.lit(0)).alias("path")).select("f.label", "f.value", "f.before", F.coalesce("path", F.lit("")).alias("path"))
 
 
 _SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
