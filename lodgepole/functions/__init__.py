@@ -1,29 +1,24 @@
 from lodgepole.functions.dates import (
-    days_in_month,
     epoch_window,
     format_date,
     iso_week,
     month_calendar,
-    month_spine,
     parse_date,
     signed_nights,
-    spine_bounds,
 )
-from lodgepole.functions.numeric import cents, exact_mean, from_cents, nan_to_null, percent
+from lodgepole.functions.numeric import exact, exact_mean, exact_sum, inexact, nan_to_null, percent
 
 __all__ = [
-    "cents",
-    "days_in_month",
     "epoch_window",
+    "exact",
     "exact_mean",
+    "exact_sum",
     "format_date",
-    "from_cents",
+    "inexact",
     "iso_week",
     "month_calendar",
-    "month_spine",
     "nan_to_null",
     "parse_date",
     "percent",
     "signed_nights",
-    "spine_bounds",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +35,6 @@ def iso_week(col: str | Column) -> Column:
     return F.weekofyear(col)
 
 
-def days_in_month(col: str | Column) -> Column:
-    return F.dayofmonth(F.last_day(col))
-
-
 def signed_nights(checkin: str = "checkin_date", checkout: str = "checkout_date") -> Column:
     """Checkout minus checkin in days; negative when the dates are reversed."""
     return F.datediff(F.col(checkout), F.col(checkin))
@@ -57,65 +51,11 @@ def epoch_window(col: str | Column, days: int) -> Column:
     return F.floor(F.unix_date(F.col(col) if isinstance(col, str) else col) / F.lit(days))
 
 
-def _last_day(y: int, m: int) -> _dt.date:
-    return _dt.date(y + m // 12, m % 12 + 1, 1) - _dt.timedelta(days=1)
-
-
-def _months(start: str, end: str) -> list[_dt.date]:
-    """The dates ``sequence(start, end, interval 1 month)`` produces."""
-    s = _dt.date.fromisoformat(start)
-    e = _dt.date.fromisoformat(end)
-    out = []
-    y, m = s.year, s.month
-    while True:
-        d = _dt.date(y, m, min(s.day, _last_day(y, m).day))
-        if d > e:
-            return out
-        out.append(d)
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-
-
-def spine_bounds(start: str, end: str) -> tuple[str, str]:
-    """First and last calendar day covered by the monthly spine.
-
-    Used to prune bookings to the spine's months before aggregating, so the
-    per-month aggregate has at most one row per spine month.
-    """
-    months = _months(start, end)
-    if not months:
-        return start, start
-    first = months[0].replace(day=1)
-    last = months[-1]
-    return first.isoformat(), _last_day(last.year, last.month).isoformat()
-
-
-def month_spine(
-    spark: SparkSession,
-    start: str = DEFAULT_SPINE_START,
-    end: str = DEFAULT_SPINE_END,
-) -> DataFrame:
-    """One row per month from ``start`` to ``end`` (inclusive), column ``month``.
-
-    The frame is generated by ``explode(sequence(...))``; its size is fixed
-    by the two parameters (72 rows for the defaults), so it is safe to
-    broadcast.
-    """
-    return spark.range(1).select(
-        F.explode(
-            F.sequence(
-                F.to_date(F.lit(start)),
-                F.to_date(F.lit(end)),
-                F.expr("INTERVAL 1 MONTH"),
-            )
-        ).alias("month")
-    )
-
-
 # The calendar as SQL text: a parameterised subquery for the bounds and a
 # table-generating function for the months. Named parameters are bound as
 # literals, so the optimizer folds the sequence into a constant array.
 _CALENDAR_SQL = """
-SELECT year(m) AS year, month(m) AS month, day(last_day(m)) AS days_in_month
+SELECT trunc(m, 'MM') AS month_start, year(m) AS year, month(m) AS month, day(last_day(m)) AS days_in_month
 FROM (SELECT to_date(:start) AS first_month, to_date(:end) AS last_month) AS bounds
 LATERAL VIEW explode(sequence(first_month, last_month, INTERVAL 1 MONTH)) months AS m
 """
@@ -126,6 +66,6 @@ def month_calendar(
     start: str = DEFAULT_SPINE_START,
     end: str = DEFAULT_SPINE_END,
 ) -> DataFrame:
-    """Spine with ``year``, ``month`` and ``days_in_month`` columns (one row
-    per month from ``start`` to ``end``, inclusive), built with Spark SQL."""
+    """Spine with ``month_start`` (a date), ``year``, ``month`` and
+    ``days_in_month`` columns (one row per month from ``start`` to ``end``, inclusive), built with Spark SQL."""
     return spark.sql(_CALENDAR_SQL, args={"start": start, "end": end})

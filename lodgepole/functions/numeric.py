@@ -7,25 +7,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def cents(col: str | Column) -> Column:
-    """Money (2 decimals) as an exact BIGINT number of cents.
+# Exact money: 18 digits before and 10 after the point; a sum of 10**10 such
+# values still fits DECIMAL(38,10).
+EXACT = T.DecimalType(28, 10)
 
-    Sums of cents are exact and independent of the order of addition, so a
-    rank on revenue cannot flip between runs, and an average is one
-    correctly rounded division instead of a float accumulation.
+
+def exact(col: str | Column) -> Column:
+    """A double as an exact decimal of its shortest decimal form.
+
+    Digits past the tenth decimal are rounded. NULL for NaN, an infinity or a
+    value of 10**18 and over, none of which has such a form; ``exact_sum``
+    adds those as doubles.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    return (c.cast(T.DecimalType(18, 2)) * F.lit(100)).cast(T.LongType())
+    return (F.col(col) if isinstance(col, str) else col).try_cast(EXACT)
 
 
-def from_cents(col: str | Column) -> Column:
+def inexact(col: str | Column) -> Column:
+    """The values that ``exact`` cannot hold; NULL for all others."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast(T.DoubleType()) / F.lit(100.0)
+    return F.when(exact(c).isNull(), c)
+
+
+def exact_sum(exact_total: Column, inexact_total: Column) -> Column:
+    """The sum as DOUBLE from the sums of ``exact`` and ``inexact`` values.
+
+    Without inexact values the exact sum is rounded once, so the result does
+    not depend on the order of addition and no input digit is cut. With them
+    it is what adding doubles gives: NaN if any value is NaN.
+    """
+    total = exact_total.cast(T.DoubleType())
+    return F.when(inexact_total.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + inexact_total)
 
 
-def exact_mean(total: Column, count: Column, scale: float = 1.0) -> Column:
-    """``total / (count * scale)`` as DOUBLE; NULL when count is 0."""
-    return F.try_divide(total.cast(T.DoubleType()), count.cast(T.DoubleType()) * F.lit(scale))
+def exact_mean(total: Column, count: Column) -> Column:
+    """``total / count`` as DOUBLE; NULL when count is 0."""
+    return F.try_divide(total.cast(T.DoubleType()), count.cast(T.DoubleType()))
 
 
 def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:

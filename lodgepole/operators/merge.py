@@ -3,8 +3,9 @@
 ``upsert`` has the semantics of ``INSERT … ON DUPLICATE KEY UPDATE`` over
 all non-key columns: a new key is inserted, an existing key gets every
 column from the batch, and within one batch the latest row wins. "Latest"
-must be stated by the caller (``order_by``); any tie left after it is
-broken by the remaining columns, so the result never depends on how the
+must be stated by the caller (``order_by``, for instance an arrival number);
+without it there is no right answer, so it is required. Any tie left after it
+is broken by the remaining columns, so the result never depends on how the
 rows happened to be partitioned.
 """
 
@@ -40,20 +41,23 @@ def upsert(
     target: DataFrame,
     batch: DataFrame,
     keys: list[str],
-    order_by: list[Column] | None = None,
+    order_by: list[Column],
 ) -> DataFrame:
-    """One row per key from ``target ∪ batch``; batch rows beat target rows.
+    """One row per key from ``target ∪ batch``; batch rows beat target rows,
+    and among batch rows the greatest by ``order_by`` wins.
 
     The result is a new DataFrame; write it to a new location (or version)
     rather than over the table it was read from.
     """
+    if not order_by:
+        raise ValueError("upsert needs order_by: which of several rows of one key came last")
     cols = target.columns
     if sorted(cols) != sorted(batch.columns):
         raise ValueError("target and batch must have the same columns")
     both = target.select(*cols, F.lit(0).alias(_SOURCE)).unionByName(
         batch.select(*cols, F.lit(1).alias(_SOURCE))
     )
-    order = [F.col(_SOURCE).desc()] + [o.desc_nulls_last() for o in (order_by or [])]
+    order = [F.col(_SOURCE).desc()] + [o.desc_nulls_last() for o in order_by]
     return latest_per_key(both, keys, order).select(*cols)
 
 

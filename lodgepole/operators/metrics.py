@@ -12,8 +12,10 @@ collected to the driver. Design points that matter at scale:
 * Top-k per (year, week) filters the rank directly, which Spark plans as a
   partial ``WindowGroupLimit`` before the shuffle: a week holding most of
   the data sends at most k rows per task to the final window.
-* Money is summed as exact integer cents, so ranks on revenue are stable
-  and averages are a single correctly rounded division.
+* Money is summed as exact decimals that keep every input digit, so ranks on
+  revenue are stable and averages are a single correctly rounded division.
+  Values without a decimal form (NaN, infinities, 10**18 and over) are added
+  as doubles, so one NaN makes its group's sum NaN, as summing doubles does.
 * The occupancy calendar gets the number of active listings as a scalar
   subquery (one distributed count, its value placed on every month),
   instead of crossing every listing with every month (O(N), not O(72·N)).
@@ -32,9 +34,8 @@ from lodgepole.functions.dates import (
     iso_week,
     month_calendar,
     signed_nights,
-    spine_bounds,
 )
-from lodgepole.functions.numeric import cents, exact_mean, from_cents, percent
+from lodgepole.functions.numeric import exact, exact_mean, exact_sum, inexact, percent
 from lodgepole.schemas import CONFIRMED, DATE_FORMAT
 
 # Top-k size and the repeat window length in days.
@@ -71,7 +72,9 @@ def average_listing_price(
         active(listings)
         .groupBy(*_year_week(d))
         .agg(
-            exact_mean(F.sum(cents("price")), F.count("price"), 100.0).alias("average_price"),
+            exact_mean(exact_sum(F.sum(exact("price")), F.sum(inexact("price"))), F.count("price")).alias(
+                "average_price"
+            ),
             format_date(F.min(d), date_format).alias("week_start_date"),
             format_date(F.max(d), date_format).alias("week_end_date"),
         )
@@ -107,28 +110,27 @@ def active_listing_calendar(
     numbers without the 72·N intermediate and without any join: the count
     is a scalar subquery (a distributed aggregate returning one value).
     """
+    return _calendar(spark, listings, start, end, count_ids).drop("month_start")
+
+
+def _calendar(spark: SparkSession, listings: DataFrame, start: str, end: str, count_ids: bool) -> DataFrame:
     counted = F.count("id") if count_ids else F.count(F.lit(1))
     n_active = active(listings).agg(counted.alias("active_listings"))
     return month_calendar(spark, start, end).withColumn("active_listings", n_active.scalar())
 
 
-def _booked_by_checkin_month(
-    bookings: DataFrame, start: str, end: str, count_col: str | None
-) -> DataFrame:
-    """Confirmed bookings per check-in month inside the spine.
+def _booked_by_checkin_month(bookings: DataFrame, count_col: str | None) -> DataFrame:
+    """Confirmed bookings per check-in month.
 
-    Rows outside the spine's months would be dropped by the left join
-    anyway; filtering them first pushes a date range into the scan and
-    bounds the result to one row per spine month, which makes it safe to
-    broadcast.
+    One derived key, the first day of the month, serves the grouping and the
+    join, so a check-in date that is still parsed from text is parsed once for
+    it. There is at most one row per month of the calendar that a DATE can
+    hold, which bounds the broadcast however many bookings there are.
     """
-    lo, hi = spine_bounds(start, end)
-    d = F.col("checkin_date")
     counted = F.count(count_col) if count_col else F.count(F.lit(1))
     return (
         confirmed(bookings)
-        .filter((d >= F.to_date(F.lit(lo))) & (d <= F.to_date(F.lit(hi))))
-        .groupBy(*_year_month("checkin_date"))
+        .groupBy(F.trunc("checkin_date", "MM").alias("month_start"))
         .agg(
             F.sum(signed_nights()).alias("total_booked_nights"),
             counted.alias("total_bookings"),
@@ -138,7 +140,7 @@ def _booked_by_checkin_month(
 
 def _occupancy(calendar: DataFrame, booked: DataFrame) -> DataFrame:
     return (
-        calendar.join(F.broadcast(booked), ["year", "month"], "left")
+        calendar.join(F.broadcast(booked), "month_start", "left")
         .fillna(0, subset=["total_booked_nights", "total_bookings"])
         .withColumn("available_nights", F.col("active_listings") * F.col("days_in_month"))
         .withColumn("occupancy_rate", percent(F.col("total_booked_nights"), F.col("available_nights")))
@@ -164,10 +166,8 @@ def occupancy_rate(
     end: str = DEFAULT_SPINE_END,
 ) -> DataFrame:
     """Scheduled-job variant: no rows at all when no listing is active."""
-    calendar = active_listing_calendar(spark, listings, start, end).filter(
-        F.col("active_listings") > 0
-    )
-    return _occupancy(calendar, _booked_by_checkin_month(bookings, start, end, None))
+    calendar = _calendar(spark, listings, start, end, False).filter(F.col("active_listings") > 0)
+    return _occupancy(calendar, _booked_by_checkin_month(bookings, None))
 
 
 def occupancy_rate_full_spine(
@@ -179,18 +179,18 @@ def occupancy_rate_full_spine(
 ) -> DataFrame:
     """Notebook variant: every spine month is kept (rate NULL with no
     active listing); counts ``id`` and ``booking_id`` instead of rows."""
-    calendar = active_listing_calendar(spark, listings, start, end, count_ids=True)
-    return _occupancy(calendar, _booked_by_checkin_month(bookings, start, end, "booking_id"))
+    calendar = _calendar(spark, listings, start, end, True)
+    return _occupancy(calendar, _booked_by_checkin_month(bookings, "booking_id"))
 
 
 # --------------------------------------------------------------------------
 # M3 / M4: top-k per (year, week) over bookings joined to listings
 # --------------------------------------------------------------------------
-def _per_listing_week(bookings: DataFrame, value: Column, name: str) -> DataFrame:
+def _per_listing_week(bookings: DataFrame, **values: Column) -> DataFrame:
     return (
         confirmed(bookings)
         .groupBy(*_year_week("booking_date"), F.col("apartment_id"))
-        .agg(value.alias(name))
+        .agg(*[value.alias(name) for name, value in values.items()])
     )
 
 
@@ -203,7 +203,7 @@ def _join_listings(per_listing: DataFrame, listings: DataFrame, cols: list[str])
 def popular_locations(bookings: DataFrame, listings: DataFrame, k: int = TOP_K) -> DataFrame:
     """Confirmed bookings per (year, week, city); best k cities per week by
     ``row_number`` (ties broken by city name, so the cut is deterministic)."""
-    per_listing = _per_listing_week(bookings, F.count(F.lit(1)), "n")
+    per_listing = _per_listing_week(bookings, n=F.count(F.lit(1)))
     per_city = (
         _join_listings(per_listing, listings, ["cityname"])
         .groupBy("year", "week", "cityname")
@@ -228,14 +228,18 @@ def popular_locations(bookings: DataFrame, listings: DataFrame, k: int = TOP_K)
 
 def top_performing_listings(bookings: DataFrame, listings: DataFrame, k: int = TOP_K) -> DataFrame:
     """Confirmed revenue per (year, week, listing); ``rank`` ≤ k, so ties at
-    the cut can return more than k rows."""
-    per_listing = _per_listing_week(bookings, F.sum(cents("total_price")), "revenue_cents")
+    the cut can return more than k rows. A NaN revenue ranks first, as Spark
+    orders doubles; no revenue (NULL) ranks last."""
+    per_listing = _per_listing_week(
+        bookings, exact_part=F.sum(exact("total_price")), inexact_part=F.sum(inexact("total_price"))
+    )
+    total = exact_sum(F.sum("exact_part"), F.sum("inexact_part"))
     per_listing_title = (
         _join_listings(per_listing, listings, ["title", "cityname"])
         .groupBy("year", "week", "id", "title", "cityname")
-        .agg(F.sum("revenue_cents").alias("revenue_cents"))
+        .agg(total.alias("week_revenue"))
     )
-    w = Window.partitionBy("year", "week").orderBy(F.col("revenue_cents").desc_nulls_last())
+    w = Window.partitionBy("year", "week").orderBy(F.col("week_revenue").desc_nulls_last())
     return (
         per_listing_title.withColumn("rank", F.rank().over(w))
         .filter(F.col("rank") <= k)
@@ -245,7 +249,7 @@ def top_performing_listings(bookings: DataFrame, listings: DataFrame, k: int = T
             F.col("id").cast("long"),
             "title",
             "cityname",
-            from_cents("revenue_cents").alias("week_revenue"),
+            "week_revenue",
             F.col("rank").cast("int"),
         )
         .orderBy("year", "week", "rank")

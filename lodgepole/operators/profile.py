@@ -69,26 +69,31 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def summary_profile(tables: dict[str, DataFrame], digits: int = 6) -> DataFrame:
-    """``count, mean, stddev, min, max`` of every numeric column (what
-    ``describe()`` reports), as numbers in long format; mean and stddev are
-    rounded to ``digits`` decimals. One aggregate per table."""
+    """What ``describe()`` reports, in long format: ``count, mean, stddev, min,
+    max`` of every numeric column as numbers, and ``count, min_text, max_text``
+    of every string column. Mean and stddev are rounded to ``digits`` decimals.
+    Columns of other types are left out, as there. One aggregate per table."""
     parts = []
     for name, df in tables.items():
-        fields = [f for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+        fields = [f for f in df.schema.fields if isinstance(f.dataType, (*NUMERIC, T.StringType))]
         if not fields:
             continue
         stats = []
         for i, f in enumerate(fields):
-            c = F.col(f.name).cast("double")
+            text = isinstance(f.dataType, T.StringType)
+            c = F.lit(None).cast("double") if text else F.col(f.name).cast("double")
+            s = F.col(f.name) if text else F.lit(None).cast("string")
             stats.append(
                 F.struct(
                     F.lit(i).alias("ordinal"),
                     F.lit(f.name).alias("column_name"),
-                    F.count(c).cast("long").alias("count"),
+                    F.count(F.col(f.name)).cast("long").alias("count"),
                     F.round(F.avg(c), digits).alias("mean"),
                     F.round(F.stddev_samp(c), digits).alias("stddev"),
                     F.min(c).alias("min"),
                     F.max(c).alias("max"),
+                    F.min(s).alias("min_text"),
+                    F.max(s).alias("max_text"),
                 ).alias(f"s{i}")
             )
         wide = df.agg(*stats)

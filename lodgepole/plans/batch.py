@@ -13,6 +13,9 @@ Each stage writes its tables before the next stage reads them back:
 * every layer is written once: in overwrite mode the layer tables are
   re-pointed at the written files (an atomic catalog update, no copy),
   only append mode copies rows into the tables;
+* every run writes to a folder of its own, which no table points to, so a
+  run can neither overwrite what a table holds nor append to what it has just
+  written;
 * the tables of one stage do not depend on each other, so their writes are
   submitted together from a few driver threads and Spark runs the jobs
   side by side (one job's short tail stages leave cores another job uses).
@@ -20,6 +23,7 @@ Each stage writes its tables before the next stage reads them back:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -27,18 +31,21 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgepole.functions.dates import DEFAULT_SPINE_END, DEFAULT_SPINE_START
+from lodgepole.functions.numeric import nan_to_null
 from lodgepole.operators.curate import curate_all
 from lodgepole.operators.metrics import all_metrics
 from lodgepole.plans.layers import (
+    Load,
+    apply_layout,
+    counted_write,
     create_layer_tables,
     ensure_not_empty,
     layer_path,
     publish,
     reconcile,
-    write_layer_table,
-    write_table,
 )
-from lodgepole.sources.domain import raw_tables
+from lodgepole.schemas import NAN_TO_NULL_TABLES
+from lodgepole.sources.domain import source_tables
 
 # Independent writes of one stage submitted at the same time.
 MAX_CONCURRENT_WRITES = 8
@@ -59,19 +66,27 @@ def run_each(action: Callable[[str, DataFrame], R], frames: dict[str, DataFrame]
 
 def write_layer(
     spark: SparkSession, frames: dict[str, DataFrame], root: str, layer: str
-) -> dict[str, DataFrame]:
-    """Write the tables of one layer (with their layout) and return them
-    read back from the written files (with the schema just written, so no
-    job is spent inferring it)."""
-    paths = run_each(lambda t, df: write_layer_table(df, root, layer, t), frames)
-    return {t: spark.read.schema(frames[t].schema).parquet(paths[t]) for t in frames}
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Write the tables of one layer (with their layout); return them read
+    back from the written files (with the schema just written, so no job is
+    spent inferring it) and the rows that each write counted."""
+    rows = run_each(lambda t, df: counted_write(apply_layout(df, t), layer_path(root, layer, t)), frames)
+    return {t: spark.read.schema(df.schema).parquet(layer_path(root, layer, t)) for t, df in frames.items()}, rows
+
 
+def ingest(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The loaders' normalisation: NaN becomes NULL in the tables whose
+    loaders do so, whatever kind of source they come from."""
+    return {t: nan_to_null(df) if t in NAN_TO_NULL_TABLES else df for t, df in sources.items()}
 
-def extract(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write each source table as Parquet under ``{root}/raw_layer/{table}``
-    (one independent Spark job per table) and return the staged copies."""
-    paths = run_each(lambda t, df: write_table(df, layer_path(root, "raw_layer", t)), sources)
-    return {t: spark.read.schema(sources[t].schema).parquet(paths[t]) for t in sources}
+
+def extract(
+    spark: SparkSession, sources: dict[str, DataFrame], root: str
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Ingest each source table and write it as Parquet under
+    ``{root}/raw_layer/{table}`` (one independent Spark job per table);
+    return the staged copies and their row counts."""
+    return write_layer(spark, ingest(sources), root, "raw_layer")
 
 
 def materialise_curated(
@@ -79,8 +94,8 @@ def materialise_curated(
 ) -> dict[str, DataFrame]:
     """Curate and write the three curated tables; return them read back."""
     if isinstance(raw, str):
-        raw = raw_tables(spark, raw)
-    return write_layer(spark, curate_all(raw), root, "curated_layer")
+        raw = ingest(source_tables(spark, raw))
+    return write_layer(spark, curate_all(raw), root, "curated_layer")[0]
 
 
 def metric_frames(
@@ -100,18 +115,29 @@ def run_batch(
     end: str = DEFAULT_SPINE_END,
     load_mode: str = "overwrite",
 ) -> DataFrame:
-    """Run every stage and return the load reconciliation report."""
-    raw = extract(spark, sources, root)
+    """Run every stage and return the load reconciliation report.
+
+    Tables are created under ``root``; the run's files go to a new folder
+    under it, so the same ``root`` may be used again.
+    """
+    run = f"{root}/runs/{uuid.uuid4().hex}"
+    raw, raw_rows = extract(spark, sources, run)
     for table, df in raw.items():
         ensure_not_empty(df, f"raw_layer/{table}")
-    curated = materialise_curated(spark, raw, root)
-    presentation = write_layer(spark, metric_frames(spark, curated, start, end), root, "presentation_layer")
+    curated, curated_rows = write_layer(spark, curate_all(raw), run, "curated_layer")
+    metrics, metric_rows = write_layer(spark, metric_frames(spark, curated, start, end), run, "presentation_layer")
 
     create_layer_tables(spark, root)
-    staged = {"raw_layer": raw, "curated_layer": curated, "presentation_layer": presentation}
-    pairs = []
-    for layer, tables in staged.items():
+    staged = {
+        "raw_layer": (raw, raw_rows),
+        "curated_layer": (curated, curated_rows),
+        "presentation_layer": (metrics, metric_rows),
+    }
+    loads = []
+    for layer, (tables, rows) in staged.items():
         for table, df in tables.items():
-            publish(spark, layer_path(root, layer, table), f"{layer}.{table}", load_mode, df)
-            pairs.append((layer, table, df))
-    return reconcile(spark, pairs)
+            name = f"{layer}.{table}"
+            before = spark.table(name).count() if load_mode == "append" else 0
+            publish(spark, layer_path(run, layer, table), name, load_mode, df)
+            loads.append(Load(layer, table, rows[table], before))
+    return reconcile(spark, loads)

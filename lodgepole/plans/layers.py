@@ -9,9 +9,12 @@ cluster is shared storage (see :func:`lodgepole.session.lake_root`).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +33,9 @@ def apply_layout(df: DataFrame, table: str) -> DataFrame:
     partition (no extra shuffle), so Parquet row-group min/max statistics
     let later range filters skip data.
 
-    The distribution key is not forced with a hash repartition: a key
-    holding a large share of rows would become one oversized file and task.
-    Use :func:`save_bucketed` where co-located joins on the key pay off.
+    The distribution key takes no part here: a key holding a large share of
+    rows would become one oversized file and task. :func:`save_bucketed` lays a
+    table out by it where co-located joins pay off.
     """
     spec = LAYOUT.get(table)
     if not spec:
@@ -66,13 +69,30 @@ def write_layer_table(df: DataFrame, root: str, layer: str, table: str, mode: st
     return write_table(apply_layout(df, table), layer_path(root, layer, table), mode=mode)
 
 
+def counted_write(df: DataFrame, path: str) -> int:
+    """Write Parquet to a new folder and return the rows written, counted by
+    the write itself (no second pass over the files)."""
+    written = Observation()
+    write_table(df.observe(written, F.count(F.lit(1)).alias("rows")), path)
+    return int(written.get["rows"])
+
+
 def save_bucketed(
-    df: DataFrame, table_name: str, path: str, key: str, buckets: int, sort_keys: list[str]
+    df: DataFrame, table_name: str, path: str, table: str, buckets: int
 ) -> None:
-    """Catalog table bucketed by ``key`` and sorted by ``sort_keys``: joins
-    and aggregates on ``key`` between bucketed tables need no shuffle."""
+    """Catalog table with the layout of ``table``: bucketed by its distribution
+    key and sorted by its sort keys, so that joins and aggregates on the key
+    between tables of as many buckets need no shuffle.
+
+    The rows are dealt to buckets before the write, one file for each; a key
+    that holds a large share of the rows makes one large file, as it makes one
+    large slice in a warehouse.
+    """
+    key, sort_keys = LAYOUT[table]
+    if key is None:
+        raise ValueError(f"{table} has no distribution key")
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key).write.mode("overwrite")
         .format("parquet")
         .option("path", path)
         .bucketBy(buckets, key)
@@ -129,6 +149,11 @@ def load_into(spark: SparkSession, df: DataFrame, table: str, mode: str = "overw
     df.select(*target_cols).write.insertInto(table, overwrite=(mode == "overwrite"))
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return detail.data_type.rstrip("/") if detail else ""
+
+
 def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name.lower(), f.dataType) for f in a.fields] == [
         (f.name.lower(), f.dataType) for f in b.fields
@@ -148,10 +173,11 @@ def publish(
     columns and types, the table is re-pointed at ``path`` with
     ``ALTER TABLE … SET LOCATION``. That is one catalog update, so readers
     see either the previous or the new data, a failed run never leaves a
-    half-written table, and a layer is written once instead of twice.
-    Write each run to a new folder; folders of earlier runs are left for
-    the caller's retention. ``append`` (or files whose schema differs)
-    falls back to a bulk load that copies and casts the rows.
+    half-written table, and a layer is written once instead of twice. From
+    then on the folder belongs to the table: every run writes to a folder of
+    its own (:func:`lodgepole.plans.batch.run_batch`), so none is ever written
+    under a table. ``append`` (or files whose schema differs) copies and casts
+    the rows into the table's own folder.
 
     ``staged`` may pass the files at ``path`` already opened as a DataFrame.
     Returns ``"relocated"`` or ``"loaded"``.
@@ -164,6 +190,8 @@ def publish(
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
         return "relocated"
+    if mode == "append" and table_location(spark, table) == path.rstrip("/"):
+        raise ValueError(f"{path} is already the folder of {table}: appending it would double its rows")
     target = spark.table(table).schema
     load_into(
         spark,
@@ -174,33 +202,55 @@ def publish(
     return "loaded"
 
 
-def reconcile(spark: SparkSession, pairs: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """Row counts of each staged source against its loaded table.
+@dataclass(frozen=True)
+class Load:
+    """What was loaded into a table: the rows that the write of the source
+    counted, and the rows that the table held before."""
 
-    ``pairs`` holds (layer, table, source frame). The result has one row per
-    table: ``layer, table_name, present, source_rows, target_rows``. A table
-    missing from the catalog is reported with ``present = false`` and
-    ``target_rows = NULL`` instead of failing the report. Each count is a
-    distributed aggregate evaluated as a scalar subquery; no rows reach the
-    driver.
+    layer: str
+    table: str
+    source_rows: int
+    rows_before: int = 0
+
+
+def is_readable(spark: SparkSession, name: str) -> bool:
+    """Whether one row of the table can be read (an empty table can)."""
+    try:
+        spark.table(name).limit(1).collect()
+    except (PySparkException, Py4JJavaError):  # a failed task comes back as the latter
+        return False
+    return True
+
+
+def reconcile(spark: SparkSession, loads: list[Load]) -> DataFrame:
+    """One row per load: ``layer, table_name, present, readable, source_rows,
+    target_rows, complete``.
+
+    ``source_rows`` is what the write of the source counted, ``target_rows`` what
+    the table holds now, and ``complete`` whether it has grown by exactly the
+    source's rows. A table that is missing or cannot be read is reported
+    (``target_rows`` NULL) and does not fail the report. Each count is a
+    distributed aggregate evaluated as a scalar subquery.
     """
     rows = []
-    for layer, table, source in pairs:
-        name = f"{layer}.{table}"
-        src = source.agg(F.count(F.lit(1))).scalar()
-        if spark.catalog.tableExists(name):
-            tgt = spark.table(name).agg(F.count(F.lit(1))).scalar()
-            present = F.lit(True)
-        else:
-            tgt = F.lit(None)
-            present = F.lit(False)
+    for load in loads:
+        name = f"{load.layer}.{load.table}"
+        present = spark.catalog.tableExists(name)
+        readable = present and is_readable(spark, name)
+        held = spark.table(name).agg(F.count(F.lit(1))).scalar() if readable else F.lit(None)
         rows.append(
-            spark.range(1).select(
-                F.lit(layer).alias("layer"),
-                F.lit(table).alias("table_name"),
-                present.alias("present"),
-                src.cast("long").alias("source_rows"),
-                tgt.cast("long").alias("target_rows"),
+            spark.range(0, 1, 1, 1)
+            .select(
+                F.lit(load.layer).alias("layer"),
+                F.lit(load.table).alias("table_name"),
+                F.lit(present).alias("present"),
+                F.lit(readable).alias("readable"),
+                F.lit(load.source_rows).cast("long").alias("source_rows"),
+                held.cast("long").alias("target_rows"),
+            )
+            .withColumn(
+                "complete",
+                F.coalesce(F.col("target_rows") - F.lit(load.rows_before) == F.col("source_rows"), F.lit(False)),
             )
         )
     return reduce(DataFrame.unionByName, rows)

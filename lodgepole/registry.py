@@ -10,18 +10,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodgepole.functions.dates import parse_date
 from lodgepole.operators import clean, curate, merge, metrics, profile
 from lodgepole.plans import batch, layers
-from lodgepole.schemas import CURATED_BOOKINGS, RAW
+from lodgepole.schemas import CURATED_BOOKINGS, LAYOUT, RAW
 from lodgepole.session import lake_root
-from lodgepole.sources.domain import SOURCES, raw_table, raw_tables
-from lodgepole.sources.readers import read_csv
+from lodgepole.sources.domain import SOURCES, raw_table, raw_tables, source_tables
+from lodgepole.sources.readers import read_catalog_table, read_csv
 from lodgepole.sources.updates import listing_price_updates
-from lodgepole.streaming.ingest import compact, run_ingest
 
 SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
@@ -50,7 +49,7 @@ def _scratch(spark: SparkSession, what: str) -> str:
 
 def _fresh_table(spark: SparkSession, layer: str, table: str, schema, root: str) -> str:
     name = f"{layer}.{table}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/_warehouse/{layer}'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{root}/{table}'")
@@ -85,11 +84,10 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _catalog_register(spark: SparkSession, sf: str) -> DataFrame:
     root = _scratch(spark, "catalog")
     batch.extract(spark, {"bookings": raw_table(spark, sf, "bookings")}, root)
-    spark.sql("CREATE DATABASE IF NOT EXISTS raw_layer")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS raw_layer LOCATION '{root}/_warehouse/raw_layer'")
     spark.sql("DROP TABLE IF EXISTS raw_layer.bookings")
-    return layers.register_parquet(
-        spark, "raw_layer", "bookings", layers.layer_path(root, "raw_layer", "bookings")
-    )
+    layers.register_parquet(spark, "raw_layer", "bookings", layers.layer_path(root, "raw_layer", "bookings"))
+    return read_catalog_table(spark, "raw_layer", "bookings")
 
 
 def _layer_load(spark: SparkSession, sf: str, modes: tuple[str, ...]) -> DataFrame:
@@ -106,36 +104,55 @@ def _layer_load(spark: SparkSession, sf: str, modes: tuple[str, ...]) -> DataFra
 
 
 def _layout_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the written table, and those that come before a row of a
+    smaller sort key in their file (none, if the layout holds)."""
     root = _scratch(spark, "layout")
     layers.write_layer_table(_bookings(spark, sf), root, "curated_layer", "curated_bookings")
-    return spark.read.parquet(layers.layer_path(root, "curated_layer", "curated_bookings"))
-
-
-def _stream_upsert_bookings(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw bookings arrive in two waves of files (every row in exactly one
-    wave, all rows of a key in one file). Each wave is ingested micro-batch
-    by micro-batch; between the waves the change log is compacted, so the
-    result is read from a snapshot plus the changes after it."""
-    root = _scratch(spark, "stream")
-    target, checkpoint = f"{root}/raw_layer/bookings", f"{root}/_checkpoints/bookings"
-    raw_bookings = raw_table(spark, sf, "bookings")
-    wave = F.pmod(F.xxhash64("booking_id"), F.lit(2))
-    out = None
-    for i in range(2):
-        landed = raw_bookings.filter(wave == i).repartition(2, "booking_id")
-        layers.write_table(landed, f"{root}/landing/wave{i}")
-        out = run_ingest(
-            spark, "bookings", f"{root}/landing/*", target, checkpoint, max_files_per_trigger=1
-        )
-        if i == 0:
-            compact(spark, "bookings", target)
-    return out
-
-
-def _batch_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return batch.run_batch(
-        spark, raw_tables(spark, sf), _scratch(spark, "batch"), SPINE_START, SPINE_END
+    rows = spark.read.parquet(layers.layer_path(root, "curated_layer", "curated_bookings"))
+    keys = LAYOUT["curated_bookings"][1]
+    place = Window.partitionBy("file").orderBy("row")
+    placed = rows.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.struct(*keys).alias("key")
+    ).withColumn("before", F.lag("key").over(place))
+    return placed.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("before") > F.col("key")).alias("out_of_order")
+    )
+
+
+def _layout_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    root = _scratch(spark, "buckets")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bucketed_layer LOCATION '{root}/_warehouse/bucketed_layer'")
+    spark.sql("DROP TABLE IF EXISTS bucketed_layer.curated_bookings")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layers.save_bucketed(
+        _bookings(spark, sf), "bucketed_layer.curated_bookings", f"{root}/curated_bookings", "curated_bookings", buckets
     )
+    return spark.table("bucketed_layer.curated_bookings")
+
+
+def _batch(spark: SparkSession, sf: str) -> DataFrame:
+    return batch.run_batch(spark, source_tables(spark, sf), _scratch(spark, "batch"), SPINE_START, SPINE_END)
+
+
+def _published(table: str) -> Query:
+    """A presentation table as the whole batch job leaves it in the catalog."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        _batch(spark, sf)
+        return read_catalog_table(spark, "presentation_layer", table)
+
+    return query
+
+
+def _batch_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, the second appended under the same root: the bookings of
+    each are half of all; the table ends with all of them."""
+    root, sources = _scratch(spark, "append"), source_tables(spark, sf)
+    half = F.pmod("booking_id", F.lit(2))
+    for i, mode in enumerate(("overwrite", "append")):
+        part = sources | {"bookings": sources["bookings"].filter(half == i)}
+        batch.run_batch(spark, part, root, SPINE_START, SPINE_END, mode)
+    return read_catalog_table(spark, "raw_layer", "bookings")
 
 
 QUERIES: dict[str, Query] = {
@@ -166,7 +183,9 @@ QUERIES: dict[str, Query] = {
     # profiling
     "duplicate_profile": lambda s, sf: profile.duplicate_profile(_cleaned_tables(s, sf, False)),
     "null_profile": lambda s, sf: profile.null_profile(_cleaned_tables(s, sf, True)),
-    "summary_profile": lambda s, sf: profile.summary_profile(raw_tables(s, sf)),
+    "summary_profile": lambda s, sf: profile.summary_profile(
+        raw_tables(s, sf) | {"curated_apartments": _listings(s, sf), "curated_bookings": _bookings(s, sf)}
+    ),
     # ingest: NaN normalisation, keyed upsert, keyless append
     "nan_to_null_attributes": lambda s, sf: raw_table(s, sf, "apartments_attributes"),
     "upsert_listings": _upsert_listings,
@@ -177,7 +196,10 @@ QUERIES: dict[str, Query] = {
     "layer_load_overwrite": lambda s, sf: _layer_load(s, sf, ("overwrite",)),
     "layer_load_append": lambda s, sf: _layer_load(s, sf, ("overwrite", "append")),
     "layout_sorted": _layout_sorted,
-    "batch_reconcile": _batch_reconcile,
-    # streaming: micro-batch keyed upsert (change log + compacted snapshot)
-    "stream_upsert_bookings": _stream_upsert_bookings,
+    "layout_bucketed": _layout_bucketed,
+    # the whole batch job: its report, what it publishes, a second batch appended
+    "batch_reconcile": _batch,
+    "batch_average_listing_price": _published("average_listing_price"),
+    "batch_top_performing_listings": _published("top_performing_listings"),
+    "batch_append_bookings": _batch_append,
 }

@@ -156,3 +156,7 @@ LAYOUT = {
     "average_booking_duration": ("year", ["year", "week"]),
     "repeat_customer_rate": ("year", ["year", "month"]),
 }
+
+# Tables whose loaders turn NaN into NULL on ingest (the bookings loader keeps
+# NaN as is).
+NAN_TO_NULL_TABLES = ("apartments", "apartments_attributes", "user_viewing")

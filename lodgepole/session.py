@@ -53,7 +53,6 @@ DEFAULT_CONF = {
     "spark.sql.sources.fileCompressionFactor": str(FILE_EXPANSION_FACTOR),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -106,30 +105,24 @@ def get_session(
 def lake_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (set by
-    the cluster to shared storage). Only when the setting is absent (local
-    tests, the driver's checks) do we create a private folder and register it
-    as the checkpoint directory.
+    This is the folder named by ``spark.checkpoint.dir``, which a cluster sets
+    to shared storage; without it a cluster session fails here, because each
+    executor would write to its own disk. Only a local master may run without
+    it: a private folder is then made and registered as checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    context = None
-    try:
-        context = spark.sparkContext
-    except Exception:  # Spark Connect: only the session configuration is visible
-        pass
-    if not root and context is not None:
-        root = context.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    key = id(context) if context is not None else id(spark)
-    if key not in _LOCAL_ROOTS:
-        # Unset (tests / local checks only): use a private folder and make it
-        # the checkpoint directory so checkpoint() works the same way.
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all executors share"
+        )
+    if context.applicationId not in _LOCAL_ROOTS:
         local = tempfile.mkdtemp(prefix="lodgepole-")
-        if context is not None:
-            context.setCheckpointDir(os.path.join(local, "_checkpoints"))
-        _LOCAL_ROOTS[key] = local
-    return _LOCAL_ROOTS[key]
+        context.setCheckpointDir(os.path.join(local, "_checkpoints"))
+        _LOCAL_ROOTS[context.applicationId] = local
+    return _LOCAL_ROOTS[context.applicationId]
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[str, str] = {}

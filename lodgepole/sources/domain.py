@@ -13,11 +13,19 @@ user_viewing           events (one view per event)
 =====================  ==================================================
 
 Dates are written as ``dd/MM/yyyy`` strings, as in the operational
-database. A few anomalies are mapped in on purpose, value by value (no row
-is dropped or sampled): one order in 97 carries its booking date as
-``yyyy-MM-dd`` (unparsable → NULL), one listing in 31 has a NULL
-``is_active``, one attribute row in 7 has ``square_feet = NaN``, and
-checkout dates run from 2 days before to 11 days after check-in.
+database. Anomalies are mapped in on purpose, value by value (no row is
+dropped or sampled, some are repeated):
+
+* one order in 97 carries its booking date as ``yyyy-MM-dd`` (unparsable →
+  NULL), one in 101 has no user, and one booking in 1,009 a NaN price;
+* bookings with ``booking_id % 53 = 0`` come twice, in EUR and in USD, and views
+  with ``event_id % 10 = 0`` come twice, so de-duplication has work to do;
+* listings with ``p_partkey % 20 = 0`` have no attributes, so the inner join
+  drops them;
+* one listing in 31 has a NULL ``is_active``, one in 43 a NULL price, one in 47
+  a NaN price and one in 29 a price with half a cent;
+* one attribute row in 7 has ``square_feet = NaN``, and checkout dates run from
+  2 days before to 11 days after check-in.
 
 Every frame is a lazy plan over the whole input tables; the work grows with
 the scale factor.
@@ -29,13 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgepole.functions.numeric import nan_to_null
-from lodgepole.schemas import DATE_FORMAT, RAW
-from lodgepole.sources.readers import read_parquet_table, spread
+from lodgepole.schemas import DATE_FORMAT, NAN_TO_NULL_TABLES, RAW
+from lodgepole.sources.readers import read_parquet_table
 
 # Fixed values of the mapping.
 LISTING_EPOCH = "1995-01-01"
 LISTING_DAY_SPREAD = 2000
 SOURCE_CURRENCY = "EUR"
+COPY_CURRENCY = "USD"
 ORDER_STATUS_TO_BOOKING_STATUS = {"F": "confirmed", "O": "pending", "P": "cancelled"}
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 
@@ -60,13 +69,22 @@ def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet_table(spark, sf_dir, name, INPUT_SCHEMAS[name])
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Deal a generated table to tasks by its key, always.
+
+    Each generated file is a single Parquet row group, which one task has to
+    scan; everything derived from it would run in that task as well.
+    """
+    return df.repartition(key)
+
+
 def _conform(df: DataFrame, table: str) -> DataFrame:
     schema = RAW[table]
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spread(read_input(spark, sf_dir, "part"), "p_partkey")
+    part = dealt(read_input(spark, sf_dir, "part"), "p_partkey")
     created = F.date_add(
         F.to_date(F.lit(LISTING_EPOCH)), (F.col("p_partkey") % LISTING_DAY_SPREAD).cast("int")
     )
@@ -74,7 +92,11 @@ def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("source"),
-        F.col("p_retailprice").alias("price"),
+        F.when(F.col("p_partkey") % 43 == 0, F.lit(None))
+        .when(F.col("p_partkey") % 47 == 0, F.lit(float("nan")))
+        .when(F.col("p_partkey") % 29 == 0, F.col("p_retailprice") + F.lit(0.005))
+        .otherwise(F.col("p_retailprice"))
+        .alias("price"),
         F.lit(SOURCE_CURRENCY).alias("currency"),
         F.date_format(created, DATE_FORMAT).alias("listing_created_on"),
         F.when(F.col("p_partkey") % 31 != 0, F.col("p_size") % 5 != 0).alias("is_active"),
@@ -86,7 +108,7 @@ def source_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spread(read_input(spark, sf_dir, "part"), "p_partkey")
+    part = dealt(read_input(spark, sf_dir, "part"), "p_partkey").filter(F.col("p_partkey") % 20 != 0)
     # nation and region are small dimensions; the planner broadcasts them
     # after checking their size against the broadcast threshold.
     places = read_input(spark, sf_dir, "nation").join(
@@ -120,8 +142,8 @@ def source_apartment_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
-    # orders is not spread: below the broadcast threshold it is broadcast
+    lineitem = dealt(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
+    # orders is not dealt: below the broadcast threshold it is broadcast
     # whole, above it the sort-merge join shuffles it by o_orderkey anyway.
     orders = read_input(spark, sf_dir, "orders")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -134,27 +156,36 @@ def source_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         mapped_status = (F.when if mapped_status is None else mapped_status.when)(
             status == code, F.lit(name)
         )
+    booking_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     df = joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
-        F.col("o_custkey").alias("user_id"),
+        booking_id.alias("booking_id"),
+        F.when(F.col("l_orderkey") % 101 != 0, F.col("o_custkey")).alias("user_id"),
         F.col("l_partkey").alias("apartment_id"),
         F.when(F.col("l_orderkey") % 97 == 0, F.date_format(order_date, ISO_DATE_FORMAT))
         .otherwise(F.date_format(order_date, DATE_FORMAT))
         .alias("booking_date"),
         F.date_format(ship, DATE_FORMAT).alias("checkin_date"),
         F.date_format(checkout, DATE_FORMAT).alias("checkout_date"),
-        F.col("l_extendedprice").alias("total_price"),
-        F.lit(SOURCE_CURRENCY).alias("currency"),
+        F.when(booking_id % 1009 == 0, F.lit(float("nan")))
+        .otherwise(F.col("l_extendedprice"))
+        .alias("total_price"),
+        F.explode(
+            F.when(booking_id % 53 == 0, F.array(F.lit(SOURCE_CURRENCY), F.lit(COPY_CURRENCY))).otherwise(
+                F.array(F.lit(SOURCE_CURRENCY))
+            )
+        ).alias("currency"),
         mapped_status.alias("booking_status"),
     )
     return _conform(df, "bookings")
 
 
 def source_user_viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(read_input(spark, sf_dir, "events"), "event_id")
-    df = events.select(
+    events = dealt(read_input(spark, sf_dir, "events"), "event_id")
+    listings = read_input(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
+    copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    df = events.withColumn("copy", F.explode(copies)).select(
         F.col("user_id"),
-        F.col("event_id").alias("apartment_id"),
+        (F.col("event_id") % listings).alias("apartment_id"),
         F.date_format(F.to_date("ts"), DATE_FORMAT).alias("viewed_at"),
         (F.col("value") > 50).alias("is_wishlisted"),
         F.col("event_type").alias("call_to_action"),
@@ -169,11 +200,6 @@ SOURCES = {
     "user_viewing": source_user_viewing,
 }
 
-# Ingest normalisation applied per table on the way into the raw layer
-# (the bookings loader keeps NaN as is).
-NAN_TO_NULL_TABLES = ("apartments", "apartments_attributes", "user_viewing")
-
-
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A raw-layer table: the source frame after ingest normalisation."""
     df = SOURCES[table](spark, sf_dir)
@@ -182,3 +208,8 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: raw_table(spark, sf_dir, t) for t in SOURCES}
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The operational tables as they are, before any ingest step."""
+    return {t: source(spark, sf_dir) for t, source in SOURCES.items()}

@@ -31,27 +31,6 @@ def read_parquet_table(
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a scan on ``key`` when it has fewer input splits than
-    the cluster has task slots.
-
-    A Parquet file written as one row group cannot be split, so every
-    operator fused behind its scan (projections, date formatting, partial
-    aggregates) would run in a single task. On a large input the scan
-    already has thousands of splits and this is a no-op, so no extra
-    shuffle is added at scale. Hashing on a key (not round-robin) keeps the
-    distribution deterministic when a lost task is recomputed.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if splits >= slots:
-        return df
-    return df.repartition(slots, key)
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -148,7 +127,7 @@ def jdbc_sources(
     url: str,
     tables: str | list[str],
     partition_keys: dict[str, str] | None = None,
-    num_partitions: int = 8,
+    num_partitions: int | None = None,
     **kwargs,
 ) -> dict[str, DataFrame]:
     """Lazy readers for several tables of one database (a comma-separated
@@ -157,6 +136,8 @@ def jdbc_sources(
     :func:`lodgepole.plans.batch.extract` to stage them as Parquet."""
     names = [t.strip() for t in (tables.split(",") if isinstance(tables, str) else tables) if t.strip()]
     keys = partition_keys or {}
+    if keys and not num_partitions:
+        raise ValueError("tables read in parallel ranges need num_partitions")
     out = {}
     for name in names:
         if name in keys:

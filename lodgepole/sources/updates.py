@@ -17,13 +17,13 @@ from lodgepole.sources.domain import (
     LISTING_DAY_SPREAD,
     LISTING_EPOCH,
     SOURCE_CURRENCY,
+    dealt,
     read_input,
 )
-from lodgepole.sources.readers import spread
 
 
 def listing_price_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = dealt(read_input(spark, sf_dir, "lineitem"), "l_orderkey")
     part = read_input(spark, sf_dir, "part")
     created = F.date_add(
         F.to_date(F.lit(LISTING_EPOCH)), (F.col("p_partkey") % LISTING_DAY_SPREAD).cast("int")

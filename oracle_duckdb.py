@@ -8,7 +8,8 @@ Conventions shared with the Spark side:
 
 * presentation types follow the published DDL (INT year/week/month/rank,
   BIGINT counts, DOUBLE money and rates);
-* money is summed as integer cents and divided once;
+* money is summed exactly, from the shortest decimal form of each double, and
+  rounded to DOUBLE once; a NaN makes its group's sum NaN;
 * ``spark_round2`` reproduces Spark's ``round(double, 2)``, which rounds the
   shortest decimal form of the double HALF_UP (DuckDB's own ``round``
   works on the binary value, so 1.005 would give 1.0 instead of 1.01).
@@ -37,7 +38,10 @@ src_apartments AS (
   SELECT CAST(p_partkey AS BIGINT) AS id,
          p_name AS title,
          p_brand AS source,
-         CAST(p_retailprice AS DOUBLE) AS price,
+         CASE WHEN p_partkey % 43 = 0 THEN NULL
+              WHEN p_partkey % 47 = 0 THEN CAST('NaN' AS DOUBLE)
+              WHEN p_partkey % 29 = 0 THEN CAST(p_retailprice AS DOUBLE) + CAST(0.005 AS DOUBLE)
+              ELSE CAST(p_retailprice AS DOUBLE) END AS price,
          'EUR' AS currency,
          strftime(DATE '1995-01-01' + CAST(p_partkey % 2000 AS INTEGER), '%d/%m/%Y') AS listing_created_on,
          CASE WHEN p_partkey % 31 <> 0 THEN p_size % 5 <> 0 END AS is_active,
@@ -66,31 +70,40 @@ src_apartments_attributes AS (
   FROM part
   JOIN nation ON p_partkey % 25 = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
+  WHERE p_partkey % 20 <> 0
 ),
-src_bookings AS (
+one_bookings AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS booking_id,
-         CAST(o_custkey AS BIGINT) AS user_id,
+         CASE WHEN l_orderkey % 101 <> 0 THEN CAST(o_custkey AS BIGINT) END AS user_id,
          CAST(l_partkey AS BIGINT) AS apartment_id,
          CASE WHEN l_orderkey % 97 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
               ELSE strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') END AS booking_date,
          strftime(CAST(l_shipdate AS DATE), '%d/%m/%Y') AS checkin_date,
          strftime(CAST(l_shipdate AS DATE) + ((CAST(floor(l_quantity) AS INTEGER) % 14) - 2), '%d/%m/%Y')
            AS checkout_date,
-         CAST(l_extendedprice AS DOUBLE) AS total_price,
+         CASE WHEN (l_orderkey * 10 + l_linenumber) % 1009 = 0 THEN CAST('NaN' AS DOUBLE)
+              ELSE CAST(l_extendedprice AS DOUBLE) END AS total_price,
          'EUR' AS currency,
          CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'O' THEN 'pending'
                             WHEN 'P' THEN 'cancelled' END AS booking_status
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
+src_bookings AS (
+  SELECT * FROM one_bookings
+  UNION ALL
+  SELECT * REPLACE ('USD' AS currency) FROM one_bookings WHERE booking_id % 53 = 0
+),
 src_user_viewing AS (
   SELECT CAST(user_id AS BIGINT) AS user_id,
-         CAST(event_id AS BIGINT) AS apartment_id,
+         CAST(event_id % (SELECT count(*) FROM part) AS BIGINT) AS apartment_id,
          strftime(CAST(ts AS DATE), '%d/%m/%Y') AS viewed_at,
          value > 50 AS is_wishlisted,
          event_type AS call_to_action
-  FROM events
+  FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0) e
+),
+raw_apartments AS (
+  SELECT * REPLACE (CASE WHEN isnan(price) THEN NULL ELSE price END AS price) FROM src_apartments
 ),
-raw_apartments AS (SELECT * FROM src_apartments),
 raw_apartments_attributes AS (
   SELECT * REPLACE (CASE WHEN isnan(square_feet) THEN NULL ELSE square_feet END AS square_feet)
   FROM src_apartments_attributes
@@ -151,12 +164,22 @@ def _with(extra_ctes: str, select: str) -> str:
     return body + select
 
 
+def exact_sum(col: str) -> str:
+    """The sum of doubles as exact decimals, rounded to DOUBLE once; with a
+    value that has no such form, what adding doubles gives."""
+    exact = f"TRY_CAST(CAST({col} AS VARCHAR) AS DECIMAL(28,10))"
+    return (
+        f"(CASE WHEN count(*) FILTER (WHERE {col} IS NOT NULL AND {exact} IS NULL) > 0 THEN sum({col}) "
+        f"ELSE CAST(CAST(sum({exact}) AS VARCHAR) AS DOUBLE) END)"
+    )
+
+
 def _avg_price(fmt: str, order: list[str]) -> str:
     cols = {
         "year": "CAST(year(listing_created_on) AS INTEGER) AS year",
         "week": "CAST(weekofyear(listing_created_on) AS INTEGER) AS week",
-        "average_price": "CAST(sum(CAST(CAST(price AS DECIMAL(18,2)) * 100 AS BIGINT)) AS DOUBLE)"
-        " / (CAST(count(price) AS DOUBLE) * 100.0) AS average_price",
+        "average_price": f"CASE WHEN count(price) > 0 THEN {exact_sum('price')} / CAST(count(price) AS DOUBLE) END "
+        "AS average_price",
         "week_start_date": f"strftime(min(listing_created_on), '{fmt}') AS week_start_date",
         "week_end_date": f"strftime(max(listing_created_on), '{fmt}') AS week_end_date",
     }
@@ -224,16 +247,16 @@ TOP_PERFORMING_LISTINGS = _with(
     f"""
 per_listing AS (
   SELECT {YEAR_WEEK_BOOKING}, a.id, a.title, a.cityname,
-         sum(CAST(CAST(b.total_price AS DECIMAL(18,2)) * 100 AS BIGINT)) AS revenue_cents
+         {exact_sum('b.total_price')} AS week_revenue
   FROM confirmed b JOIN curated_apartments a ON b.apartment_id = a.id
   GROUP BY 1, 2, 3, 4, 5
 ),
 ranked AS (
-  SELECT *, CAST(rank() OVER (PARTITION BY year, week ORDER BY revenue_cents DESC NULLS LAST) AS INTEGER)
+  SELECT *, CAST(rank() OVER (PARTITION BY year, week ORDER BY week_revenue DESC NULLS LAST) AS INTEGER)
             AS rank
   FROM per_listing
 )""",
-    "SELECT year, week, id, title, cityname, CAST(revenue_cents AS DOUBLE) / 100.0 AS week_revenue, rank "
+    "SELECT year, week, id, title, cityname, week_revenue, rank "
     "FROM ranked WHERE rank <= 5",
 )
 
@@ -317,7 +340,7 @@ ORACLE = {
 # --------------------------------------------------------------------------
 # Profiling, ingest, sinks and loads
 # --------------------------------------------------------------------------
-from lodgepole.schemas import RAW, RAW_DATE_COLUMNS  # noqa: E402  (column lists only)
+from lodgepole.schemas import CURATED, RAW, RAW_DATE_COLUMNS  # noqa: E402  (column lists only)
 
 NUMERIC_TYPES = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -347,15 +370,26 @@ def _null_profile() -> str:
 
 def _summary_profile() -> str:
     parts = []
-    for t, schema in RAW.items():
-        numeric = [f for f in schema.fields if f.dataType.simpleString() in NUMERIC_TYPES]
-        for i, f in enumerate(numeric):
+    tables = {t: (schema, f"raw_{t}") for t, schema in RAW.items()}
+    tables |= {t: (CURATED[t], t) for t in ("curated_apartments", "curated_bookings")}
+    nan = "CAST('NaN' AS DOUBLE)"
+    for t, (schema, view) in tables.items():
+        fields = [f for f in schema.fields if f.dataType.simpleString() in (*NUMERIC_TYPES, "string")]
+        for i, f in enumerate(fields):
+            head = f"SELECT '{t}' AS table_name, {i} AS ordinal, '{f.name}' AS column_name, CAST(count(\"{f.name}\") AS BIGINT) AS count, "
+            if f.dataType.simpleString() == "string":
+                parts.append(
+                    head + "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, "
+                    f"CAST(NULL AS DOUBLE) AS max, min(\"{f.name}\") AS min_text, max(\"{f.name}\") AS max_text FROM {view}"
+                )
+                continue
             c = f'CAST("{f.name}" AS DOUBLE)'
+            some = f"count(*) FILTER (WHERE isnan({c})) > 0"
+            number = f"FILTER (WHERE NOT isnan({c}))"
             parts.append(
-                f"SELECT '{t}' AS table_name, {i} AS ordinal, '{f.name}' AS column_name, "
-                f"CAST(count({c}) AS BIGINT) AS count, {spark_round(f'avg({c})', 6)} AS mean, "
-                f"{spark_round(f'stddev_samp({c})', 6)} AS stddev, min({c}) AS min, max({c}) AS max "
-                f"FROM raw_{t}"
+                head + f"CASE WHEN {some} THEN {nan} ELSE {spark_round(f'avg({c}) {number}', 6)} END AS mean, "
+                f"CASE WHEN {some} THEN {nan} ELSE {spark_round(f'stddev_samp({c}) {number}', 6)} END AS stddev, "
+                f"min({c}) AS min, max({c}) AS max, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM {view}"
             )
     return _with("", "\nUNION ALL\n".join(parts))
 
@@ -409,27 +443,14 @@ def _batch_reconcile() -> str:
     ):
         rows.append(("presentation_layer", t, _count(ORACLE[t])))
     return "\nUNION ALL\n".join(
-        f"SELECT '{layer}' AS layer, '{t}' AS table_name, true AS present, "
-        f"{n} AS source_rows, {n} AS target_rows"
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, true AS present, true AS readable, "
+        f"{n} AS source_rows, {n} AS target_rows, true AS complete"
         for layer, t, n in rows
     )
 
 
-_BOOKING_COLS = [f.name for f in RAW["bookings"].fields]
-STREAM_UPSERT_BOOKINGS = _with(
-    f"""
-ranked AS (
-  SELECT *, row_number() OVER (
-      PARTITION BY booking_id
-      ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in _BOOKING_COLS if c != 'booking_id')}) AS rn
-  FROM raw_bookings
-)""",
-    f"SELECT {', '.join(_BOOKING_COLS)} FROM ranked WHERE rn = 1",
-)
-
 ORACLE.update(
     {
-        "stream_upsert_bookings": STREAM_UPSERT_BOOKINGS,
         "duplicate_profile": _duplicate_profile(),
         "null_profile": _null_profile(),
         "summary_profile": _summary_profile(),
@@ -442,7 +463,13 @@ ORACLE.update(
         "layer_load_append": _with(
             "", "SELECT * FROM curated_bookings UNION ALL SELECT * FROM curated_bookings"
         ),
-        "layout_sorted": CURATED_BOOKINGS,
+        "layout_sorted": _with(
+            "", "SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS out_of_order FROM curated_bookings"
+        ),
+        "layout_bucketed": CURATED_BOOKINGS,
+        "batch_average_listing_price": ORACLE["average_listing_price"],
+        "batch_top_performing_listings": ORACLE["top_performing_listings"],
+        "batch_append_bookings": _with("", "SELECT * FROM raw_bookings"),
         "batch_reconcile": _batch_reconcile(),
     }
 )

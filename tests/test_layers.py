@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import booking
+from conftest import attributes, booking, listing
 from lodgepole.operators import curate
 from lodgepole.plans import layers
 from lodgepole.session import lake_root
@@ -46,9 +46,113 @@ def test_load_modes_and_reconcile(spark, raw):
     layers.load_into(spark, src, "testlayer.b", "append")
     assert spark.table("testlayer.b").count() == 10
     layers.load_into(spark, src, "testlayer.b", "overwrite")
-    report = layers.reconcile(spark, [("testlayer", "b", src), ("testlayer", "missing", src)])
-    got = {r.table_name: (r.present, r.source_rows, r.target_rows) for r in report.collect()}
-    assert got == {"b": (True, 5, 5), "missing": (False, 5, None)}
+    loads = [layers.Load("testlayer", "b", 5), layers.Load("testlayer", "missing", 5)]
+    got = {r.table_name: tuple(r)[2:] for r in layers.reconcile(spark, loads).collect()}
+    assert got == {"b": (True, True, 5, 5, True), "missing": (False, False, 5, None, False)}
+    # an append is complete when the table has grown by the source's rows
+    layers.load_into(spark, src, "testlayer.b", "append")
+    assert layers.reconcile(spark, [layers.Load("testlayer", "b", 5, rows_before=5)]).first().complete
+    assert not layers.reconcile(spark, [layers.Load("testlayer", "b", 5, rows_before=4)]).first().complete
+
+
+def _files(root):
+    return [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+
+
+def test_reconcile_shows_damaged_loads(spark, raw):
+    root = _root(spark, "damage")
+    spark.sql("CREATE DATABASE IF NOT EXISTS testdamage")
+    loads = []
+    for name in ("lost", "broken", "whole"):
+        spark.sql(f"DROP TABLE IF EXISTS testdamage.{name}")
+        spark.sql(f"CREATE TABLE testdamage.{name} (booking_id bigint) USING parquet LOCATION '{root}/{name}'")
+        src = raw("bookings", *[booking(i) for i in range(8)]).select("booking_id").repartition(2)
+        rows = layers.counted_write(src, f"{root}/run/{name}")
+        assert rows == 8
+        layers.publish(spark, f"{root}/run/{name}", f"testdamage.{name}")
+        loads.append(layers.Load("testdamage", name, rows))
+    os.remove(sorted(_files(f"{root}/run/lost"))[0])
+    for f in _files(f"{root}/run/broken"):
+        with open(f, "r+b") as out:
+            out.truncate(20)
+    spark.catalog.refreshTable("testdamage.lost")
+    spark.catalog.refreshTable("testdamage.broken")
+    got = {r.table_name: r for r in layers.reconcile(spark, loads).collect()}
+    assert got["whole"].complete and got["whole"].target_rows == 8
+    assert got["lost"].readable and not got["lost"].complete and got["lost"].target_rows < 8
+    assert got["broken"].present and not got["broken"].readable and not got["broken"].complete
+
+
+def test_partitioned_overwrite_replaces_all_partitions(spark, raw):
+    path = _root(spark, "partitions")
+    rows = raw("bookings", booking(1, booking_status="confirmed"), booking(2, booking_status="pending"))
+    layers.write_table(rows, path, partition_by=["booking_status"])
+    layers.write_table(rows.filter("booking_id = 2"), path, partition_by=["booking_status"])
+    assert [r.booking_id for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_bucketed_layout(spark, raw):
+    root = _root(spark, "bucketed")
+    df = curate.curated_bookings(raw("bookings", *[booking(i, apartment_id=i % 5) for i in range(50)]))
+    spark.sql("CREATE DATABASE IF NOT EXISTS testbuckets")
+    for name in ("a", "b"):
+        spark.sql(f"DROP TABLE IF EXISTS testbuckets.{name}")
+        layers.save_bucketed(df, f"testbuckets.{name}", f"{root}/{name}", "curated_bookings", 4)
+    detail = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED testbuckets.a").collect()}
+    assert detail["Num Buckets"] == "4" and detail["Bucket Columns"] == "[`apartment_id`]" and detail["Sort Columns"] == "[`booking_date`]"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = spark.table("testbuckets.a").join(spark.table("testbuckets.b"), "apartment_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    with pytest.raises(ValueError):
+        layers.save_bucketed(df, "testbuckets.c", f"{root}/c", "curated_user_viewing", 4)
+
+
+def _sources(raw, *bookings):
+    return {
+        "apartments": raw("apartments", listing(1, price=100.0), listing(2, price=float("nan"))),
+        "apartments_attributes": raw("apartments_attributes", attributes(1), attributes(2)),
+        "bookings": raw("bookings", *bookings),
+        "user_viewing": raw("user_viewing", dict(user_id=1, apartment_id=1, viewed_at="06/01/2020")),
+    }
+
+
+def test_batch_job_ingests_nan_as_null(spark, raw):
+    from lodgepole.plans.batch import run_batch
+
+    report = run_batch(spark, _sources(raw, booking(1)), _root(spark, "nan"))
+    assert report.count() == 14 and report.filter("not complete").isEmpty()
+    assert [r.average_price for r in spark.table("presentation_layer.average_listing_price").collect()] == [100.0]
+
+
+def test_batch_append_and_rerun_under_one_root(spark, raw):
+    from lodgepole.plans.batch import run_batch
+
+    root = _root(spark, "append")
+    first, second = [booking(i) for i in (1, 2, 3)], [booking(i) for i in (4, 5)]
+    ids = lambda: sorted(r.booking_id for r in spark.table("raw_layer.bookings").collect())
+    run_batch(spark, _sources(raw, *first), root)
+    assert ids() == [1, 2, 3]
+    report = run_batch(spark, _sources(raw, *second), root, load_mode="append")
+    assert ids() == [1, 2, 3, 4, 5] and report.filter("not complete").isEmpty()
+    run_batch(spark, _sources(raw, *second), root)  # the same root again, from anew
+    assert ids() == [4, 5]
+    other = _root(spark, "append-other")
+    run_batch(spark, _sources(raw, *first), other, load_mode="append")  # another root, appended
+    assert ids() == [1, 2, 3, 4, 5]
+
+
+def test_cluster_without_shared_folder_fails():
+    from types import SimpleNamespace
+
+    from lodgepole import session
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, applicationId="x"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.lake_root(cluster)
 
 
 def test_not_empty_check(spark, raw):
@@ -82,6 +186,29 @@ def test_jdbc_options_partitioned():
         jdbc_options("jdbc:x://h/db", "t", partition_column="id")
 
 
+def test_jdbc_sources_reads_each_table(monkeypatch):
+    from lodgepole.sources import readers
+
+    asked = []
+
+    class Probe:
+        def first(self):
+            return (3, 90)
+
+    def fake(spark, **options):
+        asked.append(options)
+        return Probe()
+
+    monkeypatch.setattr(readers, "read_jdbc", fake)
+    got = readers.jdbc_sources(None, "jdbc:x://h/db", "bookings, views", {"bookings": "booking_id"}, num_partitions=4, user="u")
+    assert set(got) == {"bookings", "views"}
+    assert "MIN(booking_id)" in asked[0]["table"]
+    assert (asked[1]["lower_bound"], asked[1]["upper_bound"], asked[1]["num_partitions"]) == (3, 91, 4)
+    assert asked[2] == {"url": "jdbc:x://h/db", "table": "views", "user": "u"}
+    with pytest.raises(ValueError):
+        readers.jdbc_sources(None, "jdbc:x://h/db", "bookings", {"bookings": "booking_id"})
+
+
 def test_schema_profile_and_describe(spark, raw):
     from lodgepole.operators import profile
 

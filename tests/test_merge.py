@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import listing
@@ -38,3 +39,16 @@ def test_upsert_breaks_remaining_ties_deterministically(spark, raw):
         results.add(tuple(upsert(target, batch.repartition(int(n)), ["id"], _order()).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert len(results) == 1 and next(iter(results))[0].price == 9.0
+
+
+def test_order_is_required_and_the_later_row_wins(raw):
+    target = raw("apartments", listing(1, price=9.0))
+    batch = raw(
+        "apartments",
+        listing(1, price=2.0, last_modified_timestamp="31/01/2020"),
+        listing(1, price=1.0, last_modified_timestamp="01/02/2020"),
+    )
+    for missing in ([], None):
+        with pytest.raises(ValueError, match="order_by"):
+            upsert(target, batch, ["id"], missing)
+    assert upsert(target, batch, ["id"], _order()).first().price == 1.0
