@@ -100,9 +100,9 @@ FROM rows GROUP BY conv_id
 
 _OP7 = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q, v c WHERE q.vec_id % {QUERY_EVERY} = 0 AND c.vec_id <> q.vec_id)
@@ -110,4 +110,38 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= {TOP_K}
 """
 
-ORACLE = {"op6_chat_format": _OP6, "op7_exact_topk": _OP7}
+# The generated pages mark their article and use these tags and references only.
+_OP3 = r"""
+WITH body AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS b FROM pages),
+blocks AS (
+  SELECT page_id, url, list_transform(string_split_regex(b, '</?(?:p|h1)>'), lambda x:
+    trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) AS l FROM body)
+SELECT page_id, url, array_to_string(list_filter(l, lambda x: x <> ''), chr(10) || chr(10)) AS text,
+  CAST(length(array_to_string(list_filter(l, lambda x: x <> ''), chr(10) || chr(10))) AS BIGINT) AS n_chars
+FROM blocks
+"""
+
+_OP8 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i+4], ' ')))) AS g
+  FROM words WHERE len(w) > 0 AND doc_id IS NOT NULL),
+sets AS (SELECT g, min(doc_id) AS copy_of FROM grams GROUP BY g),
+items AS (SELECT copy_of, len(g) AS n, unnest(g) AS x FROM sets),
+common AS (
+  SELECT a.copy_of AS p, b.copy_of AS q, any_value(a.n) AS np, any_value(b.n) AS nq, count(*) AS c
+  FROM items a JOIN items b ON a.x = b.x AND a.copy_of <> b.copy_of GROUP BY a.copy_of, b.copy_of),
+links AS (SELECT p, q FROM common WHERE 5 * c >= 4 * (np + nq - c)),
+reach(p, q) AS (SELECT copy_of, copy_of FROM sets UNION SELECT r.p, l.q FROM reach r JOIN links l ON r.q = l.p),
+classes AS (SELECT p, min(q) AS class_id FROM reach GROUP BY p),
+degree AS (SELECT p, count(*) AS n FROM links GROUP BY p)
+SELECT d.doc_id, coalesce(k.class_id, d.doc_id) AS class_id, coalesce(s.copy_of, d.doc_id) AS copy_of,
+  CAST(coalesce(e.n, 0) AS BIGINT) AS n_links
+FROM documents d LEFT JOIN grams g ON d.doc_id = g.doc_id LEFT JOIN sets s ON g.g = s.g
+LEFT JOIN classes k ON k.p = s.copy_of LEFT JOIN degree e ON e.p = s.copy_of
+"""
+
+ORACLE = {"op3_html_extract": _OP3, "op6_chat_format": _OP6, "op7_exact_topk": _OP7, "op8_ngram_join": _OP8}
