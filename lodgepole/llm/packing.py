@@ -233,4 +233,4 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, capacity: int = CAP
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     items = written(pieces(docs, path, pattern, capacity, closing), "pieces")
     placed = pack(items, capacity, partition_rows)
-    return items.join(placed, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return items.join(placed, "item").select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
