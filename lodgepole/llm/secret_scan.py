@@ -48,15 +48,16 @@ _TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?|vendor|
 
 
 def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
-    """Candidates: doc_id, path, start (code points), value, before.
+    """Candidates: doc_id, text_key, path, start (code points), value, before.
 
+    ``text_key`` is a hash of the text, which tells rows of one doc_id apart;
     ``before`` is the three words before and the part of the candidate's own
     word that precedes it.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), text.alias("text"))
-    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED))
+    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED)).withColumn("text_key", F.xxhash64("text"))
     hit = "struct<at: int, word: string, before: string>"
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("p1"), F.lit("").alias("p2"), F.lit("").alias("p3"), F.array().cast(f"array<{hit}>").alias("hits"))
 
@@ -71,14 +72,15 @@ def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
             F.when(word.rlike(_RUN) | word.rlike(_ASSIGNED), F.concat(acc["hits"], found)).otherwise(acc["hits"]).alias("hits"),
         )
 
-    words = some.select("doc_id", "path", F.explode(F.aggregate(F.split("text", r"\s", -1), zero, step, lambda acc: acc["hits"])).alias("hit")).select("doc_id", "path", "hit.*")
+    words = some.select("doc_id", "text_key", "path", F.explode(F.aggregate(F.split("text", r"\s", -1), zero, step, lambda acc: acc["hits"])).alias("hit")).select("doc_id", "text_key", "path", "hit.*")
     # in one word: all runs, or else the value assigned
     runs = F.regexp_extract_all("word", F.lit(_RUN), F.lit(0))
     values = F.when(F.size(runs) > 0, runs).otherwise(F.array(F.regexp_extract("word", _ASSIGNED, 4)))
-    one = words.select("doc_id", "path", "at", "word", "before", F.posexplode(F.array_distinct(values)).alias("nth", "value"))
+    one = words.select("doc_id", "text_key", "path", "at", "word", "before", F.posexplode(F.array_distinct(values)).alias("nth", "value"))
     inside = F.expr("locate(value, word) - 1")
     return one.select(
         "doc_id",
+        "text_key",
         "path",
         (F.col("at") + inside).alias("start"),
         "value",
@@ -198,13 +200,13 @@ def train(labelled: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT, tree
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "source", min_count: int = MIN_COUNT) -> DataFrame:
-    """One row per candidate: doc_id, start, length, value, votes (0 to 1), is_secret."""
+    """One row per candidate: doc_id, text_key, start, length, value, votes (0 to 1), is_secret."""
     labelled = labelled_findings(docs) if labelled is None else labelled
     forest = train(labelled, docs, min_count)
     found = cut(findings(docs, path_col))
     votes = F.lit(0.0) if forest is None else F.expr(forest)
     scored = features(found, docs, min_count).withColumn("votes", votes)
-    return scored.select("doc_id", "start", F.length("value").alias("length"), "value", "votes", (F.col("votes") >= 0.5).alias("is_secret"))
+    return scored.select("doc_id", "text_key", "start", F.length("value").alias("length"), "value", "votes", (F.col("votes") >= 0.5).alias("is_secret"))
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "source", mask: str = MASK) -> DataFrame:
@@ -213,11 +215,12 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "
     A value found in a document is replaced wherever that document holds it.
     Longer values go first, so a secret within a longer one is gone with it.
     """
-    secrets = scan(docs, labelled, path_col).filter("is_secret and doc_id is not null")
-    by_doc = secrets.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("value").alias("__values"))
-    by_doc = by_doc.withColumn("__values", F.array_sort("__values", lambda a, b: F.length(b) - F.length(a)))
+    secrets = scan(docs, labelled, path_col).filter("is_secret")
+    by_text = secrets.groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set("value").alias("__values"))
+    by_text = by_text.withColumn("__values", F.array_sort("__values", lambda a, b: F.length(b) - F.length(a)))
     clean = F.aggregate("__values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mask)))
-    joined = docs.join(by_doc, F.col("doc_id") == F.col("__doc"), "left")
+    same = (F.xxhash64(F.col("text").cast("string")) == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+    joined = docs.join(by_text, same, "left")
     text = F.when(F.col("__values").isNull(), F.col("text")).otherwise(clean)
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

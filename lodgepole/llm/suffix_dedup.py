@@ -313,7 +313,7 @@ def _covered(starts: np.ndarray, n: int, length: int) -> tuple[np.ndarray, int]:
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-_OUT_TEXT = _OUT.append(pa.field("kept", pa.binary()))
+_OUT_TEXT = _OUT.append(pa.field("text_sha256", pa.string())).append(pa.field("kept", pa.binary()))
 
 
 def _remove(length: int, gram: int, with_text: bool):
@@ -340,7 +340,7 @@ def _remove(length: int, gram: int, with_text: bool):
                 removed = int(mask.sum())
                 if removed:
                     kept = np.frombuffer(raw, np.uint8)[~mask].tobytes()
-            rows.append((None if null else doc, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), *([None if no_text else kept] if with_text else [])))
+            rows.append((None if null else doc, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), *([hashlib.sha256(raw).hexdigest(), None if no_text else kept] if with_text else [])))
         return pa.Table.from_batches([_to_batch(rows, schema)] if rows else [], schema)
 
     return run
@@ -349,7 +349,8 @@ def _remove(length: int, gram: int, with_text: bool):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES, with_text: bool = False) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, hash of what stays.
 
-    ``with_text`` adds the remaining bytes (``kept``).  See the module docstring
+    ``with_text`` adds the digest of the whole text (``text_sha256``, which tells
+    rows of one doc_id apart) and the remaining bytes (``kept``).  See the module docstring
     for the method and for nulls, ties and repeated rows.
     """
     spark = docs.sparkSession

@@ -74,3 +74,13 @@ def test_stages_handle_nulls_and_extra_columns(spark):
         docs = spark.createDataFrame(stage(spark, docs, "").collect(), schema)
         assert docs.columns == [f.split()[0] for f in schema.split(", ")]
     assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "None"]
+
+
+def test_suffix_stage_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(2)
+    own = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    passage, a, b, c = own(), own(), own(), own()
+    rows = [(1, passage, "en", "s", 0), (2, f"{a} {passage}", "en", "s", 0), (2, b, "en", "s", 0), (None, c, "en", "s", 0), (3, f"{c} {b[:50]}", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.suffix_removal(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, passage), (2, f"{a} "), (2, b), (None, c), (3, f" {b[:50]}")], key=str)
