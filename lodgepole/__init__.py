@@ -10,7 +10,7 @@ Layers (each a plain DataFrame transformation, sinks only at the edge):
 * ``operators`` – cleaning, curation, business metrics, profiling, upserts.
 * ``plans``     – sinks, layer tables, layout, load + reconciliation and the
                   end-to-end batch job.
-* ``streaming`` – incremental (micro-batch) ingestion into the raw layer.
+* ``llm``       – operators for training corpora; nothing else imports it.
 """
 
 from lodgepole.session import get_session, lake_root
