@@ -1,7 +1,7 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 1. Texts are split by the tokenizer's pattern into pre-tokens.  A chunk of
-   documents (one task's batch) is written as the sequence of its pre-tokens,
+   documents (one task's batch) is shuffled as the sequence of its pre-tokens,
    each given by its number among the chunk's distinct words: the positions.
 2. The distinct words of all chunks are shuffled by the hash of the word, as
    compressed blocks.  In a block every distinct word is encoded once, however
@@ -11,8 +11,9 @@
    (as many rows as the vocabulary, a bound known before).
 
 A word that a third of all rows hold is in each chunk once, so no block is
-hot.  The chunks are written to the shared folder once; both branches read
-them, and a lost executor costs no more than its own tasks.
+hot.  Positions and words leave the splitting step in one shuffle, which both
+the encoding and the placing step read, so texts are split once and nothing is
+written twice.
 
 Encoding gives the ids of the ``tiktoken`` library with the same ranks and
 pattern and no special tokens: strings that look like special tokens are
@@ -39,10 +40,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgepole.llm.common import gathered, text_bytes, written
+from lodgepole.llm.common import gathered, small_batches, text_bytes
 
 CHUNK_CHARS = 24 << 20
 BLOCK_BYTES = 64 << 20
+MIN_BLOCK_BYTES = 4 << 20
 
 
 @lru_cache(maxsize=4)
@@ -103,10 +105,9 @@ def _block_words(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(np.concatenate(([4 * (n + 1)], ends[:-1])).tolist(), ends.tolist(), strict=True)] if n else []
 
 
-_CHUNK = pa.schema(
-    [("chunk", pa.string()), ("doc_id", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("places", pa.binary()), ("blocks", pa.list_(pa.struct([("block", pa.int32()), ("words", pa.binary())])))]
-)
-_CHUNK_SQL = "chunk string, doc_id array<long>, n_words array<int>, places binary, blocks array<struct<block: int, words: binary>>"
+# A shuffled row: positions of a chunk (key c<chunk>) or words of a chunk in a block (key b<block>).
+_PART = pa.schema([("key", pa.string()), ("chunk", pa.string()), ("block", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("blob", pa.binary())])
+_PART_SQL = "key string, chunk string, block int, doc_id array<long>, n_words array<int>, blob binary"
 
 
 def _split(pattern: str, blocks: int):
@@ -128,27 +129,32 @@ def _split(pattern: str, blocks: int):
             number = np.empty(len(words), np.int32)
             number[order] = np.arange(len(words), dtype=np.int32)
             cuts = np.searchsorted(home[order], np.arange(blocks + 1))
-            dealt = [{"block": b, "words": _word_block([words[i] for i in order[cuts[b] : cuts[b + 1]]])} for b in range(blocks) if cuts[b] < cuts[b + 1]]
             at = number[np.frombuffer(places, np.int32)] if len(places) else np.zeros(0, np.int32)
             # byte planes compress better than whole integers
             planes = at.view(np.uint8).reshape(-1, 4).T.tobytes()
-            key = hashlib.sha256(np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + planes).hexdigest()
-            yield pa.RecordBatch.from_pylist([{"chunk": key, "doc_id": ids, "n_words": counts, "places": _zip(planes), "blocks": dealt}], schema=_CHUNK)
+            chunk = hashlib.sha256(np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + planes).hexdigest()
+            rows = [{"key": f"c{chunk}", "chunk": chunk, "doc_id": ids, "n_words": counts, "blob": _zip(planes)}]
+            for b in range(blocks):
+                if cuts[b] < cuts[b + 1]:
+                    rows.append({"key": f"b{b}", "chunk": chunk, "block": b, "blob": _word_block([words[i] for i in order[cuts[b] : cuts[b + 1]]])})
+            yield pa.RecordBatch.from_pylist(rows, schema=_PART)
 
     return run
 
 
-_IDS = pa.schema([("chunk", pa.string()), ("block", pa.int32()), ("ids", pa.binary())])
+_IDS = pa.schema([("key", pa.string()), ("block", pa.int32()), ("ids", pa.binary())])
 
 
 def _encode(path: str, pattern: str):
     """Encode each distinct word of a block once; ids for every chunk that holds it."""
 
     def run(group: pa.Table) -> pa.Table:
+        if group.column("block")[0].as_py() is None:
+            return _IDS.empty_table()
         one = encoding_of(path, pattern)._encode_single_piece
         known: dict[bytes, list[int]] = {}
         rows = []
-        for chunk, block, blob in zip(*(group.column(c).to_pylist() for c in ("chunk", "block", "words")), strict=True):
+        for chunk, block, blob in zip(*(group.column(c).to_pylist() for c in ("chunk", "block", "blob")), strict=True):
             flat, size = array("I"), array("I")
             for w in _block_words(blob):
                 ids = known.get(w)
@@ -156,7 +162,7 @@ def _encode(path: str, pattern: str):
                     ids = known[w] = one(w)
                 flat.extend(ids)
                 size.append(len(ids))
-            rows.append((chunk, block, _zip(np.uint32(len(size)).tobytes() + size.tobytes() + flat.tobytes())))
+            rows.append((f"c{chunk}", block, _zip(np.uint32(len(size)).tobytes() + size.tobytes() + flat.tobytes())))
         return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _IDS, strict=True)], schema=_IDS)
 
     return run
@@ -170,6 +176,8 @@ def _place(path: str, with_ids: bool):
     schema = _OUT if with_ids else pa.schema(list(_OUT)[:4])
 
     def run(key: tuple, chunks: pa.Table, ids: pa.Table) -> pa.Table:
+        if not chunks.num_rows or chunks.column("block")[0].as_py() is not None:
+            return schema.empty_table()
         all_bytes, start_of, size_of = token_bytes(path)
         sizes, flats, seen = [], [], set()
         for block, blob in sorted(zip(ids.column("block").to_pylist(), ids.column("ids").to_pylist(), strict=True)):
@@ -183,7 +191,7 @@ def _place(path: str, with_ids: bool):
         flat = np.concatenate(flats) if flats else np.zeros(0, np.uint32)
         start = np.cumsum(size) - size
         rows = []
-        for doc_ids, counts, places in zip(*(chunks.column(c).to_pylist() for c in ("doc_id", "n_words", "places")), strict=True):
+        for doc_ids, counts, places in zip(*(chunks.column(c).to_pylist() for c in ("doc_id", "n_words", "blob")), strict=True):
             at = np.ascontiguousarray(np.frombuffer(_unzip(places), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
             ends = np.cumsum(np.array(counts, np.int64))
             for doc, a, b in zip(doc_ids, (ends - np.array(counts, np.int64)).tolist(), ends.tolist(), strict=True):
@@ -204,11 +212,10 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
     ids as little-endian unsigned 32-bit integers.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(1, min(parts, math.ceil(text_bytes(rows) / (4 << 20))), math.ceil(text_bytes(rows) / BLOCK_BYTES))
-    chunks = written(rows.mapInArrow(_split(pattern, blocks), _CHUNK_SQL), "bpe-chunks")
-    words = chunks.select("chunk", F.explode("blocks").alias("b")).select("chunk", "b.block", "b.words")
-    ids = words.groupBy("block").applyInArrow(_encode(path, pattern), "chunk string, block int, ids binary")
+    small_batches(docs.sparkSession)
+    parts, size = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes(rows)
+    blocks = max(1, min(parts, math.ceil(size / MIN_BLOCK_BYTES)), math.ceil(size / BLOCK_BYTES))
+    dealt = rows.mapInArrow(_split(pattern, blocks), _PART_SQL)
+    ids = dealt.groupBy("key").applyInArrow(_encode(path, pattern), "key string, block int, ids binary")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else "")
-    held = chunks.select("chunk", "doc_id", "n_words", "places")
-    return held.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(_place(path, with_ids), out)
+    return dealt.groupBy("key").cogroup(ids.groupBy("key")).applyInArrow(_place(path, with_ids), out)
