@@ -1,7 +1,7 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
 A candidate is a run of at least 16 letters, digits and ``+ / _ -`` with a digit
-in it, or a value of at least 8 characters that is assigned to a word such as
+in it or of capitals only, or a value of at least 8 characters that is assigned to a word such as
 password, token or key.  Its features are the length, the shares of digits, upper
 case letters, vowels and distinct characters, the transitions between character
 classes, how much of it is covered by words of a dictionary, the path it was found
@@ -40,10 +40,12 @@ TREES = 24
 DEPTH = 6
 MASK = "[SECRET]"
 
-_RUN = r"(?=[A-Za-z+/_\-]{0,4096}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
+_RUN = r"(?=[A-Za-z+/_\-]{0,4096}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}|(?<![A-Za-z0-9+/_\-])[A-Z]{16,}(?![A-Za-z0-9+/_\-])"
 _KEYWORD = r"(?i)(passw(or)?d|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential|auth(orization)?|bearer)s?"
 _NEUTRAL = r"(?i)(sha|md5|crc|hash|digest|checksum|commit|revision|etag|uuid|guid|isbn|version|build|https?:|href|src|file|path|date|phone|card|order|ref)"
 _ASSIGNED = _KEYWORD + r"[\"']?[=:][\"']?([^\s\"',;<>]{8,})"
+# Prefixes by which providers mark their keys.
+_PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|rk_live_|AIza|eyJ|glpat-)"
 _TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?|vendor|lock)([/_.\-]|$)"
 
 
@@ -119,6 +121,7 @@ def features(found: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT) -> D
             "f_marks": _share("[A-Za-z0-9]"),
             "f_distinct": F.size(F.array_distinct(F.split("value", ""))) / F.length("value"),
             "f_transitions": (classes - 1) / F.length("value"),
+            "f_prefix": _flag(F.col("value").rlike(_PREFIX)),
             "f_hex": _flag(F.col("value").rlike("^([0-9a-f]+|[0-9A-F]+)$")),
             "f_dictionary": F.coalesce(F.col("covered"), F.lit(0)) / F.length("value"),
             "f_test_path": _flag(F.col("path").rlike(_TEST_PATH)),
@@ -131,7 +134,7 @@ def features(found: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT) -> D
 
 
 def labelled_findings(docs: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
-    """(value, before, path, label): about ``rows`` documents, chosen by a hash, give 16 findings each."""
+    """(value, before, path, label): about ``rows`` documents, chosen by a hash, give 18 findings each."""
     n = docs.count()
     share = min(1.0, rows / n) if n else 1.0
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -145,6 +148,7 @@ def labelled_findings(docs: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
     two = F.substring(number, 15, 2)
     cases = [
         (1, F.concat(F.lit("AKIA"), F.upper(F.substring("b", 1, 16))), w(0)),
+        (1, F.concat(F.lit("AKIA"), F.translate(F.upper(F.substring("b", 30, 16)), "0123456789", "QWXZKJVBPG")), w(12)),
         (1, F.concat(F.lit("ghp_"), F.substring("b", 20, 36)), F.concat_ws(" ", w(1), w(2))),
         (1, F.substring("h", 1, 18), F.concat_ws(" ", w(3), F.lit("password="))),
         (1, F.substring("b", 30, 12), F.concat_ws(" ", w(3), F.lit("passwd:"))),
@@ -155,6 +159,7 @@ def labelled_findings(docs: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
         (0, F.substring("h", 1, 40), F.concat_ws(" ", F.lit("commit"))),
         (0, F.concat_ws("-", F.substring("m", 1, 8), F.substring("m", 9, 4), F.substring("m", 13, 4), F.substring("m", 17, 4), F.substring("m", 21, 12)), F.concat_ws(" ", w(7), F.lit("uuid ="))),
         (0, F.concat_ws("_", w(8), w(9), w(10), two), F.concat_ws(" ", w(11), F.lit("="))),
+        (0, F.rpad(F.upper(F.concat(w(8), w(9), w(10), w(11))), 18, "THE"), F.concat_ws(" ", w(1), w(3))),
         (0, F.concat_ws("/", w(11), w(12), w(13), F.concat(w(14), F.lit("-"), two)), F.concat_ws(" ", w(15), w(16))),
         (0, number, F.concat_ws(" ", w(17), w(18))),
         (0, number, F.concat(F.lit('token = "'), F.substring("h", 5, 40), F.lit('"'))),
