@@ -270,9 +270,9 @@ def user_weekly_bookings(bookings: DataFrame) -> DataFrame:
             "user_id",
             F.col("total_bookings").cast("long"),
         )
-        # user_id makes the sort key unique: range partitioning can then split
-        # a week in which most users share the same booking count.
-        .orderBy("year", "week", F.col("total_bookings").desc(), F.col("user_id").asc_nulls_last())
+        # A large output: sorted inside each task, as the written table is laid
+        # out, instead of range-partitioning all rows for a global order.
+        .sortWithinPartitions("year", "week", F.col("total_bookings").desc(), F.col("user_id").asc_nulls_last())
     )
 
 
