@@ -37,6 +37,23 @@ MAX_GRAM = 4
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _HASH_RANGE = 1 << 30
+_MAX_CACHED = 500_000
+
+
+class _Rows(dict):
+    """Words met so far, each with its row in a growing table of scores."""
+
+    def __init__(self, model: LanguageModel) -> None:
+        self.model = model
+        self.scores = np.zeros((1024, len(model.langs)))
+
+    def __missing__(self, word: str) -> int:
+        row = len(self)
+        if row == len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.scores[row] = self.model._backoff(word)
+        self[word] = row
+        return row
 
 
 @dataclass
@@ -47,17 +64,21 @@ class LanguageModel:
     grams: dict[str, int]  # padded n-gram of any length -> row of gram_scores
     gram_scores: np.ndarray
     max_gram: int
-    _seen: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    _rows: _Rows = field(init=False, repr=False)
+
+    def __post_init__(self) -> None:
+        self._rows = _Rows(self)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_rows"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._rows = _Rows(self)
 
     def word(self, word: str) -> np.ndarray:
         """Log-probability of a word for each language, by backoff."""
-        got = self._seen.get(word)
-        if got is None:
-            got = self._backoff(word)
-            if len(self._seen) > 500_000:
-                self._seen.clear()
-            self._seen[word] = got
-        return got
+        return self._rows.scores[self._rows[word]]
 
     def _backoff(self, word: str) -> np.ndarray:
         row = self.words.get(word)
@@ -74,9 +95,10 @@ class LanguageModel:
         found = Counter(_WORD.findall(text.lower())) if text else {}
         if not found or not self.langs:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in found.items():
-            total += self.word(word) * n
+        if len(self._rows) > _MAX_CACHED:
+            self._rows = _Rows(self)
+        rows = list(map(self._rows.__getitem__, found))
+        total = np.fromiter(found.values(), float, len(found)) @ self._rows.scores[rows]
         best = int(np.argmax(total))
         return self.langs[best], float(1.0 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
