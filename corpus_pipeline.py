@@ -46,17 +46,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = suffix_dedup.remove_repeats(docs, with_text=True).filter("n_removed > 0")
-    # a removed run may start or end inside a character: what is left of it goes as well
-    rest = rest.select(F.col("doc_id").alias("__doc"), F.col("text_sha256").alias("__sha"), suffix_dedup.as_text("kept").alias("__kept"))
-    # rows of one doc_id are told apart by their text; repeated rows have equal results
-    same = (F.sha2(F.col("text").cast("binary"), 256) == F.col("__sha")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
-    changed = docs.join(rest.dropDuplicates(["__doc", "__sha"]), same, "left")
-    gone = F.col("__sha").isNotNull()
-    out = changed.withColumn("text", F.when(gone, F.col("__kept")).otherwise(F.col("text")))
+    left = suffix_dedup.without_repeats(docs, removed="__removed")
+    changed = F.col("__removed") > 0
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(gone, F.length("__kept").cast("long")).otherwise(F.col("n_chars")))
-    return out.filter(~gone | F.col("text").rlike(r"\S")).select(*docs.columns)
+        left = left.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return left.filter(~changed | F.col("text").rlike(r"\S")).select(*docs.columns)
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ MAX_GRAM = 4
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _HASH_RANGE = 1 << 30
-_MAX_CACHED = 500_000
+_MAX_CACHED = 200_000
 
 
 class _Rows(dict):

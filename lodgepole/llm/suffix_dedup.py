@@ -43,13 +43,14 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.ipc  # noqa: F401  (pa.ipc)
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, sliding_min, small_batches, span_hash, text_bytes, unpack
+from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, sliced, sliding_min, small_batches, span_hash, text_bytes, unpack
 
 LENGTH = 100
 GRAM = 48
@@ -214,11 +215,33 @@ def _sort_keys(blocks: int):
     return run
 
 
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches in tables of about ``BATCH_CHARS`` characters of text."""
+    held, size = [], 0
+    for b in sliced(batches):
+        held.append(b)
+        size += b.column("__text").nbytes + 16 * b.num_rows
+        if size >= BATCH_CHARS:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _to_ipc(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def _chunks(blocks: int):
-    """Documents dealt to blocks, compressed."""
+    """Documents dealt to blocks, compressed: ids, other columns, texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in gathered(batches, BATCH_CHARS, ("doc_id", "text"), "text"):
+        for table in _tables(batches):
+            ids, texts = table.column("__doc").to_pylist(), table.column("__text").to_pylist()
+            others = table.drop_columns(["__doc", "__text"])
             null = np.array([i is None for i in ids])
             doc = np.array([_NO_ID if i is None else i for i in ids], np.int64)
             raw = [(t or "").encode() for t in texts]
@@ -227,25 +250,36 @@ def _chunks(blocks: int):
             by = np.argsort(home, kind="stable")
             for part in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
                 raws = [raw[i] for i in part]
-                blob = zstandard.ZstdCompressor(level=3).compress(b"".join(raws))
                 meta = pack(doc[part], np.array([len(r) for r in raws], np.int64), null[part].astype(np.uint8), np.array([texts[i] is None for i in part], np.uint8))
-                rows.append((3, int(home[part[0]]), len(meta).to_bytes(8, "little") + meta + blob))
+                carried = _to_ipc(others.take(pa.array(part))) if others.num_columns else b""
+                sizes = np.array([len(meta), len(carried)], np.int64).tobytes()
+                rows.append((3, int(home[part[0]]), sizes + meta + carried + zstandard.ZstdCompressor(level=3).compress(b"".join(raws))))
             yield _to_batch(rows, _BLOB)
 
     return run
 
 
+def _parts(blob: bytes) -> tuple[bytes, bytes, bytes]:
+    meta, carried = np.frombuffer(blob, np.int64, 2).tolist()
+    return blob[16 : 16 + meta], blob[16 + meta : 16 + meta + carried], blob[16 + meta + carried :]
+
+
 def _documents(blobs: list[bytes]) -> Iterator[tuple[int, bytes, bool, bool]]:
     for blob in blobs:
-        n = int.from_bytes(blob[:8], "little")
-        doc, size, null, no_text = unpack(blob[8 : 8 + n], "i8", "i8", "u1", "u1")
-        raw = zstandard.ZstdDecompressor().decompress(blob[8 + n :]) if size.sum() else b""
+        meta, _, texts = _parts(blob)
+        doc, size, null, no_text = unpack(meta, "i8", "i8", "u1", "u1")
+        raw = zstandard.ZstdDecompressor().decompress(texts) if size.sum() else b""
         at = 0
         for d, s, x, t in zip(doc.tolist(), size.tolist(), null.tolist(), no_text.tolist(), strict=True):
             yield d, raw[at : at + s], bool(x), bool(t)
             at += s
 
 
+def _carried(blobs: list[bytes]) -> pa.Table:
+    """The other columns of the documents, in the order of ``_documents``."""
+    return pa.concat_tables([pa.ipc.open_stream(_parts(b)[1]).read_all() for b in blobs])
+
+
 class _Starts:
     """First occurrences of a block, looked up by document."""
 
@@ -313,68 +347,89 @@ def _covered(starts: np.ndarray, n: int, length: int) -> tuple[np.ndarray, int]:
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-_OUT_TEXT = _OUT.append(pa.field("text_sha256", pa.string())).append(pa.field("kept", pa.binary()))
+_OUT_SQL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _remove(length: int, gram: int, with_text: bool):
-    schema = _OUT_TEXT if with_text else _OUT
-
+def _kept(length: int, gram: int, chunks: pa.Table, firsts: pa.Table) -> Iterator[tuple[int | None, bytes, bytes | None, int, int]]:
+    """(doc_id, text, remaining bytes, removed bytes, removed runs) of a block's documents."""
+    kinds, blobs = firsts.column("kind").to_pylist(), firsts.column("blob").to_pylist()
+    classes = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 2])
+    windows = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 5])
+    for doc, raw, null, no_text in _documents(chunks.column("blob").to_pylist()):
+        kept, removed, spans = raw, 0, 0
+        if len(raw) >= length:
+            tag = _tag(raw)
+            first, state = classes.of(doc, tag)
+            new = np.zeros(len(raw) - length + 1, bool)
+            new[windows.of(doc, tag)[0]] = True
+            closed = first[state == 0]
+            for st, en, _, _, _, base in _segments(raw, length, gram):
+                for s, e in zip(st[m := np.isin(st + base, closed)] + base, en[m] + base, strict=True):
+                    new[s : e + 1] = True
+            mask, spans = _covered(np.flatnonzero(~new), len(raw), length)
+            removed = int(mask.sum())
+            if removed:
+                kept = np.frombuffer(raw, np.uint8)[~mask].tobytes()
+        yield None if null else doc, raw, None if no_text else kept, removed, spans
+
+
+def _report(length: int, gram: int):
     def run(key: tuple, chunks: pa.Table, firsts: pa.Table) -> pa.Table:
-        kinds = np.array(firsts.column("kind").to_pylist(), np.int64)
-        blobs = firsts.column("blob").to_pylist()
-        classes = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 2])
-        windows = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 5])
-        rows = []
-        for doc, raw, null, no_text in _documents(chunks.column("blob").to_pylist()):
-            kept, removed, spans = raw, 0, 0
-            if len(raw) >= length:
-                tag = _tag(raw)
-                first, state = classes.of(doc, tag)
-                new = np.zeros(len(raw) - length + 1, bool)
-                new[windows.of(doc, tag)[0]] = True
-                closed = first[state == 0]
-                for st, en, _, _, _, base in _segments(raw, length, gram):
-                    for s, e in zip(st[m := np.isin(st + base, closed)] + base, en[m] + base, strict=True):
-                        new[s : e + 1] = True
-                mask, spans = _covered(np.flatnonzero(~new), len(raw), length)
-                removed = int(mask.sum())
-                if removed:
-                    kept = np.frombuffer(raw, np.uint8)[~mask].tobytes()
-            rows.append((None if null else doc, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), *([hashlib.sha256(raw).hexdigest(), None if no_text else kept] if with_text else [])))
-        return pa.Table.from_batches([_to_batch(rows, schema)] if rows else [], schema)
+        rows = [(doc, len(raw), removed, spans, hashlib.sha256(kept or b"").hexdigest()) for doc, raw, kept, removed, spans in _kept(length, gram, chunks, firsts)]
+        return pa.Table.from_batches([_to_batch(rows, _OUT)] if rows else [], _OUT)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES, with_text: bool = False) -> DataFrame:
-    """One row per document: bytes, removed bytes and runs, hash of what stays.
+def _rewrite(length: int, gram: int, names: list[str]):
+    """The documents themselves, with what is left of their texts."""
 
-    ``with_text`` adds the digest of the whole text (``text_sha256``, which tells
-    rows of one doc_id apart) and the remaining bytes (``kept``).  See the module docstring
-    for the method and for nulls, ties and repeated rows.
-    """
+    def run(key: tuple, chunks: pa.Table, firsts: pa.Table) -> pa.Table:
+        rows = list(_kept(length, gram, chunks, firsts))
+        # a removed run may start or end inside a character: what is left of it goes as well
+        text = pa.array([None if kept is None else kept.decode("utf-8", "ignore") for _, _, kept, _, _ in rows], pa.string())
+        removed = pa.array([n for _, _, _, n, _ in rows], pa.int64())
+        if not rows:
+            return pa.table({"text": text, "__removed": removed})
+        others = _carried(chunks.column("blob").to_pylist())
+        return pa.table([text if n == "text" else others.column(n) for n in names] + [removed], names=[*names, "__removed"])
+
+    return run
+
+
+def _settled(docs: DataFrame, others: list[str], length: int, gram: int, hot_classes: int) -> tuple[DataFrame, DataFrame]:
+    """Chunks of the documents, and the first occurrences that settle their windows, both by block."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    blocks = max(parts, math.ceil(text_bytes(docs) / BLOCK_BYTES))
-    keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    blocks = max(parts, math.ceil(text_bytes(docs.select(text.alias("text"))) / BLOCK_BYTES))
+    keyed = docs.select(F.coalesce(doc, F.lit(_NO_ID)).alias("doc_id"), text.alias("text"))
     sample = keyed.mapInArrow(_sample(length, gram, blocks, hot_classes), _BLOB_SQL)
     firsts = sample.groupBy("block").applyInArrow(_sort_keys(blocks), _BLOB_SQL)
-    chunks = docs.mapInArrow(_chunks(blocks), _BLOB_SQL)
+    chunks = docs.select(doc.alias("__doc"), text.alias("__text"), *others).mapInArrow(_chunks(blocks), _BLOB_SQL)
     open_ = chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_open_windows(length, gram, blocks), _BLOB_SQL)
     windows = open_.groupBy("block").applyInArrow(_sort_windows(blocks), _BLOB_SQL)
-    out = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'string' if f.type == pa.string() else 'binary'}" for f in (_OUT_TEXT if with_text else _OUT))
-    return (
-        chunks.groupBy("block").cogroup(firsts.unionByName(windows).groupBy("block")).applyInArrow(_remove(length, gram, with_text), out)
-    )
+    return chunks, firsts.unionByName(windows)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES) -> DataFrame:
+    """One row per document: bytes, removed bytes and runs, hash of what stays.
 
+    See the module docstring for the method and for nulls, ties and repeated rows.
+    """
+    chunks, firsts = _settled(docs, [], length, gram, hot_classes)
+    return chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_report(length, gram), _OUT_SQL)
 
-def as_text(column: str):
-    """Remaining bytes as text; what is left of a character that was cut goes as well."""
 
-    @F.pandas_udf("string")
-    def decode(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+def without_repeats(docs: DataFrame, removed: str = "n_removed", length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES) -> DataFrame:
+    """``docs`` with what is left of the texts, and the removed bytes in a new column.
 
-    return decode(F.col(column))
+    The other columns travel with the texts, so no join brings them back.  Bytes
+    left of a character that was cut go as well; a null text stays null.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    chunks, firsts = _settled(docs, others, length, gram, hot_classes)
+    schema = StructType([StructField(f.name, StringType() if f.name == "text" else f.dataType) for f in docs.schema] + [StructField("__removed", LongType())])
+    out = chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_rewrite(length, gram, docs.columns), schema)
+    return out.withColumnRenamed("__removed", removed)

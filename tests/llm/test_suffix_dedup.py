@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from lodgepole.llm.suffix_dedup import remove_repeats
+from lodgepole.llm.suffix_dedup import remove_repeats, without_repeats
 
 
 def brute(rows, length=100):
@@ -74,7 +74,21 @@ def test_empty_table(docs):
     assert remove_repeats(docs([])).collect() == []
 
 
-def test_text_kept(docs):
+def test_texts_and_other_columns_stay_together(docs):
     text = " ".join(str(i * i) for i in range(200))
-    got = {r.doc_id: bytes(r.kept or b"").decode() if r.kept is not None else None for r in remove_repeats(docs([(1, text), (2, "new " + text + " end"), (3, None)]), with_text=True).collect()}
-    assert got == {1: text, 2: "new  end", 3: None}
+    rows = [(1, text), (2, "new " + text + " end"), (3, None), (None, "no id"), (2, "another text of the same id"), (1, text)]
+    df = docs(rows, {"block": "doc_id * 2", "when": "timestamp'2020-01-01 00:00:00'", "list": "array(doc_id, 7)"})
+    got = without_repeats(df)
+    assert got.columns == [*df.columns, "n_removed"] and got.drop("n_removed").dtypes == df.dtypes
+    key = lambda r: (str(r[0]), str(r[1]))
+    expected = [(1, text, 0), (1, text, 0), (2, "new  end", len(text)), (3, None, 0), (None, "no id", 0), (2, "another text of the same id", 0)]
+    rows_ = sorted(got.collect(), key=key)
+    assert [(r.doc_id, r.text, r.n_removed) for r in rows_] == sorted(expected, key=key)
+    assert all(r["block"] == (None if r.doc_id is None else r.doc_id * 2) and r["list"] == [r.doc_id, 7] for r in rows_)
+    assert without_repeats(docs([])).collect() == []
+
+
+def test_cut_characters_go(docs):
+    shared = "é" * 80  # 160 bytes; windows of 100 bytes start at every byte
+    got = {r.doc_id: r.text for r in without_repeats(docs([(1, "a" + shared), (2, "è" + shared + "è")])).collect()}
+    assert got[2].strip("è") == ""
