@@ -8,8 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 import corpus_pipeline  # noqa: E402
-from test_packing import check  # noqa: E402
-from test_secret_scan import planted  # noqa: E402
+from llm.test_packing import check  # noqa: E402
+from llm.test_secret_scan import planted  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
