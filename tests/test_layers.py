@@ -56,6 +56,7 @@ def test_load_modes_and_reconcile(spark, raw):
 
 
 def _files(root):
+    root = root.removeprefix("file://")
     return [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
 
 
