@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,19 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Executors keep their Python workers: freed Arrow blocks go back to the system
+# instead of staying in a pool of each worker.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+def release() -> None:
+    """Give memory that Python has freed back to the system, where the C library can."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps the memory
+
+
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -135,6 +149,7 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    release()
 
 
 def gathered(batches: Iterator[pa.RecordBatch], limit: int, columns: tuple[str, ...], text: str) -> Iterator[list[list]]:

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, sliced, sliding_min, small_batches, span_hash, text_bytes, unpack
+from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, release, sliced, sliding_min, small_batches, span_hash, text_bytes, unpack
 
 LENGTH = 100
 GRAM = 48
@@ -193,6 +193,7 @@ def _sort_keys(blocks: int):
     """
 
     def run(group: pa.Table) -> pa.Table:
+        release()
         kinds = group.column("kind").to_pylist()
         blobs = group.column("blob").to_pylist()
         rows: list[tuple] = []
@@ -298,6 +299,7 @@ def _open_windows(length: int, gram: int, blocks: int):
     """Windows of class firsts whose key has other classes, folded and dealt by hash."""
 
     def run(key: tuple, chunks: pa.Table, firsts: pa.Table) -> pa.Table:
+        release()
         found = _Starts(firsts.column("blob").to_pylist())
         parts: list[list[np.ndarray]] = [[], [], []]
         for doc, raw, _, _ in _documents(chunks.column("blob").to_pylist()):
@@ -328,6 +330,7 @@ def _sort_windows(blocks: int):
     """Sort one block of windows: the first of each."""
 
     def run(group: pa.Table) -> pa.Table:
+        release()
         hashes, doc, at = (np.concatenate(c) for c in zip(*(unpack(b, "u8", "i8", "i8") for b in group.column("blob").to_pylist()), strict=True))
         by, new = _firsts((doc, at), hashes)
         by = by[new]
@@ -352,6 +355,7 @@ _OUT_SQL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 def _kept(length: int, gram: int, chunks: pa.Table, firsts: pa.Table) -> Iterator[tuple[int | None, bytes, bytes | None, int, int]]:
     """(doc_id, text, remaining bytes, removed bytes, removed runs) of a block's documents."""
+    release()
     kinds, blobs = firsts.column("kind").to_pylist(), firsts.column("blob").to_pylist()
     classes = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 2])
     windows = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 5])
