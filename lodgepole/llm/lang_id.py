@@ -7,9 +7,11 @@ asked.  A word with no known character says nothing.
 
 Fitting uses a bounded sample of the labelled rows (``sample_rows``, chosen by
 a hash of the text, so that it does not depend on the partitioning) and keeps
-at most ``max_words`` words and ``max_grams`` n-grams, the most frequent ones.
-These three documented bounds also bound what is broadcast.  Prediction reads
-every whole text.
+``max_words`` words and ``max_grams`` n-grams, the most frequent ones.  On top
+of that each language has at least an equal share of each bound (all its rows,
+words and n-grams if they are fewer), so that a rare one is learned as well; no
+bound is exceeded more than twofold.  They also bound what is broadcast.
+Prediction reads every whole text.
 
 Defined results: null text and text without letters give ``und`` with score 0;
 so does every text if nothing was learned.  Letters of no known n-gram give the
@@ -27,7 +29,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 5_000
@@ -104,23 +106,40 @@ class LanguageModel:
 
 
 def _scores(rows: list, langs: tuple[str, ...], of: str) -> tuple[dict[str, int], np.ndarray]:
-    """Smoothed log frequencies of the keys, with the mean over languages taken off."""
+    """Smoothed log frequencies of the keys, with the mean over languages taken off.
+
+    What a key not seen in a language gets is the same for all languages, half a
+    count in the largest one: few rows do not make a language likelier.
+    """
     index: dict[str, int] = {}
     for r in rows:
         index.setdefault(r[of], len(index))
-    counts = np.full((len(index), len(langs)), 0.5)
+    counts = np.zeros((len(index), len(langs)))
+    column = {lang: i for i, lang in enumerate(langs)}
     for r in rows:
-        counts[index[r[of]], langs.index(r["lang"])] += r["n"]
-    logs = np.log(counts / counts.sum(axis=0, keepdims=True)) if len(index) else counts
+        counts[index[r[of]], column[r["lang"]]] += r["n"]
+    totals = np.maximum(counts.sum(axis=0, keepdims=True), 1.0)
+    logs = np.log(counts / totals + 0.5 / totals.max()) if len(index) else counts
     return index, logs - logs.mean(axis=1, keepdims=True) if len(index) else logs
 
 
+def _most_frequent(keys: DataFrame, of: str, most: int, langs: int) -> list:
+    """The ``most`` most frequent (lang, key) rows, and of each language at least its equal share of them."""
+    order = [F.desc("n"), "lang", of]
+    own = keys.withColumn("__nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("__nth") <= math.ceil(most / langs)).drop("__nth")
+    return keys.orderBy(*order).limit(most).select("lang", of, "n").union(own.select("lang", of, "n")).distinct().orderBy(*order).collect()
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, max_gram: int = MAX_GRAM) -> LanguageModel:
     """Learn from rows (text, lang); rows with a null in either are left out."""
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
-    n = rows.count()
-    share = min(1.0, sample_rows / n) if n else 1.0
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(_HASH_RANGE)) < F.lit(math.ceil(share * _HASH_RANGE)))
+    hashed = rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(_HASH_RANGE)))
+    counts = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).collect()
+    n, share_of = sum(r["n"] for r in counts), max(1, len(counts))
+    # its share of all rows, or an equal share of the sample if that is more; the least hash is always in
+    limits = [(r["lang"], max(math.ceil(min(1.0, max(sample_rows / n, sample_rows / share_of / r["n"])) * _HASH_RANGE), r["least"] + 1)) for r in counts]
+    known = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
+    sample = hashed.join(F.broadcast(known), "lang").filter("h < below").select("text", "lang")
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
         .groupBy("lang", "word")
@@ -128,19 +147,12 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
         .persist()
     )
     try:
-        top_words = words.filter("n > 1").orderBy(F.desc("n"), "lang", "word").limit(max_words).collect()
+        top_words = _most_frequent(words.filter("n > 1"), "word", max_words, share_of)
         padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
         lengths = F.sequence(F.lit(1), F.least(F.lit(max_gram), F.length(padded)))
         grams = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(1), F.length(padded) - k + 1), lambda i: F.substring(padded, i, k))))
-        top_grams = (
-            words.select("lang", "n", F.explode(grams).alias("gram"))
-            .filter("gram != ' '")
-            .groupBy("lang", "gram")
-            .agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "lang", "gram")
-            .limit(max_grams)
-            .collect()
-        )
+        all_grams = words.select("lang", "n", F.explode(grams).alias("gram")).filter("gram != ' '").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        top_grams = _most_frequent(all_grams, "gram", max_grams, share_of)
     finally:
         words.unpersist()
     langs = tuple(sorted({r["lang"] for r in [*top_words, *top_grams]}))

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import random
+import sys
 import zlib
+from pathlib import Path
 
 import pytest
 
-from lodgepole.llm import lang_id
-from lodgepole.llm.queries import op2_language_id
+sys.path.insert(0, str(Path(__file__).parents[2]))
+import corpus_pipeline  # noqa: E402
+from lodgepole.llm import lang_id  # noqa: E402
+from lodgepole.llm.queries import op2_language_id  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -58,3 +63,23 @@ def test_does_not_depend_on_partitions(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     a, b = lang_id.fit(rows.repartition(1)), lang_id.fit(rows.repartition(7))
     assert a.words == b.words and a.grams == b.grams and (a.word_scores == b.word_scores).all()
+
+
+def test_rare_languages_are_learned(spark):
+    """0.01 % of the rows in a script of their own, 0.01 % in a shared one."""
+    rng = random.Random(5)
+    own = ["ᎣᏏᏲ ᏙᎯᏧ ᎣᏍᏓ ᏩᏙ ᎦᏙ ᏕᏣᏙᎠ", "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ ᎣᏏᏲ ᏩᏙ ᏙᎯᏧ"]
+    shared = ["kaixo mundua egun on guztioi eskerrik asko", "euskara hizkuntza zaharra da eta ederra da"]
+    syllables = ["the", "ing", "and", "tion", "er", "ou", "st", "wh", "ly", "on"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(4))
+    rows = [(i, " ".join(word() for _ in range(12)), "en") for i in range(20_000)] + [(i, t, lang) for lang, ts in (("chr", own), ("eu", shared)) for i, t in enumerate(ts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = lang_id.fit(docs, sample_rows=500, max_words=3_000, max_grams=3_000)
+    assert model.langs == ("chr", "en", "eu")
+    for lang, texts in (("chr", own), ("eu", shared)):
+        for t in texts:
+            assert model.predict(t)[0] == lang and model.predict(t)[1] >= 0.9
+    assert all(model.predict(t)[0] == "en" for _, t, _ in rows[:300])
+    # the pipeline keeps them
+    kept = corpus_pipeline.language_id(spark, docs, "").groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in kept} == {"en": 20_000, "chr": 2, "eu": 2}
