@@ -2,7 +2,8 @@
 
 A candidate is a run of at least 16 letters, digits and ``+ / _ -`` with a digit
 in it or of capitals only, or a value of at least 8 characters that is assigned to a word such as
-password, token or key.  Its features are the length, the shares of digits, upper
+password, token or key, with or without white space around the ``=`` or ``:``.  All
+matches of both kinds in a text are judged; what a longer secret holds is part of it.  Its features are the length, the shares of digits, upper
 case letters, vowels and distinct characters, the transitions between character
 classes, how much of it is covered by words of a dictionary, the path it was found
 under, and the words before it.  A random forest learned from labelled findings
@@ -29,7 +30,7 @@ import re
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgepole.llm.common import cut
@@ -43,51 +44,73 @@ MASK = "[SECRET]"
 _RUN = r"(?=[A-Za-z+/_\-]{0,4096}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}|(?<![A-Za-z0-9+/_\-])[A-Z]{16,}(?![A-Za-z0-9+/_\-])"
 _KEYWORD = r"(?i)(passw(or)?d|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential|auth(orization)?|bearer)s?"
 _NEUTRAL = r"(?i)(sha|md5|crc|hash|digest|checksum|commit|revision|etag|uuid|guid|isbn|version|build|https?:|href|src|file|path|date|phone|card|order|ref)"
-_ASSIGNED = _KEYWORD + r"[\"']?[=:][\"']?([^\s\"',;<>]{8,})"
+# a character no text holds (a noncharacter of Unicode): it marks the ends of matches
+_EDGE = "\uffff"
+_NAME = _KEYWORD + r"[\"']?\s*+[=:]\s*+[\"']?"
+# a value ends before the next assignment to such a word, or the next name of a query string
+_VALUE = rf"(?:(?!&[A-Za-z0-9_.\-]{{1,64}}=|{_NAME})[^\s\"',;<>{_EDGE}]){{8,}}"
+_ASSIGNED = rf"({_NAME})({_VALUE})"
+_ASSIGNED_VALUE = re.compile(_NAME.replace("(?i)", "")).groups + 2  # number of its group
+# characters before a candidate in which the words before it are looked for
+_CONTEXT = 400
 # Prefixes by which providers mark their keys.
 _PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|rk_live_|AIza|eyJ|glpat-)"
 _TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?|vendor|lock)([/_.\-]|$)"
 
 
-def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
-    """Candidates: doc_id, text_key, path, start (code points), value, before.
+def _spans(text: Column, pattern: str, marked: str) -> Column:
+    """The matches in a text, as an array of (start, value); ``marked`` is the replacement that sets the edges.
 
-    ``text_key`` is a hash of the text, which tells rows of one doc_id apart;
-    ``before`` is the three words before and the part of the candidate's own
-    word that precedes it.
+    A value that one word (text without white space) repeats is listed at its first place there.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), text.alias("text"))
-    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED)).withColumn("text_key", F.xxhash64("text"))
-    hit = "struct<at: int, word: string, before: string>"
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("p1"), F.lit("").alias("p2"), F.lit("").alias("p3"), F.array().cast(f"array<{hit}>").alias("hits"))
-
-    def step(acc: Column, word: Column) -> Column:
-        found = F.array(F.struct(acc["at"].alias("at"), word.alias("word"), F.concat_ws(" ", acc["p3"], acc["p2"], acc["p1"]).alias("before")))
-        empty = word == ""
+    pieces = F.split(F.regexp_replace(text, pattern, marked), _EDGE, -1)
+    none = F.array().cast("array<string>")
+    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("seen"), F.array().cast("array<struct<start: int, value: string>>").alias("spans"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        new = acc["hit"] & ~F.array_contains(acc["seen"], piece)
+        here = F.array(F.struct(acc["at"].alias("start"), piece.alias("value")))
         return F.struct(
-            (acc["at"] + F.length(word) + 1).alias("at"),
-            F.when(empty, acc["p1"]).otherwise(word).alias("p1"),
-            F.when(empty, acc["p2"]).otherwise(acc["p1"]).alias("p2"),
-            F.when(empty, acc["p3"]).otherwise(acc["p2"]).alias("p3"),
-            F.when(word.rlike(_RUN) | word.rlike(_ASSIGNED), F.concat(acc["hits"], found)).otherwise(acc["hits"]).alias("hits"),
+            (acc["at"] + F.length(piece)).alias("at"),
+            (~acc["hit"]).alias("hit"),
+            F.when(new, F.concat(acc["seen"], F.array(piece))).when(~acc["hit"] & piece.rlike(r"\s"), none).otherwise(acc["seen"]).alias("seen"),
+            F.when(new, F.concat(acc["spans"], here)).otherwise(acc["spans"]).alias("spans"),
         )
 
-    words = some.select("doc_id", "text_key", "path", F.explode(F.aggregate(F.split("text", r"\s", -1), zero, step, lambda acc: acc["hits"])).alias("hit")).select("doc_id", "text_key", "path", "hit.*")
-    # in one word: all runs, or else the value assigned
-    runs = F.regexp_extract_all("word", F.lit(_RUN), F.lit(0))
-    values = F.when(F.size(runs) > 0, runs).otherwise(F.array(F.regexp_extract("word", _ASSIGNED, 4)))
-    one = words.select("doc_id", "text_key", "path", "at", "word", "before", F.posexplode(F.array_distinct(values)).alias("nth", "value"))
-    inside = F.expr("locate(value, word) - 1")
-    return one.select(
-        "doc_id",
-        "text_key",
-        "path",
-        (F.col("at") + inside).alias("start"),
-        "value",
-        F.concat_ws(" ", "before", F.expr("substring(word, 1, locate(value, word) - 1)")).alias("before"),
-    )
+    return F.aggregate(pieces, zero, step, lambda acc: acc["spans"])
+
+
+def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
+    """Candidates: doc_id, text_key, path, start (code points), value, before, outer.
+
+    All runs and all assigned values of a text.  ``text_key`` is a hash
+    of the text, which tells rows of one doc_id apart; ``before`` is the three
+    words before and the part of the candidate's own word that precedes it, of
+    the ``_CONTEXT`` characters before it; ``outer`` is the start of the longer
+    assigned value that holds the candidate, or else its own start.
+    """
+    # no candidate holds the edge character, so a blank in its place changes none
+    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _EDGE, " ")
+    path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), text.alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED))
+    both = some.select("doc_id", "text_key", "path", "text", _spans(F.col("text"), _RUN, f"{_EDGE}$0{_EDGE}").alias("runs"), _spans(F.col("text"), _ASSIGNED, f"$1{_EDGE}${_ASSIGNED_VALUE}{_EDGE}").alias("assigned"))
+
+    def end(span: Column) -> Column:
+        return span["start"] + F.length(span["value"])
+
+    def candidate(span: Column, outer: Column) -> Column:
+        n = F.least(span["start"], F.lit(_CONTEXT))
+        before = F.regexp_extract(F.substring(F.col("text"), span["start"] - n + 1, n), r"(?:\S++\s++){0,3}\S*+\z", 0)
+        return F.struct(span["start"].alias("start"), span["value"].alias("value"), before.alias("before"), outer.alias("outer"))
+
+    def held(run: Column) -> Column:
+        return F.filter("assigned", lambda a: (a["start"] <= run["start"]) & (end(a) >= end(run)))
+
+    runs = F.transform("runs", lambda r: candidate(r, F.coalesce(F.get(held(r), F.lit(0))["start"], r["start"])))
+    values = F.transform("assigned", lambda a: candidate(a, a["start"]))
+    hits = F.array_distinct(F.concat(values, runs))
+    return both.select("doc_id", "text_key", "path", F.explode(hits).alias("hit")).select("doc_id", "text_key", "path", "hit.*")
 
 
 def dictionary(docs: DataFrame, runs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -210,8 +233,12 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "so
     forest = train(labelled, docs, min_count)
     found = cut(findings(docs, path_col))
     votes = F.lit(0.0) if forest is None else F.expr(forest)
-    scored = features(found, docs, min_count).withColumn("votes", votes)
-    return scored.select("doc_id", "text_key", "start", F.length("value").alias("length"), "value", "votes", (F.col("votes") >= 0.5).alias("is_secret"))
+    scored = features(found, docs, min_count).withColumn("votes", votes).withColumn("is_secret", F.col("votes") >= 0.5)
+    # of a secret and what it holds, the longer one is the finding; both are judged
+    same = Window.partitionBy("doc_id", "text_key", "outer")
+    scored = scored.withColumns({"longest": F.max(F.length("value")).over(same), "within": F.max_by("is_secret", F.length("value")).over(same)})
+    scored = scored.filter(~F.col("within") | (F.length("value") == F.col("longest")))
+    return scored.select("doc_id", "text_key", "start", F.length("value").alias("length"), "value", "votes", "is_secret")
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "source", mask: str = MASK) -> DataFrame:

@@ -71,3 +71,34 @@ def test_spans_of_long_and_repeated_rows(docs, spark):
     text = "é😀 the " * 20_000 + f"\n\n  x={v},{v} \t end"
     got = ss.findings(docs([(1, text), (1, text)])).collect()
     assert [(r.start, r.value) for r in got] == [(text.index(v), v)] * 2
+
+
+ALL_OF = {
+    '{"request_id":"1234567890abcdef12","password":"hunter2x9"}': ["1234567890abcdef12", "hunter2x9"],
+    "the password: hunter2x9 of": ["hunter2x9"],
+    "the password = hunter2x9 of": ["hunter2x9"],
+    "'token' :\n 'efgh5678x'": ["efgh5678x"],
+    "password=abcd1234;token=efgh5678x": ["abcd1234", "efgh5678x"],
+    "/in?token=efgh5678x&page=2&password=ab&cd1234": ["efgh5678x", "ab&cd1234"],
+    "auth: password=hunter2x9": ["hunter2x9"],
+    "password=S3cr!et$Abcdefghijklmnop12": ["S3cr!et$Abcdefghijklmnop12", "Abcdefghijklmnop12"],
+    "a \uffff password=hunter2x9\uffff": ["hunter2x9"],
+    "no candidates: word = other": [],
+}
+
+
+def test_all_candidates_of_a_text(docs):
+    got = ss.findings(docs(list(enumerate(ALL_OF)))).collect()
+    for i, (text, values) in enumerate(ALL_OF.items()):
+        assert sorted((r.start, r.value) for r in got if r.doc_id == i) == sorted((text.index(v), v) for v in values), text
+
+
+def test_masking_leaves_nothing_of_them(spark, docs):
+    labelled = ss.labelled_findings(spark.read.parquet(f"{SF}/documents.parquet").select("text", "source"))
+    rows = [(i, f"of the and {t} to be") for i, t in enumerate(ALL_OF)]
+    got = {r.doc_id: r.text for r in ss.redact(docs(rows), labelled).collect()}
+    for i, values in enumerate(ALL_OF.values()):
+        assert not [v for v in values if v in got[i] and v != "1234567890abcdef12"], got[i]
+    assert "S3cr" not in got[7] and got[9] == rows[9][1]
+    found = [r.value for r in ss.scan(docs(rows), labelled).collect() if r.doc_id == 7]
+    assert found == ["S3cr!et$Abcdefghijklmnop12"]
