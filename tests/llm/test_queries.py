@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
