@@ -105,6 +105,17 @@ def _block_words(blob: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(np.concatenate(([4 * (n + 1)], ends[:-1])).tolist(), ends.tolist(), strict=True)] if n else []
 
 
+def _name(ids: list, counts: list[int], planes: bytes, words: list[bytes]) -> str:
+    """Name of a chunk from all it holds: only chunks of equal rows share one, and these have equal blocks."""
+    h = hashlib.sha256(np.array([i is None for i in ids], np.uint8).tobytes())
+    h.update(np.array([0 if i is None else i for i in ids], np.int64).tobytes())
+    h.update(np.array([len(ids), *counts, *map(len, words)], np.int64).tobytes())
+    h.update(planes)
+    for w in words:
+        h.update(w)
+    return h.hexdigest()
+
+
 # A shuffled row: positions of a chunk (key c<chunk>) or words of a chunk in a block (key b<block>).
 _PART = pa.schema([("key", pa.string()), ("chunk", pa.string()), ("block", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())), ("blob", pa.binary())])
 _PART_SQL = "key string, chunk string, block int, doc_id array<long>, n_words array<int>, blob binary"
@@ -132,7 +143,7 @@ def _split(pattern: str, blocks: int):
             at = number[np.frombuffer(places, np.int32)] if len(places) else np.zeros(0, np.int32)
             # byte planes compress better than whole integers
             planes = at.view(np.uint8).reshape(-1, 4).T.tobytes()
-            chunk = hashlib.sha256(np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + planes).hexdigest()
+            chunk = _name(ids, counts, planes, [words[i] for i in order])
             rows = [{"key": f"c{chunk}", "chunk": chunk, "doc_id": ids, "n_words": counts, "blob": _zip(planes)}]
             for b in range(blocks):
                 if cuts[b] < cuts[b + 1]:

@@ -55,6 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the shared folder: lost executors cannot lose it."""
     shared_dir(df.sparkSession)

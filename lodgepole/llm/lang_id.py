@@ -22,13 +22,13 @@ by name.  Repeated rows are predicted alike.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
 MAX_GRAM = 4
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")  # as in ``fit``
 _HASH_RANGE = 1 << 30
 _MAX_CACHED = 200_000
 
@@ -139,7 +139,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     # its share of all rows, or an equal share of the sample if that is more; the least hash is always in
     limits = [(r["lang"], max(math.ceil(min(1.0, max(sample_rows / n, sample_rows / share_of / r["n"])) * _HASH_RANGE), r["least"] + 1)) for r in counts]
     known = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
-    sample = hashed.join(F.broadcast(known), "lang").filter("h < below").select("text", "lang")
+    sample = hashed.join(known, "lang").filter("h < below").select("text", "lang")
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
         .groupBy("lang", "word")

@@ -38,8 +38,10 @@ from lodgepole.llm.common import U64, cut, mix, sliced, small_batches, written
 
 WORDS = 5
 THRESHOLD = 0.8
-RECALL = 0.999
-MAX_HASHES = 128
+RECALL = 0.99999
+MAX_HASHES = 160
+_SALTS = 64
+_HOT, _HOT_ROWS = 1000, 200
 BLOCK_DOCS = 1024
 BLOCK_GRAMS = 400_000
 
@@ -124,6 +126,23 @@ def _full_sets(words: int):
     return run
 
 
+def _hot_keys(rows: DataFrame, key: str) -> list[int]:
+    """Keys that hold more than a thousandth of the rows and ``_HOT_ROWS``: fewer than a thousand, whatever the size."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return [r[0] for r in counts.filter(F.col("n") > _HOT_ROWS).filter(F.col("n") * _HOT > rows.agg(F.count(F.lit(1))).scalar()).select(key).collect()]
+
+
+def _salted_join(rows: DataFrame, lookup: DataFrame, key: str, hot: list[int]) -> DataFrame:
+    """``rows`` joined with ``lookup`` (one row a key); rows of hot keys are spread over copies of its row."""
+    if not hot:
+        return rows.join(lookup, key)
+    is_hot = F.col(key).isin(hot)
+    one, last = F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long")
+    salted = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("node"), F.lit(_SALTS))).otherwise(one))
+    copies = lookup.withColumn("salt", F.explode(F.when(is_hot, F.sequence(one, last)).otherwise(F.array(one))))
+    return salted.join(copies, [key, "salt"]).drop("salt")
+
+
 def components(ties: DataFrame) -> DataFrame:
     """(a, b) ties -> (node, label): the smallest node that each node is connected to.
 
@@ -132,12 +151,13 @@ def components(ties: DataFrame) -> DataFrame:
     """
     both = cut(ties.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(ties.select(F.col("b").alias("node"), F.col("a").alias("near"))).distinct())
     labels = cut(both.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("label")))
+    hot = _hot_keys(both, "near")
     while True:
-        near = both.join(labels.select(F.col("node").alias("near"), "label"), "near").groupBy("node").agg(F.min("label").alias("least"))
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "least").alias("next"))
+        near = _salted_join(both, labels.select(F.col("node").alias("near"), "label"), "near", hot).groupBy("node").agg(F.min("label").alias("least"))
+        lower = cut(labels.join(near, "node").select("node", "label", F.least("label", "least").alias("next")))
         # a label is a node: it may know a smaller one itself
         hop = lower.select(F.col("node").alias("next"), F.col("next").alias("hop"))
-        new = cut(lower.join(hop, "next", "left").select("node", F.col("label").alias("old"), F.least("next", F.coalesce("hop", "next")).alias("label")))
+        new = cut(_salted_join(lower, hop, "next", _hot_keys(lower, "next")).select("node", F.col("label").alias("old"), F.least("next", "hop").alias("label")))
         labels = new.select("node", "label")
         if new.filter("old != label").isEmpty():
             return labels
@@ -190,8 +210,10 @@ def _verify(threshold: Fraction):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, block_docs: int = BLOCK_DOCS, block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """doc_id, class_id, copy_of, n_links.
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, block_docs: int = BLOCK_DOCS, block_grams: int = BLOCK_GRAMS, id_col: str = "doc_id"
+) -> DataFrame:
+    """doc_id, class_id, copy_of, n_links; ``id_col`` names the column that stands for the doc_id.
 
     ``class_id`` is the smallest doc_id of all documents connected by links of
     at least ``threshold``, ``copy_of`` the smallest with the same n-grams, and
@@ -200,7 +222,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     """
     small_batches(docs.sparkSession)
     bands, rows = bands_for(threshold, recall)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = written(texts.filter("doc_id is not null").mapInArrow(_sketch(words, bands, rows), _SKETCH_SQL), "sketches")
     sets = (
         sketches.filter("n_grams > 0")

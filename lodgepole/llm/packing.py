@@ -6,8 +6,9 @@ best-fit decreasing and certifies its number of bins by a lower bound from dual
 feasible functions.  A partition that meets its bound is proven optimal and
 closed.  A partition with a gap gives back the documents of its emptiest bins,
 as many as make up the gap; these are exchanged - dealt anew to fewer
-partitions - and packed again, until one partition is left.  Whatever gap
-remains over all is reported by ``certificate``.
+partitions - and packed again, until one partition is left (or a round closes next
+to nothing, see ``pack``).  Whatever gap remains over all is reported by
+``certificate``.
 
 Dual feasible functions: for lengths of at most ``capacity`` and a threshold t,
 lengths over capacity - t count as a whole bin, lengths under t as nothing and
@@ -44,12 +45,14 @@ from lodgepole.llm.common import cut, written
 CAPACITY = 1024
 CLOSING_ID = 2
 PARTITION_ROWS = 20_000
+LEAST_CLOSED = 0.02
 _MAX_K = 64
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str, pattern: str):
-    """``texts -> lists of ids`` as the tokenizer file gives them without special tokens.
+    """``texts -> lists of ids`` as ``encode_batch(texts, add_special_tokens=False)`` gives them:
+    nothing is added, but the string of an added token in a text becomes that token.
 
     A byte-level BPE file of this kind (vocabulary in merge order, the standard
     split pattern) gives the same ids as its ranks in ``tiktoken``, five times as
@@ -62,15 +65,15 @@ def _tokenizer(path: str, pattern: str):
     merged = [m if isinstance(m, str) else " ".join(m) for m in spec["model"].get("merges", [])]
     vocab = spec["model"].get("vocab", {})
     in_order = plain and spec["model"]["type"] == "BPE" and all(vocab.get(m.replace(" ", "")) == 256 + i for i, m in enumerate(merged))
-    if not in_order:
+    added = spec.get("added_tokens", [])
+    if not in_order or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
         return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in added}
     byte_of = _byte_letters()
     ranks = {bytes(byte_of[c] for c in w): i for w, i in vocab.items() if w not in special}
-    enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [enc.encode_ordinary(t) for t in texts]
+    enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return lambda texts: [enc.encode(t, allowed_special="all") for t in texts]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -196,9 +199,13 @@ def _pack(capacity: int, turn: int, last: bool):
     return run
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTITION_ROWS, least_closed: float = LEAST_CLOSED) -> DataFrame:
     """(item, length) -> (item, sequence_id, offset).
 
+    Rounds go on until one partition is left or a round closes less than
+    ``least_closed`` of its documents: with lengths whose bounds are weak, every
+    partition keeps its gap however often its documents are exchanged.
+
     ``item`` is unique and at least 0, ``length`` at most ``capacity``; the rows
     must not change between reads (written or checkpointed).  A full item is a
     sequence of its own, numbered below 0; packed sequences are numbered by
@@ -213,7 +220,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, partition_rows: int = PARTI
         now = cut(dealt.groupBy("part").applyInPandas(_pack(capacity, turn, parts == 1), _PLACED_SQL))
         rest, before = now.filter("not closed").select("item", "length"), left
         left = rest.count()
-        if parts > 1 and left > before // 2:  # an exchange of most documents gains nothing: all stay
+        if parts > 1 and before - left < least_closed * before:
             placed, left = placed.unionByName(now.select("item", "sequence_id", "offset")), 0
         else:
             placed = placed.unionByName(now.filter("closed").select("item", "sequence_id", "offset"))

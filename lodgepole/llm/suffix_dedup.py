@@ -31,23 +31,24 @@ block: its windows, of which each distinct one is moved once per task, decide.
 
 Defined results: null text counts as empty; texts shorter than ``length`` keep
 all bytes; a null doc_id comes before all others; rows with one doc_id are
-ordered by start, then by a hash of the text, so fully identical rows count as
-one document and get equal rows; an empty table gives an empty result.
+ordered by start, then by a 64-bit hash of the text, which tells them apart, so
+fully identical rows count as one document and get equal rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.ipc  # noqa: F401  (pa.ipc)
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lodgepole.llm.common import U64, gathered, mix, pack, prefix_hash, release, sliced, sliding_min, small_batches, span_hash, text_bytes, unpack
@@ -59,6 +60,7 @@ BATCH_CHARS = 8 << 20
 BLOCK_BYTES = 12 << 20
 _SEGMENT = 1 << 20
 _NO_ID = -(1 << 63)
+_AFTER_NULL = 1 << 40
 _TABLE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
@@ -93,7 +95,13 @@ def _window_hashes(prefix: np.ndarray, st: np.ndarray, en: np.ndarray, length: i
 
 
 def _tag(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0xFFFFFF
+    """64 bits of a text: with the doc_id it names the row."""
+    return xxhash.xxh3_64_intdigest(raw)
+
+
+def _shift(doc: int, null: bool) -> int:
+    """Added to the starts of the one legal id that stands for null ids too, so that it comes after them."""
+    return _AFTER_NULL if doc == _NO_ID and not null else 0
 
 
 def _firsts(order: tuple[np.ndarray, ...], *groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +113,8 @@ def _firsts(order: tuple[np.ndarray, ...], *groups: np.ndarray) -> tuple[np.ndar
     return by, new
 
 
-def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Blobs of the arrays, one for each block of keys.
+def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray, order: tuple[np.ndarray, ...] = ()) -> Iterator[tuple[int, int, bytes]]:
+    """Blobs of the arrays, one for each block of keys, in it by ``order`` (equal neighbours compress).
 
     Keys of cover positions are lowest hashes, so they crowd near zero; another
     hash of the key deals them evenly.
@@ -114,7 +122,7 @@ def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray) -> Iter
     if not len(keys):
         return
     home = ((mix(keys) >> U64(32)).astype(np.int64) * blocks) >> 32
-    by = np.argsort(home, kind="stable")
+    by = np.lexsort((*reversed(order), home))
     cuts = np.flatnonzero(np.diff(home[by])) + 1
     for part in np.split(by, cuts):
         yield kind, int(home[part[0]]), pack(keys[part], *(a[part] for a in arrays))
@@ -130,7 +138,7 @@ _BLOB_SQL = "kind int, block long, blob binary"
 
 def _doc_block(ids: np.ndarray, tags: np.ndarray, blocks: int) -> np.ndarray:
     """By id and text tag, so that rows sharing one id (or none) are spread as well."""
-    return ((mix(ids.view(U64) ^ mix(tags.astype(U64))) >> U64(32)).astype(np.int64) * blocks) >> 32
+    return ((mix(ids.view(U64) ^ mix(tags)) >> U64(32)).astype(np.int64) * blocks) >> 32
 
 
 def _sample(length: int, gram: int, blocks: int, hot: int):
@@ -138,52 +146,52 @@ def _sample(length: int, gram: int, blocks: int, hot: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in gathered(batches, BATCH_CHARS, ("doc_id", "text"), "text"):
-            parts: list[list[np.ndarray]] = [[], [], [], []]
+            parts: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, text in zip(ids, texts, strict=True):
                 raw = (text or "").encode()
                 if len(raw) < length:
                     continue
-                tag = _tag(raw)
+                tag, null = _tag(raw), doc is None
+                doc = _NO_ID if null else doc
                 for st, _, key, context, _, base in _segments(raw, length, gram):
-                    for held, a in zip(parts, (key, context, np.full(len(st), doc, np.int64), ((st + base) << 24) | tag), strict=True):
+                    for held, a in zip(parts, (key, context, np.full(len(st), doc, np.int64), st + (base + _shift(doc, null)), np.full(len(st), tag, U64)), strict=True):
                         held.append(a)
             if not parts[0]:
                 continue
-            key, context, doc, at = map(np.concatenate, parts)
-            by, new = _firsts((doc, at), key, context)
+            key, context, doc, at, tag = map(np.concatenate, parts)
+            by, new = _firsts((doc, at, tag), key, context)
             by = by[new]
-            key, context, doc, at = key[by], context[by], doc[by], at[by]
+            key, context, doc, at, tag = key[by], context[by], doc[by], at[by], tag[by]
             # a key with many classes in this one task is told to its block by a mark only
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             many = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key)))) > hot
-            rows = [*_deal(0, blocks, key[~many], context[~many], doc[~many], at[~many])]
+            one = ~many
+            rows = [*_deal(0, blocks, key[one], context[one], doc[one], at[one], tag[one], order=(doc[one], tag[one], at[one]))]
             if many.any():
                 marks = key[starts][many[starts]]
                 rows += _deal(1, blocks, marks, marks)
-                rows += _deal_firsts(2, blocks, doc[many], at[many], np.ones(many.sum(), np.uint8))
+                rows += _deal_firsts(2, blocks, doc[many], at[many], tag[many], np.ones(many.sum(), np.uint8))
             yield _to_batch(rows, _BLOB)
 
     return run
 
 
-def _deal_firsts(kind: int, blocks: int, doc: np.ndarray, at: np.ndarray, state: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+def _deal_firsts(kind: int, blocks: int, doc: np.ndarray, at: np.ndarray, tag: np.ndarray, state: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """First occurrences, sorted and delta-coded, one blob for each block of documents."""
     if not len(doc):
         return
-    home = _doc_block(doc, at & 0xFFFFFF, blocks)
-    by = np.lexsort((at, doc, home))
+    home = _doc_block(doc, tag, blocks)
+    by = np.lexsort((at, tag, doc, home))
     for part in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
-        d, a = doc[part], at[part]
-        yield kind, int(home[part[0]]), pack(np.diff(d, prepend=np.int64(0)), np.diff(a >> 24, prepend=np.int64(0)).astype(np.int64), (a & 0xFFFFFF).astype(np.uint32), state[part])
+        yield kind, int(home[part[0]]), pack(np.diff(doc[part], prepend=np.int64(0)), np.diff(at[part], prepend=np.int64(0)), tag[part], state[part])
 
 
-def _load_firsts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [unpack(b, "i8", "i8", "u4", "u1") for b in blobs]
+def _load_firsts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    parts = [unpack(b, "i8", "i8", "u8", "u1") for b in blobs]
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    doc = np.concatenate([np.cumsum(p[0]) for p in parts])
-    at = np.concatenate([(np.cumsum(p[1]) << 24) | p[2].astype(np.int64) for p in parts])
-    return doc, at, np.concatenate([p[3] for p in parts])
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.uint8)
+    doc, at = (np.concatenate([np.cumsum(p[i]) for p in parts]) for i in (0, 1))
+    return doc, at, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
 
 
 def _sort_keys(blocks: int):
@@ -197,20 +205,20 @@ def _sort_keys(blocks: int):
         kinds = group.column("kind").to_pylist()
         blobs = group.column("blob").to_pylist()
         rows: list[tuple] = []
-        parts = [unpack(b, "u8", "u8", "i8", "i8") for k, b in zip(kinds, blobs, strict=True) if k == 0]
+        parts = [unpack(b, "u8", "u8", "i8", "i8", "u8") for k, b in zip(kinds, blobs, strict=True) if k == 0]
         marks = [unpack(b, "u8", "u8")[0] for k, b in zip(kinds, blobs, strict=True) if k == 1]
         rows += [(k, h, b) for k, h, b in zip(kinds, group.column("block").to_pylist(), blobs, strict=True) if k == 2]
         if parts:
-            key, context, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-            by, new = _firsts((doc, at), key, context)
+            key, context, doc, at, tag = (np.concatenate(c) for c in zip(*parts, strict=True))
+            by, new = _firsts((doc, at, tag), key, context)
             by = by[new]
-            key, doc, at = key[by], doc[by], at[by]
+            key, doc, at, tag = key[by], doc[by], at[by], tag[by]
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             n = np.diff(np.append(starts, len(key)))
             open_ = np.repeat(n, n) > 1
             if marks:
                 open_ |= np.isin(key, np.concatenate(marks))
-            rows += _deal_firsts(2, blocks, doc, at, open_.astype(np.uint8))
+            rows += _deal_firsts(2, blocks, doc, at, tag, open_.astype(np.uint8))
         return pa.Table.from_batches([_to_batch(rows, _BLOB)] if rows else [], _BLOB)
 
     return run
@@ -246,7 +254,7 @@ def _chunks(blocks: int):
             null = np.array([i is None for i in ids])
             doc = np.array([_NO_ID if i is None else i for i in ids], np.int64)
             raw = [(t or "").encode() for t in texts]
-            home = _doc_block(doc, np.array([_tag(r) for r in raw], np.int64), blocks)
+            home = _doc_block(doc, np.array([_tag(r) for r in raw], U64), blocks)
             rows = []
             by = np.argsort(home, kind="stable")
             for part in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
@@ -285,14 +293,16 @@ class _Starts:
     """First occurrences of a block, looked up by document."""
 
     def __init__(self, blobs: list[bytes]) -> None:
-        doc, at, state = _load_firsts(blobs)
-        by = np.lexsort((at, doc))
-        self.doc, self.at, self.state = doc[by], at[by], state[by]
+        doc, at, tag, state = _load_firsts(blobs)
+        by = np.lexsort((at, tag, doc))
+        self.doc, self.at, self.tag, self.state = doc[by], at[by], tag[by], state[by]
 
-    def of(self, doc: int, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, doc: int, null: bool, tag: int) -> tuple[np.ndarray, np.ndarray]:
         lo, hi = np.searchsorted(self.doc, doc, "left"), np.searchsorted(self.doc, doc, "right")
-        mine = (self.at[lo:hi] & 0xFFFFFF) == tag
-        return (self.at[lo:hi] >> 24)[mine], self.state[lo:hi][mine]
+        a, b = lo + np.searchsorted(self.tag[lo:hi], U64(tag), "left"), lo + np.searchsorted(self.tag[lo:hi], U64(tag), "right")
+        at = self.at[a:b] - _shift(doc, null)
+        mine = (at >= 0) & (at < _AFTER_NULL)
+        return at[mine], self.state[a:b][mine]
 
 
 def _open_windows(length: int, gram: int, blocks: int):
@@ -301,12 +311,12 @@ def _open_windows(length: int, gram: int, blocks: int):
     def run(key: tuple, chunks: pa.Table, firsts: pa.Table) -> pa.Table:
         release()
         found = _Starts(firsts.column("blob").to_pylist())
-        parts: list[list[np.ndarray]] = [[], [], []]
-        for doc, raw, _, _ in _documents(chunks.column("blob").to_pylist()):
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        for doc, raw, null, _ in _documents(chunks.column("blob").to_pylist()):
             if len(raw) < length:
                 continue
             tag = _tag(raw)
-            first, state = found.of(doc, tag)
+            first, state = found.of(doc, null, tag)
             wanted = first[state > 0]
             for st, en, _, _, prefix, base in _segments(raw, length, gram):
                 mine = np.isin(st + base, wanted)
@@ -314,13 +324,14 @@ def _open_windows(length: int, gram: int, blocks: int):
                     starts, hashes = _window_hashes(prefix, st[mine], en[mine], length)
                     parts[0].append(hashes)
                     parts[1].append(np.full(len(starts), doc, np.int64))
-                    parts[2].append(((starts + base) << 24) | tag)
+                    parts[2].append(starts + (base + _shift(doc, null)))
+                    parts[3].append(np.full(len(starts), tag, U64))
         rows: list[tuple] = []
         if parts[0]:
-            hashes, docs, at = map(np.concatenate, parts)
-            by, new = _firsts((docs, at), hashes)
+            hashes, docs, at, tags = map(np.concatenate, parts)
+            by, new = _firsts((docs, at, tags), hashes)
             by = by[new]
-            rows = [*_deal(4, blocks, hashes[by], docs[by], at[by])]
+            rows = [*_deal(4, blocks, hashes[by], docs[by], at[by], tags[by], order=(docs[by], tags[by], at[by]))]
         return pa.Table.from_batches([_to_batch(rows, _BLOB)] if rows else [], _BLOB)
 
     return run
@@ -331,10 +342,10 @@ def _sort_windows(blocks: int):
 
     def run(group: pa.Table) -> pa.Table:
         release()
-        hashes, doc, at = (np.concatenate(c) for c in zip(*(unpack(b, "u8", "i8", "i8") for b in group.column("blob").to_pylist()), strict=True))
-        by, new = _firsts((doc, at), hashes)
+        hashes, doc, at, tag = (np.concatenate(c) for c in zip(*(unpack(b, "u8", "i8", "i8", "u8") for b in group.column("blob").to_pylist()), strict=True))
+        by, new = _firsts((doc, at, tag), hashes)
         by = by[new]
-        rows = [*_deal_firsts(5, blocks, doc[by], at[by], np.ones(len(by), np.uint8))]
+        rows = [*_deal_firsts(5, blocks, doc[by], at[by], tag[by], np.ones(len(by), np.uint8))]
         return pa.Table.from_batches([_to_batch(rows, _BLOB)], _BLOB)
 
     return run
@@ -363,9 +374,9 @@ def _kept(length: int, gram: int, chunks: pa.Table, firsts: pa.Table) -> Iterato
         kept, removed, spans = raw, 0, 0
         if len(raw) >= length:
             tag = _tag(raw)
-            first, state = classes.of(doc, tag)
+            first, state = classes.of(doc, null, tag)
             new = np.zeros(len(raw) - length + 1, bool)
-            new[windows.of(doc, tag)[0]] = True
+            new[windows.of(doc, null, tag)[0]] = True
             closed = first[state == 0]
             for st, en, _, _, _, base in _segments(raw, length, gram):
                 for s, e in zip(st[m := np.isin(st + base, closed)] + base, en[m] + base, strict=True):
@@ -385,18 +396,18 @@ def _report(length: int, gram: int):
     return run
 
 
-def _rewrite(length: int, gram: int, names: list[str]):
+def _rewrite(length: int, gram: int, names: list[str], schema: pa.Schema):
     """The documents themselves, with what is left of their texts."""
 
     def run(key: tuple, chunks: pa.Table, firsts: pa.Table) -> pa.Table:
         rows = list(_kept(length, gram, chunks, firsts))
         # a removed run may start or end inside a character: what is left of it goes as well
+        if not rows:
+            return schema.empty_table()
         text = pa.array([None if kept is None else kept.decode("utf-8", "ignore") for _, _, kept, _, _ in rows], pa.string())
         removed = pa.array([n for _, _, _, n, _ in rows], pa.int64())
-        if not rows:
-            return pa.table({"text": text, "__removed": removed})
-        others = _carried(chunks.column("blob").to_pylist())
-        return pa.table([text if n == "text" else others.column(n) for n in names] + [removed], names=[*names, "__removed"])
+        others = iter(_carried(chunks.column("blob").to_pylist()).columns if len(names) > 1 else ())
+        return pa.table([text if n == "text" else next(others) for n in names] + [removed], names=schema.names)
 
     return run
 
@@ -408,10 +419,12 @@ def _settled(docs: DataFrame, others: list[str], length: int, gram: int, hot_cla
     doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = max(parts, math.ceil(text_bytes(docs.select(text.alias("text"))) / BLOCK_BYTES))
-    keyed = docs.select(F.coalesce(doc, F.lit(_NO_ID)).alias("doc_id"), text.alias("text"))
+    keyed = docs.select(doc.alias("doc_id"), text.alias("text"))
     sample = keyed.mapInArrow(_sample(length, gram, blocks, hot_classes), _BLOB_SQL)
     firsts = sample.groupBy("block").applyInArrow(_sort_keys(blocks), _BLOB_SQL)
-    chunks = docs.select(doc.alias("__doc"), text.alias("__text"), *others).mapInArrow(_chunks(blocks), _BLOB_SQL)
+    # the other columns go by number, so that none can clash
+    carried = [F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(others)]
+    chunks = docs.select(doc.alias("__doc"), text.alias("__text"), *carried).mapInArrow(_chunks(blocks), _BLOB_SQL)
     open_ = chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_open_windows(length, gram, blocks), _BLOB_SQL)
     windows = open_.groupBy("block").applyInArrow(_sort_windows(blocks), _BLOB_SQL)
     return chunks, firsts.unionByName(windows)
@@ -434,6 +447,6 @@ def without_repeats(docs: DataFrame, removed: str = "n_removed", length: int = L
     """
     others = [c for c in docs.columns if c != "text"]
     chunks, firsts = _settled(docs, others, length, gram, hot_classes)
-    schema = StructType([StructField(f.name, StringType() if f.name == "text" else f.dataType) for f in docs.schema] + [StructField("__removed", LongType())])
-    out = chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_rewrite(length, gram, docs.columns), schema)
-    return out.withColumnRenamed("__removed", removed)
+    schema = StructType([StructField(f.name, StringType() if f.name == "text" else f.dataType) for f in docs.schema] + [StructField(removed, LongType())])
+    rewrite = _rewrite(length, gram, docs.columns, to_arrow_schema(schema))
+    return chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(rewrite, schema)

@@ -32,6 +32,22 @@ def test_equals_library(docs):
     assert sorted(map(tuple, got), key=key) == sorted([(i, *expected(t)) for i, t in rows], key=key)
 
 
+def test_rows_of_one_id_keep_their_own_words(spark):
+    rows = [(7, "hello"), (7, "world"), (None, "hello"), (None, "world"), (-1, "other"), (7, "hello world"), (7, "world hello"), (None, None), (0, "hello"), (0, None)]
+    key = lambda r: tuple(map(str, r))
+    for parts in (1, 3, 10):
+        spread = spark.createDataFrame([(i % parts, *r) for i, r in enumerate(rows)], "part int, doc_id long, text string").repartition(parts, "part")
+        got = bpe.encode(spread, PATH, P.PATTERN).collect()
+        assert sorted(map(tuple, got), key=key) == sorted([(i, *expected(t)) for i, t in rows], key=key)
+
+
+def test_every_row_in_a_partition_of_its_own(spark):
+    rows = [(7, w) for w in ("hello", "world", "hello", "wörld")] + [(None, w) for w in ("hello", "world", "again")]
+    frame = spark.sparkContext.parallelize(rows, len(rows)).toDF("doc_id long, text string")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, bpe.encode(frame, PATH, P.PATTERN).collect()), key=key) == sorted([(i, *expected(t)) for i, t in rows], key=key)
+
+
 def test_white_space_and_classes_agree_with_the_library():
     enc, find = bpe.encoding_of(PATH, P.PATTERN), bpe.split_pattern(P.PATTERN).findall
     bad = []

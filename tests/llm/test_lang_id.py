@@ -51,6 +51,9 @@ def test_edge_cases(spark, docs, model):
     assert got[1][:2] == got[2][:2] == got[3][:2] == ("und", 0.0)
     assert got[4][0] == got[None][0] == got[6][0] == "en" and got[None][2] is False
     assert lang_id.identify(docs([]), model).collect() == []
+    # numerals and signs are no letters
+    for text in ("½ ²", "Ⅷ", "① ٣ _", "12 !? ª" .replace("ª", "")):
+        assert model.predict(text) == ("und", 0.0)
 
 
 def test_nothing_learned(docs):

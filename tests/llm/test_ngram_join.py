@@ -78,8 +78,43 @@ def test_equals_brute_force(docs, block_docs):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_recall_at_the_registered_bands(docs):
+    """Planted pairs of every similarity from 0.8 to 0.95, with the defaults of the registered query."""
+    rng = random.Random(80)
+    rows, wanted = [], {}
+    for k in range(1500):
+        n, own = 100, rng.randrange(3, 12)  # n-grams in all, and those of one text only
+        words = [f"{k}w{i}" for i in range(n + 4)]
+        other = words[: n + 4 - own]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        a, b = sets_of(rows[-2][1]), sets_of(rows[-1][1])
+        assert len(a & b) >= 0.8 * len(a | b)
+        wanted[2 * k] = wanted[2 * k + 1] = 2 * k
+    for k in range(500):  # exactly 0.8
+        base = 2 * 1500 + 2 * k
+        words = [f"{base}x{i}" for i in range(14)]
+        rows += [(base, " ".join(words)), (base + 1, " ".join(words[:12]))]
+        assert len(sets_of(rows[-1][1])) * 10 == 8 * len(sets_of(rows[-2][1]))
+        wanted[base] = wanted[base + 1] = base
+    got = {r.doc_id: r.class_id for r in nj.near_duplicates(docs(rows)).collect()}
+    assert sum(got[i] == c for i, c in wanted.items()) == len(wanted)
+
+
+def test_hot_labels_are_spread(spark):
+    star = [(0, i) for i in range(1, 3000)] + [(10_000 + i, 10_001 + i) for i in range(0, 60, 2)]
+    ties = spark.createDataFrame(star, "a long, b long")
+    both = ties.selectExpr("a as node", "b as near").union(ties.selectExpr("b", "a"))
+    hot = nj._hot_keys(both, "near")
+    assert hot == [0]
+    lookup = spark.createDataFrame([(i, i + 1) for i in {x for t in star for x in t}], "near long, label long")
+    joined = nj._salted_join(both, lookup, "near", hot)
+    assert joined.count() == both.count() and joined.filter("label != near + 1").count() == 0
+    assert {r.node: r.label for r in nj.components(ties).collect()} == {x: 0 if x < 3000 else x - x % 2 for t in star for x in t}
+
+
 def test_bands():
-    for recall in (0.9, 0.99, 0.999):
+    assert nj.bands_for(nj.THRESHOLD, nj.RECALL)[0] >= 22
+    for recall in (0.9, 0.99, 0.999, nj.RECALL):
         bands, rows = nj.bands_for(0.8, recall)
         assert 1 - (1 - 0.8**rows) ** bands >= recall and bands * rows <= nj.MAX_HASHES
 

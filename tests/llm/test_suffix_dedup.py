@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 
 import pytest
+import xxhash
 
 from lodgepole.llm.suffix_dedup import remove_repeats, without_repeats
 
@@ -70,6 +72,47 @@ def test_segments_of_long_texts(docs, monkeypatch):
     assert owned.tolist() == list(range(len(raw) - 99))
 
 
+def by_id_start_and_hash(rows, length=100):
+    """(doc_id, removed bytes), where rows of one id (null first) are ordered by start, then by hash of the text."""
+    place = lambda i, raw, s: (i is not None, i or 0, s, xxhash.xxh3_64_intdigest(raw))
+    first: dict[bytes, tuple] = {}
+    coded = [(i, (t or "").encode()) for i, t in rows]
+    for i, raw in coded:
+        for s in range(len(raw) - length + 1):
+            w, p = raw[s : s + length], place(i, raw, s)
+            first[w] = min(first.get(w, p), p)
+    out = []
+    for i, raw in coded:
+        gone = set()
+        for s in range(len(raw) - length + 1):
+            if first[raw[s : s + length]] < place(i, raw, s):
+                gone.update(range(s, s + length))
+        out.append((i, len(raw), len(gone)))
+    return sorted(out, key=str)
+
+
+def test_rows_without_ids_and_of_one_id_are_told_apart(docs):
+    rng = random.Random(12)
+    shared = [" ".join(str(rng.randrange(10**6)) for _ in range(17)) for _ in range(300)]
+    rows = [(None, rng.choice(shared) if rng.random() < 0.4 else " ".join(str(rng.randrange(10**6)) for _ in range(17))) for _ in range(20_000)]
+    rows += [(2, " ".join(shared[i : i + 2])) for i in range(0, 300, 3)]
+    # -2**63 is an id like any other: it comes after the rows without one
+    rows += [(-(1 << 63), shared[0] + " own words of it"), (-(1 << 63), shared[7]), (5, shared[0])]
+    got = remove_repeats(docs(rows)).select("doc_id", "n_bytes", "n_removed").collect()
+    assert sorted(map(tuple, got), key=str) == by_id_start_and_hash(rows)
+
+
+def test_texts_whose_short_checksums_agree(docs):
+    """Two texts under one id with the same last 24 bits of CRC-32; one is a copy of an earlier document."""
+    rng = random.Random(3)
+    copy = rng.randbytes(128).hex()
+    want = zlib.crc32(copy.encode()) & 0xFFFFFF
+    other = next(t for t in (f"{i:0256d}" for i in range(1 << 27)) if zlib.crc32(t.encode()) & 0xFFFFFF == want)
+    rows = [(1, copy), (2, copy), (2, other[::-1][:0] + other)]
+    got = {(r.doc_id, r.n_removed) for r in remove_repeats(docs(rows)).collect()}
+    assert (2, 256) in got and (1, 0) in got
+
+
 def test_empty_table(docs):
     assert remove_repeats(docs([])).collect() == []
 
