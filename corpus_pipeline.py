@@ -6,8 +6,9 @@ one's ``docs``.  All but the last return the columns of ``documents``.
 
 1. ``language_id`` drops documents in which no language is recognised: no
    letters, or a score under one half.
-2. ``ngram_jaccard_join`` keeps one document, the one of the smallest doc_id, of
-   each group of near duplicates.
+2. ``ngram_jaccard_join`` keeps one row, the one of the smallest doc_id (null last),
+   of each group of near duplicates, whatever their ids.  Texts without words are
+   like nothing and stay.
 3. ``suffix_dedup`` takes out passages of 100 bytes or more that appeared
    before; a document of which nothing but white space stays goes.
 4. ``secret_scan`` masks secrets in the texts.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgepole.llm import lang_id, ngram_join, packing, secret_scan, suffix_dedup
-from lodgepole.llm.common import shared_dir, small_batches
+from lodgepole.llm.common import free_name, shared_dir, small_batches, written
 
 MIN_SCORE = 0.5
 ORACLE_SQL = None  # models, MinHash and tokens are not expressible in SQL: tested against brute force
@@ -32,22 +33,25 @@ ORACLE_SQL = None  # models, MinHash and tokens are not expressible in SQL: test
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     predict = lang_id.predictor(docs, lang_id.fit(docs))
-    told = docs.withColumn("__found", predict(F.col("text").cast("string")))
-    return told.filter((F.col("__found.lang_pred") != lang_id.UNKNOWN) & (F.col("__found.score") >= MIN_SCORE)).drop("__found")
+    found = free_name(docs, "found")
+    told = docs.withColumn(found, predict(F.col("text").cast("string")))
+    return told.filter((F.col(found)["lang_pred"] != lang_id.UNKNOWN) & (F.col(found)["score"] >= MIN_SCORE)).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.near_duplicates(docs)
-    stay = found.filter("doc_id = class_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
-    # rows of one doc_id and one text are copies too
-    kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    # rows are told apart by a number of their own: ids may repeat or be null
+    row = free_name(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = ngram_join.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "class_id")
+    own = numbered.select(row, F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(row).alias("row")).alias("place"))
+    stay = classes.join(own, row).groupBy("class_id").agg(F.min("place").alias("place")).select(F.col("place.row").alias(row))
+    return numbered.join(stay, row, "left_semi").select(*docs.columns)
 
 
 def suffix_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = suffix_dedup.without_repeats(docs, removed="__removed")
-    changed = F.col("__removed") > 0
+    removed = free_name(docs, "removed")
+    left = suffix_dedup.without_repeats(docs, removed=removed)
+    changed = F.col(removed) > 0
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return left.filter(~changed | F.col("text").rlike(r"\S")).select(*docs.columns)
