@@ -10,7 +10,7 @@ in the same way by trees of depth two over both measures.  The score of a text i
 the logistic function of the sum of the looked-up cells, a few vectorised gathers.
 
 Fitting uses at most ``sample_rows`` labelled rows (a documented bound: half for
-each class, chosen by a hash of the text; a class's rows are weighted back to
+each class, chosen by a hash of the id; a class's rows are weighted back to
 its share of all labelled rows).  Prediction reads every whole text.  The ids,
 labels, language and source of a document are never measured.
 
@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgepole.llm.common import cut
+
 SAMPLE_ROWS = 20_000
 MAX_BINS = 32
 PAIR_BINS = 8
@@ -43,7 +45,6 @@ PAIR_ROUNDS = 50
 RATE = 0.1
 _RIDGE = 5.0
 _MIN_ROWS = 4.0
-_HASH_RANGE = 1 << 30
 FEATURES = (
     "log_chars", "log_words", "mean_word", "longest_word",
     "letters", "digits", "blanks", "marks", "upper", "beyond_ascii",
@@ -246,16 +247,17 @@ def measured(column: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, **options) -> AdditiveModel:
     """Learn ``labels[label]`` from the texts of the labelled documents (a bounded sample of them)."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)")
-    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = own.join(known, F.col("doc_id") == F.col("__id")).select("text", "y", F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASH_RANGE)).alias("h"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # a little over the bound by hash, so that few texts are measured; the bound itself on the measured rows
-    share = lambda n: math.ceil(min(1.0, 0.6 * sample_rows / n) * _HASH_RANGE)
-    chosen = reduce(Column.__or__, [(F.col("y") == y) & (F.col("h") < share(n)) for y, n in counts.items()], F.lit(False))
-    sample = rows.filter(chosen).select("y", "h", measured(F.col("text")).alias("x"))
-    found = [r for y in sorted(counts) for r in sample.filter(F.col("y") == y).orderBy("h", "x").limit(sample_rows // 2).collect()]
-    if not found:
+    # ids alone are joined with all labels; only the sample, bounded by its parameter, meets the texts
+    paired = docs.select("doc_id").join(known, F.col("doc_id") == F.col("__id")).select("__id", "y", F.xxhash64("doc_id").alias("h"))
+    paired = cut(paired)
+    counts = {r["y"]: r["n"] for r in paired.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = [paired.filter(F.col("y") == y).orderBy("h", "__id").limit(sample_rows // 2) for y in sorted(counts)]
+    if not chosen:
         return AdditiveModel()
+    # a pair a row: a document and a label that both occur n times are n * n rows
+    sample = cut(reduce(DataFrame.union, chosen)).groupBy("__id", "y").agg(F.count(F.lit(1)).alias("n"))
+    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
+    found = own.select("y", F.xxhash64("doc_id", "text").alias("h"), measured(F.col("text")).alias("x")).orderBy("h", "y", "x").limit(sample_rows).collect()
     y = np.array([r["y"] for r in found], float)
     x = np.array([r["x"] for r in found], float)
     taken = Counter(y.tolist())
