@@ -11,11 +11,12 @@ Each stage writes its tables before the next stage reads them back:
   otherwise defeat column pruning);
 * the de-duplication and the listings join run once, not once per sink;
 * every layer is written once: in overwrite mode the layer tables are
-  re-pointed at the written files (an atomic catalog update, no copy),
-  only append mode copies rows into the tables;
-* every run writes to a folder of its own, which no table points to, so a
+  re-pointed at the written files (an atomic catalog update, no copy), in
+  append mode the files become the run's partition (:mod:`lodgepole.plans.runs`);
+* every attempt writes to a folder of its own, which no table points to, so a
   run can neither overwrite what a table holds nor append to what it has just
-  written;
+  written; an append that failed half-way is repeated under the same
+  ``run_id`` and replaces what it had reached;
 * the tables of one stage do not depend on each other, so their writes are
   submitted together from a few driver threads and Spark runs the jobs
   side by side (one job's short tail stages leave cores another job uses).
@@ -44,6 +45,7 @@ from lodgepole.plans.layers import (
     publish,
     reconcile,
 )
+from lodgepole.plans.runs import accumulates, add_run, check_run_id, drop_runs, finish_conversions, runs_of
 from lodgepole.schemas import NAN_TO_NULL_TABLES
 from lodgepole.sources.domain import source_tables
 
@@ -114,19 +116,24 @@ def run_batch(
     start: str = DEFAULT_SPINE_START,
     end: str = DEFAULT_SPINE_END,
     load_mode: str = "overwrite",
+    run_id: str | None = None,
 ) -> DataFrame:
     """Run every stage and return the load reconciliation report.
 
-    Tables are created under ``root``; the run's files go to a new folder
-    under it, so the same ``root`` may be used again.
+    Tables are created under ``root``; the files go to a new folder under it,
+    so the same ``root`` may be used again. ``run_id`` names the batch in append
+    mode: a repetition under the same name replaces the batch's rows. A caller
+    that may repeat a batch passes it; without one the batch has a name of its own.
     """
-    run = f"{root}/runs/{uuid.uuid4().hex}"
+    run_id = check_run_id(run_id or uuid.uuid4().hex)
+    run = f"{root}/runs/{run_id}/{uuid.uuid4().hex}"
     raw, raw_rows = extract(spark, sources, run)
     for table, df in raw.items():
         ensure_not_empty(df, f"raw_layer/{table}")
     curated, curated_rows = write_layer(spark, curate_all(raw), run, "curated_layer")
     metrics, metric_rows = write_layer(spark, metric_frames(spark, curated, start, end), run, "presentation_layer")
 
+    finish_conversions(spark)
     create_layer_tables(spark, root)
     staged = {
         "raw_layer": (raw, raw_rows),
@@ -137,7 +144,13 @@ def run_batch(
     for layer, (tables, rows) in staged.items():
         for table, df in tables.items():
             name = f"{layer}.{table}"
-            before = spark.table(name).count() if load_mode == "append" else 0
-            publish(spark, layer_path(run, layer, table), name, load_mode, df)
-            loads.append(Load(layer, table, rows[table], before))
+            path = layer_path(run, layer, table)
+            if load_mode == "append" or accumulates(spark, name):
+                others = runs_of(spark, name) if load_mode == "overwrite" else []
+                add_run(spark, name, run_id, path)
+                drop_runs(spark, name, [r for r in others if r != run_id])
+                loads.append(Load(layer, table, rows[table], run=run_id))
+            else:
+                publish(spark, path, name, load_mode, df)
+                loads.append(Load(layer, table, rows[table]))
     return reconcile(spark, loads)

@@ -9,16 +9,17 @@ cluster is shared storage (see :func:`lodgepole.session.lake_root`).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgepole.schemas import LAYERS, LAYOUT
+from lodgepole.schemas import LAYERS, LAYOUT, RUN_COLUMN
 
 WRITE_MODES = ("overwrite", "append")
 
@@ -77,6 +78,52 @@ def counted_write(df: DataFrame, path: str) -> int:
     return int(written.get["rows"])
 
 
+_SLICE_BITS = 20
+
+
+def _slices(value_hash: Column, n: int) -> Column:
+    """Sums of ``n`` slices of a 64-bit hash. A sum of 20-bit numbers is exact
+    in a long for 8 * 10**12 rows, and needs no decimal arithmetic."""
+    parts = [F.shiftright(value_hash, 64 - _SLICE_BITS * (i + 1)).bitwiseAND(F.lit((1 << _SLICE_BITS) - 1)) for i in range(n)]
+    return F.concat_ws(":", *[F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in parts])
+
+
+def content_sums(columns: list[str]) -> list[Column]:
+    """Aggregates that tell a multiset of rows: ``rows``, one checksum of the
+    whole rows (``row``) and one of each column (``c0``, ``c1``, …).
+
+    They do not depend on the order of rows or on the partitioning, and count
+    repeated rows. Column sums name the column that changed; values that only
+    changed places between rows show in the row sum alone. NULL is a value of
+    its own (the hash functions skip it).
+    """
+    at = [F.col(f"`{c}`") for c in columns]
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        _slices(F.xxhash64(*[x for c in at for x in (c.isNull(), c)]), 3).alias("row"),
+        *[_slices(F.xxhash64(c.isNull(), c), 2).alias(f"c{i}") for i, c in enumerate(at)],
+    ]
+
+
+@dataclass(frozen=True)
+class Content:
+    """What a write counted of the rows that passed through it."""
+
+    columns: tuple[str, ...]
+    rows: int
+    row_sum: str
+    column_sums: tuple[str, ...]
+
+
+def checked_write(df: DataFrame, path: str) -> Content:
+    """Write Parquet to a new folder and return the checksums of its rows,
+    taken by the write itself."""
+    written = Observation()
+    write_table(df.observe(written, *content_sums(df.columns)), path)
+    got = written.get
+    return Content(tuple(df.columns), int(got["rows"]), got["row"], tuple(got[f"c{i}"] for i in range(len(df.columns))))
+
+
 def save_bucketed(
     df: DataFrame, table_name: str, path: str, table: str, buckets: int
 ) -> None:
@@ -108,7 +155,8 @@ def _ddl(schema: T.StructType) -> str:
 def create_layer_tables(spark: SparkSession, root: str) -> list[str]:
     """Create the three layer databases and their 14 tables if absent.
 
-    Idempotent: re-running it leaves existing tables untouched.
+    Idempotent: re-running it leaves existing tables as they are, but for
+    columns that their schema has gained since (:func:`add_missing_columns`).
     """
     created = []
     for layer, tables in LAYERS.items():
@@ -119,18 +167,60 @@ def create_layer_tables(spark: SparkSession, root: str) -> list[str]:
                 f"CREATE TABLE IF NOT EXISTS {layer}.{table} ({_ddl(schema)}) "
                 f"USING parquet LOCATION '{location}'"
             )
+            add_missing_columns(spark, f"{layer}.{table}", schema)
             created.append(f"{layer}.{table}")
     return created
 
 
+class SchemaDrift(ValueError):
+    """A column came with another type than the table's."""
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def add_missing_columns(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
+    """Add the columns of ``schema`` that the table lacks (old rows read NULL);
+    return their names. A column of another type raises :class:`SchemaDrift`
+    before anything is changed. Columns that only the table has stay."""
+    held = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+    changed = [
+        f"{f.name}: {held[f.name.lower()].simpleString()} became {f.dataType.simpleString()}"
+        for f in schema.fields
+        if held.get(f.name.lower(), f.dataType) != f.dataType
+    ]
+    if changed:
+        raise SchemaDrift(f"{name}: {', '.join(changed)}")
+    new = T.StructType([f for f in schema.fields if f.name.lower() not in held])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(new)})")
+        spark.catalog.refreshTable(name)
+    return new.names
+
+
 def register_parquet(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
-    """Expose a Parquet folder by name; the schema is read from the files."""
+    """Expose a Parquet folder by name, as a crawler does.
+
+    The schema is the union of the columns of all files (older files read NULL
+    in newer columns). Folders named ``key=value`` become partitions: they are
+    entered in the catalog, so that filters on the key prune folders without
+    listing them. Calling it again takes in what has changed since: new and
+    removed partitions, new files, new columns; a column of another type
+    raises :class:`SchemaDrift`. A table of that name over another folder is
+    an error, not a silent answer from there.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
     if spark.catalog.tableExists(name):
-        spark.sql(f"REFRESH TABLE {name}")
+        if not same_path(table_location(spark, name), path):
+            raise ValueError(f"{name} stands for {table_location(spark, name)}, not {path}")
+        spark.catalog.refreshTable(name)
+        add_missing_columns(spark, name, spark.read.option("mergeSchema", True).parquet(path).schema)
     else:
-        spark.catalog.createTable(name, path=path, source="parquet")
+        spark.catalog.createTable(name, path=path, source="parquet", mergeSchema="true")
+    if partition_columns(spark, name):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     return spark.table(name)
 
 
@@ -154,6 +244,12 @@ def table_location(spark: SparkSession, table: str) -> str:
     return detail.data_type.rstrip("/") if detail else ""
 
 
+def same_path(a: str, b: str) -> bool:
+    """Whether two folders are the same, however a local one is written."""
+    plain = [re.sub(r"^file:/+", "/", p).rstrip("/") for p in (a, b)]
+    return plain[0] == plain[1]
+
+
 def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name.lower(), f.dataType) for f in a.fields] == [
         (f.name.lower(), f.dataType) for f in b.fields
@@ -205,12 +301,67 @@ def publish(
 @dataclass(frozen=True)
 class Load:
     """What was loaded into a table: the rows that the write of the source
-    counted, and the rows that the table held before."""
+    counted, and the rows that the table held before. Where the table keeps
+    each run as a partition, ``run`` names it and only that part is compared."""
 
     layer: str
     table: str
     source_rows: int
     rows_before: int = 0
+    run: str | None = None
+
+
+@dataclass(frozen=True)
+class CheckedLoad:
+    """A load together with the checksums that its write took."""
+
+    layer: str
+    table: str
+    content: Content
+    run: str | None = None
+
+
+def _loaded(spark: SparkSession, name: str, run: str | None) -> DataFrame:
+    held = spark.table(name)
+    return held if run is None else held.filter(F.col(RUN_COLUMN) == run)
+
+
+def content_report(spark: SparkSession, loads: list[CheckedLoad]) -> DataFrame:
+    """One row per load: ``layer, table_name, source_rows, target_rows,
+    rows_match, content_match, differing_columns``.
+
+    The checksums of what the table holds now (one aggregate over it) against
+    those of the write. ``content_match`` is false as soon as any row differs;
+    ``differing_columns`` (comma-separated, in the table's order) names the
+    columns whose own values changed and is empty if values only changed places.
+    A table that cannot be read, or lacks a column, is reported without counts.
+    """
+    out = []
+    for load in loads:
+        name, content = f"{load.layer}.{load.table}", load.content
+        held = None
+        if spark.catalog.tableExists(name) and is_readable(spark, name):
+            held = _loaded(spark, name, load.run)
+            held = held if set(content.columns) <= set(held.columns) else None
+        if held is None:
+            sums = spark.range(0, 1, 1, 1).select(*[F.lit(None).cast("string").alias(c) for c in ("rows", "row", *[f"c{i}" for i in range(len(content.columns))])])
+        else:
+            sums = held.agg(*content_sums(list(content.columns)))
+        differs = [
+            F.when(F.col(f"c{i}") != F.lit(s), F.lit(c)) for i, (c, s) in enumerate(zip(content.columns, content.column_sums, strict=True))
+        ]
+        out.append(
+            sums.select(
+                F.lit(load.layer).alias("layer"),
+                F.lit(load.table).alias("table_name"),
+                F.lit(content.rows).cast("long").alias("source_rows"),
+                F.col("rows").cast("long").alias("target_rows"),
+                F.coalesce(F.col("rows") == content.rows, F.lit(False)).alias("rows_match"),
+                F.coalesce((F.col("rows") == content.rows) & (F.col("row") == content.row_sum), F.lit(False)).alias("content_match"),
+                F.concat_ws(",", *differs).alias("differing_columns"),
+            )
+        )
+    return reduce(DataFrame.unionByName, out)
 
 
 def is_readable(spark: SparkSession, name: str) -> bool:
@@ -228,7 +379,8 @@ def reconcile(spark: SparkSession, loads: list[Load]) -> DataFrame:
 
     ``source_rows`` is what the write of the source counted, ``target_rows`` what
     the table holds now, and ``complete`` whether it has grown by exactly the
-    source's rows. A table that is missing or cannot be read is reported
+    source's rows (of a table that keeps runs apart: whether that run's part
+    holds exactly these). A table that is missing or cannot be read is reported
     (``target_rows`` NULL) and does not fail the report. Each count is a
     distributed aggregate evaluated as a scalar subquery.
     """
@@ -237,7 +389,7 @@ def reconcile(spark: SparkSession, loads: list[Load]) -> DataFrame:
         name = f"{load.layer}.{load.table}"
         present = spark.catalog.tableExists(name)
         readable = present and is_readable(spark, name)
-        held = spark.table(name).agg(F.count(F.lit(1))).scalar() if readable else F.lit(None)
+        held = _loaded(spark, name, load.run).agg(F.count(F.lit(1))).scalar() if readable else F.lit(None)
         rows.append(
             spark.range(0, 1, 1, 1)
             .select(

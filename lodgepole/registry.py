@@ -12,14 +12,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodgepole.functions.dates import parse_date
 from lodgepole.operators import clean, curate, merge, metrics, profile
-from lodgepole.plans import batch, layers
+from lodgepole.plans import batch, layers, runs
 from lodgepole.schemas import CURATED_BOOKINGS, LAYOUT, RAW
 from lodgepole.session import lake_root
-from lodgepole.sources.domain import SOURCES, raw_table, raw_tables, source_tables
-from lodgepole.sources.readers import read_catalog_table, read_csv
+from lodgepole.sources.domain import SOURCES, raw_table, raw_tables, read_input, source_tables
+from lodgepole.sources.readers import read_catalog_table, read_csv, stage_csv
 from lodgepole.sources.updates import listing_price_updates
 
 SPINE_START = "1995-01-01"
@@ -146,13 +147,98 @@ def _published(table: str) -> Query:
 
 def _batch_append(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches, the second appended under the same root: the bookings of
-    each are half of all; the table ends with all of them."""
+    each are half of all; the table ends with all of them, in two runs."""
     root, sources = _scratch(spark, "append"), source_tables(spark, sf)
     half = F.pmod("booking_id", F.lit(2))
     for i, mode in enumerate(("overwrite", "append")):
         part = sources | {"bookings": sources["bookings"].filter(half == i)}
         batch.run_batch(spark, part, root, SPINE_START, SPINE_END, mode)
-    return read_catalog_table(spark, "raw_layer", "bookings")
+    return runs.published(spark, "raw_layer", "bookings")
+
+
+def _append_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings with the run each came in: the first half, then an append that
+    had written only a third of its rows when it died, repeated in full."""
+    root = _scratch(spark, "rerun")
+    bookings = raw_table(spark, sf, "bookings")
+    name = _fresh_table(spark, "raw_layer", "bookings", RAW["bookings"], f"{root}/tables")
+    half = F.pmod("booking_id", F.lit(2))
+    layers.publish(spark, layers.write_table(bookings.filter(half == 0), f"{root}/first"), name)
+    second = bookings.filter(half == 1)
+    runs.add_run(spark, name, "second", layers.write_table(second.filter(F.pmod("booking_id", F.lit(3)) == 0), f"{root}/second-1"))
+    runs.add_run(spark, name, "second", layers.write_table(second, f"{root}/second-2"))
+    return spark.table(name)
+
+
+def _catalog_register_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by year and status, registered by name; then the finished orders
+    arrive, with a column that the first files lack, and the folder is
+    registered again."""
+    root = _scratch(spark, "partitioned")
+    orders = read_input(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS partitioned_layer LOCATION '{root}/_warehouse'")
+    spark.sql("DROP TABLE IF EXISTS partitioned_layer.orders")
+    keys, finished = ["order_year", "o_orderstatus"], F.col("o_orderstatus") == "F"
+    layers.write_table(orders.filter(~finished).drop("o_orderpriority"), f"{root}/orders", partition_by=keys)
+    layers.register_parquet(spark, "partitioned_layer", "orders", f"{root}/orders")
+    layers.write_table(orders.filter(finished), f"{root}/orders", mode="append", partition_by=keys)
+    return layers.register_parquet(spark, "partitioned_layer", "orders", f"{root}/orders")
+
+
+ORDER_LINES = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.IntegerType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_orderdate", T.DateType()),
+    ]
+)
+
+
+def _csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as CSV lines, some of them damaged: a text for a number, a field
+    too few, a field too many. Good rows and quarantined lines together."""
+    root = _scratch(spark, "quarantine")
+    key = F.col("o_orderkey")
+    price = F.when(key % 11 == 0, F.lit("abc")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    customer = F.when(key % 13 == 0, F.lit("12x")).otherwise(F.col("o_custkey").cast("string"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    status = F.when(key % 19 == 0, F.lit('"F, closed"')).otherwise(F.col("o_orderstatus"))
+    line = F.concat_ws(",", key.cast("string"), customer, price, F.when(key % 17 != 0, status), day, F.when(key % 23 == 0, F.lit("more")))
+    read_input(spark, sf, "orders").select(line.alias("value")).write.text(f"{root}/lines")
+    staged = stage_csv(spark, f"{root}/lines", ORDER_LINES, f"{root}/staged", header=False)
+    good = staged.good.select(F.lit(False).alias("quarantined"), *ORDER_LINES.names, F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reason"))
+    bad = staged.quarantined.select(F.lit(True).alias("quarantined"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in ORDER_LINES], "record", "reason")
+    return good.unionByName(bad)
+
+
+def _load_content_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """One load of all bookings compared with four tables: as loaded, one price
+    changed, two bookings' users swapped, one row lost and another twice."""
+    root = _scratch(spark, "content")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS content_layer LOCATION '{root}/_warehouse'")
+    source = raw_table(spark, sf, "bookings")
+    content = layers.checked_write(source, f"{root}/staged")
+    staged = spark.read.schema(source.schema).parquet(f"{root}/staged")
+    # the first and the last of the booking ids that one row has
+    single = staged.groupBy("booking_id").agg(F.count(F.lit(1)).alias("n"), F.first("user_id").alias("user_id")).filter("n = 1 and user_id is not null")
+    least, most = (f(F.struct("booking_id", "user_id")) for f in (F.min, F.max))
+    ends = single.agg(least.alias("a"), most.alias("b"))
+    a, b = (ends.select(x).scalar() for x in ("a", "b"))
+    key = F.col("booking_id")
+    user = F.when(key == a["booking_id"], b["user_id"]).when(key == b["booking_id"], a["user_id"]).otherwise(F.col("user_id"))
+    copies = F.when(key == a["booking_id"], F.lit(0)).when(key == b["booking_id"], F.lit(2)).otherwise(F.lit(1))
+    tables = {
+        "as_loaded": staged,
+        "changed": staged.withColumn("total_price", F.when(key == a["booking_id"], F.lit(-1.0)).otherwise(F.col("total_price"))),
+        "swapped": staged.withColumn("user_id", user),
+        "lost": staged.withColumn("copy", F.explode(F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), copies))).drop("copy"),
+    }
+    for name, rows in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS content_layer.{name}")
+        rows.write.option("path", f"{root}/{name}").saveAsTable(f"content_layer.{name}")
+    return layers.content_report(spark, [layers.CheckedLoad("content_layer", t, content) for t in tables])
 
 
 QUERIES: dict[str, Query] = {
@@ -202,4 +288,9 @@ QUERIES: dict[str, Query] = {
     "batch_average_listing_price": _published("average_listing_price"),
     "batch_top_performing_listings": _published("top_performing_listings"),
     "batch_append_bookings": _batch_append,
+    # partitioned folders by name, quarantine, repeated appends, contents of loads
+    "catalog_register_partitioned": _catalog_register_partitioned,
+    "csv_quarantine": _csv_quarantine,
+    "append_rerun_bookings": _append_rerun,
+    "load_content_reconcile": _load_content_reconcile,
 }

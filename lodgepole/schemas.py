@@ -143,6 +143,9 @@ LAYERS = {
     "presentation_layer": PRESENTATION,
 }
 
+# Partition column of tables that keep each run's rows apart (not published).
+RUN_COLUMN = "load_run"
+
 # Physical layout per table: (distribution key or None for EVEN, sort keys).
 LAYOUT = {
     "curated_apartments": ("id", ["cityname", "is_active"]),

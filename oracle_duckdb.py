@@ -471,5 +471,48 @@ ORACLE.update(
         "batch_top_performing_listings": ORACLE["top_performing_listings"],
         "batch_append_bookings": _with("", "SELECT * FROM raw_bookings"),
         "batch_reconcile": _batch_reconcile(),
+        "catalog_register_partitioned": """
+SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority),
+  CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders""",
+        "csv_quarantine": """
+WITH lines AS (
+  SELECT *, o_orderkey % 11 = 0 AS bad_price, o_orderkey % 13 = 0 AS bad_customer,
+    o_orderkey % 17 = 0 AS few, o_orderkey % 23 = 0 AS many, CAST(o_totalprice AS DECIMAL(18, 2)) AS price,
+    strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 19 = 0 THEN 'F, closed' ELSE o_orderstatus END AS status
+  FROM orders),
+judged AS (
+  SELECT *, few <> many AS wrong_fields,
+    -- one field too few and one too many: five fields, the third and fourth moved
+    few AND many AS moved FROM lines)
+SELECT q AS quarantined,
+  CASE WHEN NOT q THEN o_orderkey END AS o_orderkey,
+  CAST(CASE WHEN NOT q THEN o_custkey END AS INTEGER) AS o_custkey,
+  CASE WHEN NOT q THEN CAST(price AS DOUBLE) END AS o_totalprice,
+  CASE WHEN NOT q THEN status END AS o_orderstatus,
+  CASE WHEN NOT q THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+  CASE WHEN q THEN concat_ws(',', CAST(o_orderkey AS VARCHAR), CASE WHEN bad_customer THEN '12x' ELSE CAST(o_custkey AS VARCHAR) END,
+    CASE WHEN bad_price THEN 'abc' ELSE CAST(price AS VARCHAR) END,
+    CASE WHEN NOT few THEN CASE WHEN o_orderkey % 19 = 0 THEN '"F, closed"' ELSE o_orderstatus END END, day, CASE WHEN many THEN 'more' END) END AS record,
+  CASE WHEN wrong_fields THEN 'not 5 fields' WHEN q THEN concat_ws('; ', CASE WHEN bad_customer THEN 'o_custkey: ''12x'' is no int' END,
+    CASE WHEN bad_price THEN 'o_totalprice: ''abc'' is no double' END, CASE WHEN moved THEN 'o_orderdate: ''more'' is no date' END) END AS reason
+FROM (SELECT *, bad_price OR bad_customer OR wrong_fields OR moved AS q FROM judged)""",
+        "append_rerun_bookings": _with(
+            "", "SELECT *, CASE WHEN booking_id % 2 = 0 THEN 'base' ELSE 'second' END AS load_run FROM raw_bookings"
+        ),
+        "load_content_reconcile": _with(
+            "",
+            """SELECT 'content_layer' AS layer, t AS table_name, n AS source_rows, n AS target_rows, true AS rows_match,
+  t = 'as_loaded' AS content_match,
+  CASE t WHEN 'changed' THEN 'total_price' WHEN 'lost' THEN (
+    SELECT concat_ws(',', 'booking_id', CASE WHEN a.user_id IS DISTINCT FROM b.user_id THEN 'user_id' END,
+      CASE WHEN a.apartment_id IS DISTINCT FROM b.apartment_id THEN 'apartment_id' END, CASE WHEN a.booking_date IS DISTINCT FROM b.booking_date THEN 'booking_date' END,
+      CASE WHEN a.checkin_date IS DISTINCT FROM b.checkin_date THEN 'checkin_date' END, CASE WHEN a.checkout_date IS DISTINCT FROM b.checkout_date THEN 'checkout_date' END,
+      CASE WHEN a.total_price IS DISTINCT FROM b.total_price THEN 'total_price' END, CASE WHEN a.currency IS DISTINCT FROM b.currency THEN 'currency' END,
+      CASE WHEN a.booking_status IS DISTINCT FROM b.booking_status THEN 'booking_status' END)
+    FROM raw_bookings a, raw_bookings b
+    WHERE a.booking_id = (SELECT min(booking_id) FROM (SELECT booking_id FROM raw_bookings GROUP BY booking_id HAVING count(*) = 1 AND count(user_id) = 1))
+      AND b.booking_id = (SELECT max(booking_id) FROM (SELECT booking_id FROM raw_bookings GROUP BY booking_id HAVING count(*) = 1 AND count(user_id) = 1))) ELSE '' END AS differing_columns
+FROM (SELECT unnest(['as_loaded', 'changed', 'swapped', 'lost']) AS t), (SELECT CAST(count(*) AS BIGINT) AS n FROM raw_bookings)""",
+        ),
     }
 )
