@@ -33,7 +33,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgepole.llm.common import cut
+from lodgepole.llm.common import cut, free_name, written
 
 LABEL_ROWS = 600
 MIN_COUNT = 5
@@ -41,83 +41,78 @@ TREES = 24
 DEPTH = 6
 MASK = "[SECRET]"
 
-_RUN = r"(?=[A-Za-z+/_\-]{0,4096}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}|(?<![A-Za-z0-9+/_\-])[A-Z]{16,}(?![A-Za-z0-9+/_\-])"
+# a run is looked at from its first character only, so a long one is read once or twice
+_RUN = r"(?<![A-Za-z0-9+/_\-])(?:(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}+={0,2}|[A-Z]{16,}+(?![A-Za-z0-9+/_\-]))"
 _KEYWORD = r"(?i)(passw(or)?d|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|credential|auth(orization)?|bearer)s?"
 _NEUTRAL = r"(?i)(sha|md5|crc|hash|digest|checksum|commit|revision|etag|uuid|guid|isbn|version|build|https?:|href|src|file|path|date|phone|card|order|ref)"
 # a character no text holds (a noncharacter of Unicode): it marks the ends of matches
 _EDGE = "\uffff"
 _NAME = _KEYWORD + r"[\"']?\s*+[=:]\s*+[\"']?"
 # a value ends before the next assignment to such a word, or the next name of a query string
-_VALUE = rf"(?:(?!&[A-Za-z0-9_.\-]{{1,64}}=|{_NAME})[^\s\"',;<>{_EDGE}]){{8,}}"
+_VALUE = rf"(?:(?!&[A-Za-z0-9_.\-]++=|{_NAME})[^\s\"',;<>{_EDGE}]){{8,}}+"
 _ASSIGNED = rf"({_NAME})({_VALUE})"
 _ASSIGNED_VALUE = re.compile(_NAME.replace("(?i)", "")).groups + 2  # number of its group
 # characters before a candidate in which the words before it are looked for
 _CONTEXT = 400
+# pieces that can lie in it: a match has 8 characters at least, and a piece follows each
+_NEAR_PIECES = 2 * (_CONTEXT // 8 + 1)
 # Prefixes by which providers mark their keys.
 _PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|rk_live_|AIza|eyJ|glpat-)"
 _TEST_PATH = r"(?i)(^|[/_.\-])(tests?|examples?|samples?|fixtures?|docs?|vendor|lock)([/_.\-]|$)"
 
 
-def _spans(text: Column, pattern: str, marked: str) -> Column:
-    """The matches in a text, as an array of (start, value); ``marked`` is the replacement that sets the edges.
-
-    A value that one word (text without white space) repeats is listed at its first place there.
-    """
-    pieces = F.split(F.regexp_replace(text, pattern, marked), _EDGE, -1)
-    none = F.array().cast("array<string>")
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("seen"), F.array().cast("array<struct<start: int, value: string>>").alias("spans"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        new = acc["hit"] & ~F.array_contains(acc["seen"], piece)
-        here = F.array(F.struct(acc["at"].alias("start"), piece.alias("value")))
-        return F.struct(
-            (acc["at"] + F.length(piece)).alias("at"),
-            (~acc["hit"]).alias("hit"),
-            F.when(new, F.concat(acc["seen"], F.array(piece))).when(~acc["hit"] & piece.rlike(r"\s"), none).otherwise(acc["seen"]).alias("seen"),
-            F.when(new, F.concat(acc["spans"], here)).otherwise(acc["spans"]).alias("spans"),
-        )
-
-    return F.aggregate(pieces, zero, step, lambda acc: acc["spans"])
+def _pieces(text: Column, kind: int, pattern: str, marked: str) -> Column:
+    """The text cut at the ends of all matches, as an array of (kind, nth, piece); every
+    second piece is a match.  ``marked`` is the replacement that sets the edges."""
+    cut_up = F.split(F.regexp_replace(text, pattern, marked), _EDGE, -1)
+    return F.transform(cut_up, lambda p, i: F.struct(F.lit(kind).alias("kind"), i.alias("nth"), p.alias("piece")))
 
 
 def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
-    """Candidates: doc_id, text_key, path, start (code points), value, before, outer.
+    """Candidates: row, doc_id, text_key, path, start (code points), value, before, outer.
 
-    All runs and all assigned values of a text.  ``text_key`` is a hash
-    of the text, which tells rows of one doc_id apart; ``before`` is the three
+    All runs and all assigned values of a text, each occurrence a finding.  ``row`` numbers
+    the rows of the input and ``text_key`` is a hash of the text; ``before`` is the three
     words before and the part of the candidate's own word that precedes it, of
     the ``_CONTEXT`` characters before it; ``outer`` is the start of the longer
     assigned value that holds the candidate, or else its own start.
+
+    Texts with a candidate are cut into pieces; of a piece between matches only its length
+    and its last characters are moved.  Starts are running sums of the lengths, so the work
+    grows with the text, however many candidates it has.
     """
     # no candidate holds the edge character, so a blank in its place changes none
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _EDGE, " ")
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in docs.columns else F.lit("")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), text.alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
-    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED))
-    both = some.select("doc_id", "text_key", "path", "text", _spans(F.col("text"), _RUN, f"{_EDGE}$0{_EDGE}").alias("runs"), _spans(F.col("text"), _ASSIGNED, f"$1{_EDGE}${_ASSIGNED_VALUE}{_EDGE}").alias("assigned"))
-
-    def end(span: Column) -> Column:
-        return span["start"] + F.length(span["value"])
-
-    def candidate(span: Column, outer: Column) -> Column:
-        n = F.least(span["start"], F.lit(_CONTEXT))
-        before = F.regexp_extract(F.substring(F.col("text"), span["start"] - n + 1, n), r"(?:\S++\s++){0,3}\S*+\z", 0)
-        return F.struct(span["start"].alias("start"), span["value"].alias("value"), before.alias("before"), outer.alias("outer"))
-
-    def held(run: Column) -> Column:
-        return F.filter("assigned", lambda a: (a["start"] <= run["start"]) & (end(a) >= end(run)))
-
-    runs = F.transform("runs", lambda r: candidate(r, F.coalesce(F.get(held(r), F.lit(0))["start"], r["start"])))
-    values = F.transform("assigned", lambda a: candidate(a, a["start"]))
-    hits = F.array_distinct(F.concat(values, runs))
-    return both.select("doc_id", "text_key", "path", F.explode(hits).alias("hit")).select("doc_id", "text_key", "path", "hit.*")
-
-
-def dictionary(docs: DataFrame, runs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """Those of ``runs`` (word) that the documents hold as words at least ``min_count`` times."""
+    some = rows.filter(F.col("text").rlike(_RUN) | F.col("text").rlike(_ASSIGNED)).withColumn("row", F.monotonically_increasing_id())
+    both = F.concat(_pieces(F.col("text"), 0, _ASSIGNED, f"$1{_EDGE}${_ASSIGNED_VALUE}{_EDGE}"), _pieces(F.col("text"), 1, _RUN, f"{_EDGE}$0{_EDGE}"))
+    own = ["row", "doc_id", "text_key", "path"]
+    hit = F.col("nth") % 2 == 1
+    pieces = some.select(*own, F.explode(both).alias("p")).select(
+        *own, "p.kind", "p.nth", F.length("p.piece").alias("n"), F.when(hit, F.col("p.piece")).alias("value"), F.right("p.piece", F.lit(_CONTEXT)).alias("tail")
+    )
+    order = Window.partitionBy("row", "kind").orderBy("nth")
+    placed = pieces.withColumns(
+        {
+            "start": F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"),
+            "context": F.right(F.array_join(F.collect_list("tail").over(order.rowsBetween(-_NEAR_PIECES, -1)), ""), F.lit(_CONTEXT)),
+        }
+    ).filter(hit)
+    # assigned values do not overlap: only the last one that starts before a run can hold it
+    end = F.col("start") + F.col("n")
+    until = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = placed.withColumn("holder", F.last(F.when(F.col("kind") == 0, F.struct("start", end.alias("end"))), True).over(until))
+    inside = (F.col("kind") == 1) & F.coalesce(F.col("holder.end") >= end, F.lit(False))
+    same = inside & (F.col("holder.start") == F.col("start")) & (F.col("holder.end") == end)
+    before = F.regexp_extract("context", r"(?:\S++\s++){0,3}\S*+\z", 0)
+    return held.filter(~same).select(*own, "start", "value", before.alias("before"), F.when(inside, F.col("holder.start")).otherwise(F.col("start")).alias("outer"))
+
+
+def dictionary(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """The words that the documents hold at least ``min_count`` times."""
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    return counts.join(runs, "word", "left_semi").select("word")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count).select("word")
 
 
 def _share(pattern: str) -> Column:
@@ -128,12 +123,11 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1.0).otherwise(0.0)
 
 
-def features(found: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """``found`` with one column for each feature."""
+def features(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``found`` with one column for each feature; ``words`` is the dictionary."""
     letters = F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))
     runs = found.select("value").distinct().select("value", F.explode(letters).alias("word"))
-    known = dictionary(docs, runs.select("word").distinct(), min_count)
-    covered = runs.join(known, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+    covered = runs.join(words, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
     classes = F.length(F.regexp_replace("value", "[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+", "x"))
     return found.join(covered, "value", "left").withColumns(
         {
@@ -207,14 +201,14 @@ def _tree_sql(lines: list[str], names: list[str]) -> str:
     return f"(CASE WHEN {names[int(feature)]} <= {float(at)!r}D THEN {low} ELSE {_tree_sql(lines, names)} END)"
 
 
-def train(labelled: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT, trees: int = TREES, depth: int = DEPTH) -> str | None:
+def train(labelled: DataFrame, words: DataFrame, trees: int = TREES, depth: int = DEPTH) -> str | None:
     """A SQL expression for the share of trees that call a finding a secret; None without labels.
 
     The training rows are sorted into one partition, so that the same findings
     give the same forest however the corpus is partitioned; their number is
     bounded by the caller (``LABEL_ROWS``).
     """
-    table = features(labelled, docs, min_count)
+    table = features(labelled, words)
     names = [c for c in table.columns if c.startswith("f_")]
     ready = cut(VectorAssembler(inputCols=names, outputCol="features").transform(table.orderBy("value", "before", "path").coalesce(1)).select("label", "features"))
     if ready.isEmpty():
@@ -230,12 +224,13 @@ def train(labelled: DataFrame, docs: DataFrame, min_count: int = MIN_COUNT, tree
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "source", min_count: int = MIN_COUNT) -> DataFrame:
     """One row per candidate: doc_id, text_key, start, length, value, votes (0 to 1), is_secret."""
     labelled = labelled_findings(docs) if labelled is None else labelled
-    forest = train(labelled, docs, min_count)
+    words = written(dictionary(docs, min_count), "dictionary")
+    forest = train(labelled, words)
     found = cut(findings(docs, path_col))
     votes = F.lit(0.0) if forest is None else F.expr(forest)
-    scored = features(found, docs, min_count).withColumn("votes", votes).withColumn("is_secret", F.col("votes") >= 0.5)
+    scored = features(found, words).withColumn("votes", votes).withColumn("is_secret", F.col("votes") >= 0.5)
     # of a secret and what it holds, the longer one is the finding; both are judged
-    same = Window.partitionBy("doc_id", "text_key", "outer")
+    same = Window.partitionBy("row", "outer")
     scored = scored.withColumns({"longest": F.max(F.length("value")).over(same), "within": F.max_by("is_secret", F.length("value")).over(same)})
     scored = scored.filter(~F.col("within") | (F.length("value") == F.col("longest")))
     return scored.select("doc_id", "text_key", "start", F.length("value").alias("length"), "value", "votes", "is_secret")
@@ -247,14 +242,15 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "
     A value found in a document is replaced wherever that document holds it.
     Longer values go first, so a secret within a longer one is gone with it.
     """
+    doc, key, values = (free_name(docs, n) for n in ("secret_doc", "secret_key", "secret_values"))
     secrets = scan(docs, labelled, path_col).filter("is_secret")
-    by_text = secrets.groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set("value").alias("__values"))
-    by_text = by_text.withColumn("__values", F.array_sort("__values", lambda a, b: F.length(b) - F.length(a)))
-    clean = F.aggregate("__values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mask)))
-    same = (F.xxhash64(F.col("text").cast("string")) == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+    by_text = secrets.groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.collect_set("value").alias(values))
+    by_text = by_text.withColumn(values, F.array_sort(values, lambda a, b: F.length(b) - F.length(a)))
+    clean = F.aggregate(values, F.col("text"), lambda t, v: F.replace(t, v, F.lit(mask)))
+    same = (F.xxhash64(F.col("text").cast("string")) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc))
     joined = docs.join(by_text, same, "left")
-    text = F.when(F.col("__values").isNull(), F.col("text")).otherwise(clean)
+    text = F.when(F.col(values).isNull(), F.col("text")).otherwise(clean)
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__values").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+        out = out.withColumn("n_chars", F.when(F.col(values).isNull(), F.col("n_chars")).otherwise(F.length("text")))
     return out.select(*docs.columns)
