@@ -1,26 +1,35 @@
-"""Main-text extraction by wrapper induction over pages of one host.
-
-Every page becomes a DOM tree.  For a host, two of its pages with different
-content are aligned by simple tree matching (the largest order-preserving match
-of children, level by level; siblings of one label are one repeated node).
-Nodes that match and say the same on both pages are template; nodes that match
-but differ are varying slots.  The wrapper is the tree of matched nodes with the
-texts that stay constant, and its content node: the deepest container that holds
-nearly all varying text outside of nodes whose tag, class, id or role names them
-as menu, header, footer, sidebar, notice, advert, form or reader comments.
-Every page of the host is aligned with the wrapper; what lies in the nodes that
-match the content node is its text, without such named nodes and without the
-constant texts.  Where the content node is an ``article`` or ``main``, its
-constant texts stay: two articles may quote the same passage.
-
-A host with a single distinct page, or with two copies of one page, has no
-wrapper, and a page may not match; then names alone decide (the ``article`` or
-``main``, or else the whole body, without the named nodes).  Two
-pages by smallest and largest content hash are a bounded sample for fitting a
-host's wrapper; every page is aligned and extracted whole.  Wrappers are small
-(runs are folded, long texts kept as hashes) and are joined to pages by host:
-Spark broadcasts them if their size allows it, or else splits a host that holds
-a third of all pages.
+"""Main-text extraction by wrapper induction over all pages of one host.
+
+Every page becomes a DOM tree.  Siblings of one label (tag, class, id, role) are folded
+into one node, so a node is named by the path of its labels.
+
+1. *Counts.*  Over all distinct pages of a host, how many hold a text at a path.  A text
+   that at least ``CONSTANT`` of them hold there (of ``LEAST_PAGES`` or more) is template,
+   inside an article as well as outside; a passage that some pages share is none.  Where at
+   least half of the pages have one container structure, these are counted, so that
+   error pages and the like do not vote.
+2. *Alignment.*  Two typical pages - different ones of the most frequent container
+   structure - are aligned by simple tree matching (the largest
+   order-preserving match of children, level by level).  Matched nodes whose texts are not
+   constant are varying slots.  The wrapper is the tree of matched nodes; its content node is
+   the deepest container that holds nearly all (``INNER``) of the varying text outside of
+   named nodes.
+3. Every page is aligned with its host's wrapper; what lies in the nodes that match the
+   content node, without named nodes and constant texts, is its text.  Pages that
+   would keep less than ``LEAST_KEPT`` of their text (copies of one page that fill a host) keep
+   it whole.
+
+*Named nodes*: tag, class, id or role name them as menu, header, footer, sidebar, notice,
+advert, form or reader comments.  Names are a tie-break, since these parts vary from
+page to page as content does: inside an article headings are never dropped by name, and an
+``id`` that is a word of prose as well (``discussion``, ``related-work``) only where at least half of
+the host's pages have such a node.
+
+A host without two different pages has no wrapper, and a page may not match; then the
+``article`` or ``main``, or else the whole body, is the content.  What is counted are hashes,
+one row a text and page at most; wrappers are small (constant texts are kept as
+hashes) and are joined to pages by host: Spark broadcasts them if their size allows
+it, or else splits a host that holds a third of all pages.
 
 Defined results: null html is empty and gives the empty text; broken markup is
 read as browsers do (unclosed tags end with their parent, a new block ends an
@@ -57,11 +66,22 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 _NOT_CONTENT = frozenset("nav footer aside form script style noscript template head title button select option input textarea iframe object svg canvas dialog menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_NAMES = re.compile(
-    r"(^|[\s_-])(ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side-bar|aside|widget|footer|masthead|site-header|page-header"
-    r"|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|comments?|comment-\w+|commentlist|disqus|replies|reply|respond|discussion|pagination|pager|skip)([\s_-]|$)",
-    re.I,
+# Names of parts that are no content, and such that are words of prose too.
+_PLAIN = (
+    r"ad|ads|adv|advert\w*|adsense|sponsor\w*|nav|navbar|navigation|breadcrumbs?|sidebar|side-bar|footer|masthead|site-header|page-header"
+    r"|cookies?|gdpr|popup|modal|newsletter|comments?|comment-\w+|commentlist|disqus|pagination|pager"
 )
+_PROSE = (
+    r"promo\w*|banner|menu|aside|widget|consent|notice|alert|overlay|subscri\w*|signup|login|share|sharing|social|related|recommend\w*"
+    r"|replies|reply|respond|discussion|skip"
+)
+_PLAIN_NAMES = re.compile(rf"(^|[\s_-])({_PLAIN})([\s_-]|$)", re.I)
+_NAMES = re.compile(rf"(^|[\s_-])({_PLAIN}|{_PROSE})([\s_-]|$)", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONSTANT, LEAST_PAGES = 0.9, 5
+RECURRING, LEAST_RECURRING = 0.5, 3
+INNER, LEAST_VARYING = 0.9, 0.1
+LEAST_KEPT = 0.25
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)",
     re.S,
@@ -74,6 +94,8 @@ class Node:
     tag: str
     names: str = ""  # class, id and role
     dropped: bool = False
+    perhaps: bool = False  # dropped by its id if the host's pages have it as a rule
+    prose: bool = False  # inside an article
     children: list = field(default_factory=list)  # Node or str (text)
 
     @property
@@ -82,80 +104,99 @@ class Node:
 
 
 def _open(tag: str, attributes: str, in_article: bool) -> Node:
-    names, dropped = "", tag in _NOT_CONTENT or (tag == "header" and not in_article)
+    names, dropped, perhaps = "", tag in _NOT_CONTENT or (tag == "header" and not in_article), False
     if attributes:
         found = {}
         for name, a, b, c in _ATTR.findall(attributes):
             found.setdefault(name.lower(), entities.unescape(a or b or c))
         # numbers in names count pages or items of one template
         names = re.sub(r"\d+", "#", " ".join(found[k] for k in ("class", "id", "role") if k in found))
-        whole = tag in ("html", "body", "article", "main")
-        if not whole and (found.get("role", "").lower() in _ROLES or _NAMES.search(f"{found.get('class', '')} {found.get('id', '')}")):
-            dropped = True
+        if tag not in ("html", "body", "article", "main") and not (in_article and tag in _HEADINGS):
+            own = found.get("id", "")
+            if found.get("role", "").lower() in _ROLES or _NAMES.search(found.get("class", "")) or _PLAIN_NAMES.search(own):
+                dropped = True
+            perhaps = not dropped and _NAMES.search(own) is not None
         if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
             dropped = True
-    return Node(tag, names, dropped)
+    return Node(tag, names, dropped, perhaps, in_article)
+
+
+# where the text of an element that holds no markup ends
+_RAW_END = {tag: re.compile(rf"</{tag}", re.I | re.A) for tag in _RAW}
+
+
+class _Stack:
+    """Open elements, with the places of each tag: finding the one to close does not scan them."""
+
+    def __init__(self, top: Node) -> None:
+        self.nodes = [top]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.articles = 0
+
+    def open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in _BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.articles += node.tag in ("article", "main")
+        self.nodes.append(node)
+
+    def close(self, to: int) -> None:
+        for n in self.nodes[to:]:
+            self.places[n.tag].pop()
+            if n.tag in _BLOCK:
+                self.blocks.pop()
+            self.articles -= n.tag in ("article", "main")
+        del self.nodes[to:]
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def before(self, tag: str) -> None:
+        """Close what a start tag ends: an open paragraph, a list item or cell before it."""
+        if tag in _ENDS_P and self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            self.close(self.blocks[-1])
+        if tag in _ENDS_OWN:
+            scope = max(map(self.last, _SCOPE[tag]))
+            own = [i for i in map(self.last, _ENDS_OWN[tag]) if i > scope]
+            if own:
+                self.close(min(own) if tag == "tr" else max(own))
 
 
 def parse(page: str) -> Node:
     """The DOM tree of a page."""
-    top = Node("#page")
-    stack, at, low, article = [top], 0, None, 0
-
-    def close(to: int) -> None:
-        nonlocal article
-        for n in stack[to:]:
-            article -= n.tag in ("article", "main")
-        del stack[to:]
-
+    top, at = Node("#page"), 0
+    stack = _Stack(top)
     while m := _TOKEN.search(page, at):
         if m.start() > at:
-            stack[-1].children.append(page[at : m.start()])
+            stack.nodes[-1].children.append(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
+            if i := stack.last(tag):
+                stack.close(i)
             continue
-        if tag in _ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in _BLOCK:
-                    break
-        if tag in _ENDS_OWN:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in _ENDS_OWN[tag]:
-                    close(i)
-                    if tag != "tr" or stack[-1].tag not in ("tr", "td", "th"):
-                        break
-                elif stack[i].tag in _SCOPE[tag]:
-                    break
+        stack.before(tag)
         if tag == "br":
-            stack[-1].children.append("\n")
+            stack.nodes[-1].children.append("\n")
             continue
-        node = _open(tag, m[3], article > 0)
-        stack[-1].children.append(node)
+        node = _open(tag, m[3], stack.articles > 0)
+        stack.nodes[-1].children.append(node)
         if tag in _VOID or m[3].endswith("/") and tag not in _BLOCK:
             continue
         if tag in _RAW:
-            low = page.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            end = len(page) if end < 0 else end
-            at = end
+            found = _RAW_END[tag].search(page, at)
             node.dropped = True
-            after = page.find(">", end)
+            after = page.find(">", found.start()) if found else -1
             at = len(page) if after < 0 else after + 1
             continue
-        article += tag in ("article", "main")
-        stack.append(node)
+        stack.open(node)
     if at < len(page):
-        stack[-1].children.append(page[at:])
+        stack.nodes[-1].children.append(page[at:])
     return top
 
 
@@ -173,14 +214,20 @@ class Folded:
     texts: dict
     children: list
     content: bool = False
+    path: str = ""
 
+    def slot(self, said: str = "") -> int:
+        """Number of a text at this node's path, or of the node itself."""
+        return xxhash.xxh3_64_intdigest(f"{self.path} {said}") - (1 << 63)
 
+
+# below so many levels all is one node, whose own children's texts are never constant
 _DEEPEST = 100
 
 
-def fold(nodes: list[Node], depth: int = 0) -> Folded:
-    """Fold the subtrees of sibling nodes of one label into one; below ``_DEEPEST`` all is one node."""
-    out = Folded(nodes[0].label, nodes, {}, [])
+def fold(nodes: list[Node], depth: int = 0, above: str = "") -> Folded:
+    """Fold the subtrees of sibling nodes of one label into one."""
+    out = Folded(nodes[0].label, nodes, {}, [], path=xxhash.xxh3_64_hexdigest(f"{above}/{nodes[0].label}"))
     place: dict[str, list[Node]] = {}
     todo = list(nodes)
     while todo:
@@ -192,10 +239,33 @@ def fold(nodes: list[Node], depth: int = 0) -> Folded:
                 place.setdefault(c.label, []).append(c)
             else:
                 todo.append(c)
-    out.children = [fold(c, depth + 1) for c in place.values()]
+    out.children = [fold(c, depth + 1, out.path) for c in place.values()]
     return out
 
 
+def _walk(x: Folded) -> Iterator[Folded]:
+    """The node and all below it that are not dropped."""
+    todo = [x]
+    while todo:
+        x = todo.pop()
+        if not x.nodes[0].dropped:
+            yield x
+            todo += x.children
+
+
+def survey(page: str) -> tuple[list[int], list[int], int]:
+    """What is counted of a page: its texts by path, its nodes that are dropped only
+    where they recur, and a hash of its container structure."""
+    texts, nodes, shape = set(), set(), set()
+    for x in _walk(fold([parse(page)])):
+        texts.update(map(x.slot, x.texts))
+        if any(n.perhaps for n in x.nodes):
+            nodes.add(x.slot())
+        if x.nodes[0].tag in _CONTAINERS:
+            shape.add(x.path)
+    return sorted(texts), sorted(nodes), xxhash.xxh3_64_intdigest(" ".join(sorted(shape))) - (1 << 63)
+
+
 def match(a: Folded, b: Folded) -> list[tuple[Folded, Folded]]:
     """Simple tree matching: the aligned pairs of the best order-preserving match."""
     return _match(a, b)[1]
@@ -230,33 +300,43 @@ def _match(a: Folded, b: Folded) -> tuple[int, list[tuple[Folded, Folded]]]:
 _CONTAINERS = frozenset("#page html body div section main article table tbody tr td center".split())
 
 
-def induce(one: str, other: str) -> list | None:
-    """The wrapper of two pages, [label, constant texts, children, is content]; None if they are copies."""
+def induce(one: str, other: str, constant: set[int] | None = None) -> dict | None:
+    """The wrapper of two pages; None if they are copies.
+
+    ``constant`` holds the slots that are template by the counts over all pages; without
+    counts a text is constant if both pages hold it.  ``tree`` is nested [label, children, is
+    content].
+    """
     a, b = fold([parse(one)]), fold([parse(other)])
     pairs = {id(x): y for x, y in match(a, b)}
+    counted = constant is not None
+    if not counted:
+        constant = {x.slot(t) for x in _walk(a) if id(x) in pairs for t in x.texts.keys() & pairs[id(x)].texts.keys()}
 
     def varying(x: Folded) -> int:
         """Length of what differs at or below a matched node, on the first page."""
         if x.nodes[0].dropped:
             return 0
-        y = pairs.get(id(x))
-        own = sum(n for t, n in x.texts.items() if y is None or t not in y.texts)
-        return own + sum(map(varying, x.children))
+        return sum(n for t, n in x.texts.items() if x.slot(t) not in constant) + sum(map(varying, x.children))
 
     all_ = varying(a)
-    if all_ < 0.1 * max(1, _length(a)):
+    if all_ < LEAST_VARYING * max(1, _length(a)) or _length(a) == _length(b) and _texts(a) == _texts(b):
         return None
     at = a
     while at.label.split(".")[0] not in ("article", "main"):
-        inner = [x for x in at.children if id(x) in pairs and x.nodes[0].tag in _CONTAINERS and varying(x) >= 0.9 * all_]
+        inner = [x for x in at.children if id(x) in pairs and x.nodes[0].tag in _CONTAINERS and varying(x) >= INNER * all_]
         if not inner:
             break
         at = inner[0]
 
     def build(x: Folded) -> list:
-        return [x.label, sorted(x.texts.keys() & pairs[id(x)].texts.keys()), [build(c) for c in x.children if id(c) in pairs], x is at]
+        return [x.label, [build(c) for c in x.children if id(c) in pairs], x is at]
+
+    return {"tree": build(a), "constant": [] if counted else sorted(constant), "recurring": [], "pages": 2}
+
 
-    return build(a)
+def _texts(x: Folded) -> set[int]:
+    return {y.slot(t) for y in _walk(x) for t in y.texts}
 
 
 def _length(x: Folded) -> int:
@@ -264,7 +344,7 @@ def _length(x: Folded) -> int:
 
 
 def _as_folded(wrapper: list) -> Folded:
-    return Folded(wrapper[0], [], dict.fromkeys(wrapper[1], 0), [_as_folded(c) for c in wrapper[2]], wrapper[3])
+    return Folded(wrapper[0], [], {}, [_as_folded(c) for c in wrapper[1]], wrapper[2])
 
 
 def _has(node: Node, tags: tuple[str, ...]) -> bool:
@@ -278,22 +358,42 @@ def _has(node: Node, tags: tuple[str, ...]) -> bool:
     return False
 
 
-def extract(page: str | None, wrapper: list | None = None) -> str:
-    """The main text: blocks in page order, joined by empty lines."""
+def extract(page: str | None, wrapper: dict | None = None) -> str:
+    """The main text: blocks in page order, joined by empty lines.
+
+    ``wrapper`` holds the aligned tree (or none), the slots of constant texts and
+    of recurring nodes, and the number of pages that these were counted on.
+    """
     top = parse(page or "")
-    constant: dict[int, dict] = {}
+    known: dict[int, set] = {}
     roots: set[int] = set()
-    if wrapper is not None:
-        for x, y in match(fold([top]), _as_folded(wrapper)):
-            constant |= {id(n): y.texts for n in x.nodes}
+    pages = wrapper["pages"] if wrapper else 0
+    folded = fold([top])
+    recurring = set(wrapper["recurring"]) if wrapper else set()
+    for x in _walk(folded):
+        for n in x.nodes:
+            if n.perhaps:
+                n.dropped = x.slot() in recurring if pages >= LEAST_RECURRING else not n.prose
+    if wrapper and wrapper["tree"]:
+        for x, y in match(folded, _as_folded(wrapper["tree"])):
             if y.content:
                 roots = {id(n) for n in x.nodes}
-                if x.nodes[0].tag in ("article", "main"):
-                    constant = {}
-                    break
+                article = x.nodes[0].tag in ("article", "main")
     if not roots:
-        constant = {}
-        marked = _has(top, ("article", "main"))
+        article = _has(top, ("article", "main"))
+    if wrapper and (pages >= LEAST_PAGES or roots and not article):
+        constant = set(wrapper["constant"])
+        for x in _walk(folded):
+            if told := {t for t in x.texts if x.slot(t) in constant}:
+                known |= {id(n): told for n in x.nodes}
+    content = not roots and not article
+    whole = _blocks(top, roots, content, {})
+    less = _blocks(top, roots, content, known) if known else whole
+    return less if len(less) >= LEAST_KEPT * len(whole) else whole
+
+
+def _blocks(top: Node, roots: set[int], content: bool, known: dict[int, set]) -> str:
+    """The text in the roots (or else in articles, or all), without dropped nodes and known texts."""
     blocks: list[str] = []
     now: list[str] = []
 
@@ -304,13 +404,13 @@ def extract(page: str | None, wrapper: list | None = None) -> str:
             now.clear()
 
     # an explicit stack: broken pages nest deeper than Python calls do
-    todo: list[tuple[Node | str | None, bool, dict | None]] = [(top, not roots and not marked, None)]
+    todo: list[tuple[Node | str | None, bool, set | None]] = [(top, content, None)]
     while todo:
-        item, content, known = todo.pop()
+        item, content, told = todo.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
-            if content and not (known and item.strip() and _said(item) in known):
+            if content and not (told and item.strip() and _said(item) in told):
                 now.append(item)
         elif not item.dropped:
             inside = content or (id(item) in roots if roots else item.tag in ("article", "main"))
@@ -318,7 +418,7 @@ def extract(page: str | None, wrapper: list | None = None) -> str:
             if block:
                 flush()
                 todo.append((None, inside, None))
-            todo += [(c, inside, constant.get(id(item))) for c in reversed(item.children)]
+            todo += [(c, inside, known.get(id(item))) for c in reversed(item.children)]
     flush()
     return "\n\n".join(blocks)
 
@@ -328,17 +428,58 @@ def host_of(url: str | Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url) if isinstance(url, str) else url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)", 1))
 
 
+def surveyed(pages: DataFrame) -> DataFrame:
+    """(host, h, texts, nodes, shape) of every distinct page of a host; ``h`` is a hash of the page."""
+
+    @F.pandas_udf("struct<texts: array<long>, nodes: array<long>, shape: long>")
+    def look(html: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for pages_ in html:
+            yield pd.DataFrame([survey(p) for p in pages_], columns=["texts", "nodes", "shape"])
+
+    seen = pages.filter("html is not null").select("host", F.xxhash64("html").alias("h"), look("html").alias("s"))
+    return seen.select("host", "h", "s.*").dropDuplicates(["host", "h"])
+
+
+def _often(seen: DataFrame, sizes: DataFrame, column: str, share: float, least: int) -> DataFrame:
+    """(host, ``column``): the slots that at least ``share`` of a host's pages hold, of ``least`` or more."""
+    counts = seen.select("host", F.explode(column).alias("slot")).groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.filter("n > 1").join(sizes.filter(F.col("pages") >= least), "host").filter(F.col("n") >= F.col("pages") * share)
+    return often.groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias(column))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper): the wrapper of each host with two pages that differ, as JSON."""
-    hashed = pages.filter("html is not null").withColumn("h", F.xxhash64("html"))
-    two = hashed.groupBy("host").agg(F.min_by("html", "h").alias("one"), F.max_by("html", "h").alias("other"), F.min("h").alias("a"), F.max("h").alias("b"))
+    seen = written(surveyed(pages), "surveyed")
+    shapes = seen.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))
+    usual = shapes.groupBy("host").agg(
+        F.max_by(F.struct("shape", "n", "a", "b"), F.struct("n", "shape")).alias("two"), F.min("a").alias("least"), F.max("b").alias("most"), F.sum("n").alias("all")
+    )
+    # pages of the usual shape are counted where they are half of all, or else all are
+    most = F.col("two.n") * 2 >= F.col("all")
+    voting = usual.filter("all > 1").select("host", F.when(most, F.col("two.shape")).alias("voting"), F.when(most, F.col("two.n")).otherwise(F.col("all")).alias("pages"))
+    sizes = voting.select("host", "pages")
+    counted = seen.join(voting.select("host", "voting"), "host").filter("voting is null or shape = voting")
+    texts = _often(counted, sizes, "texts", CONSTANT, LEAST_PAGES)
+    nodes = _often(counted, sizes, "nodes", RECURRING, LEAST_RECURRING)
+    # two different pages of the usual shape; of single ones, the first and the last of all
+    alone = F.col("two.a") == F.col("two.b")
+    two = usual.select("host", F.when(alone, F.col("least")).otherwise(F.col("two.a")).alias("a"), F.when(alone, F.col("most")).otherwise(F.col("two.b")).alias("b"))
+    wanted = two.filter("a != b").select("host", F.posexplode(F.array("a", "b")).alias("nth", "h"))
+    keyed = pages.filter("html is not null").withColumn("h", F.xxhash64("html"))
+    found = keyed.join(wanted, ["host", "h"]).groupBy("host").agg(F.min_by("html", "nth").alias("one"), F.max_by("html", "nth").alias("other"))
 
     @F.pandas_udf("string")
-    def learn(one: pd.Series, other: pd.Series) -> pd.Series:
-        found = [induce(a, b) for a, b in zip(one, other, strict=True)]
-        return pd.Series([None if w is None else json.dumps(w) for w in found], dtype=object)
+    def learn(one: pd.Series, other: pd.Series, constant: pd.Series, recurring: pd.Series, n: pd.Series) -> pd.Series:
+        out = []
+        for a, b, c, r, k in zip(one, other, constant, recurring, n, strict=True):
+            slots = [] if c is None else [int(x) for x in c]
+            # too few pages for counts: what both pages say only tells where the content is
+            got = induce(a, b, set(slots) if k >= LEAST_PAGES else None) or {"tree": None}
+            out.append(json.dumps(got | {"constant": slots, "recurring": [] if r is None else [int(x) for x in r], "pages": int(k)}))
+        return pd.Series(out, dtype=object)
 
-    return two.filter("a != b").select("host", learn("one", "other").alias("wrapper")).filter("wrapper is not null")
+    all_ = found.join(sizes, "host").join(texts, "host", "left").join(nodes, "host", "left")
+    return all_.select("host", learn("one", "other", "texts", "nodes", "pages").alias("wrapper"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -351,7 +492,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def text_of(html: pd.Series, wrapper: pd.Series) -> pd.Series:
-        learned: dict[str, list] = {}
+        learned: dict[str, dict] = {}
         out = []
         for h, w in zip(html, wrapper, strict=True):
             if w is not None and w not in learned:

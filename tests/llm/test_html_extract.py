@@ -93,6 +93,81 @@ def simple(html):
     return "\n\n".join(p for p in parts if p)
 
 
+def frame(spark, pages, host="h.example"):
+    return spark.createDataFrame([(i, f"http://{host}/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+
+
+def texts_of(spark, pages):
+    return [r.text for r in sorted(hx.extract_pages(frame(spark, pages)).collect(), key=lambda r: r.page_id)]
+
+
+def test_capitals_that_grow_do_not_move_the_end_of_scripts():
+    body = "<p>" + "İ" * 20 + "</p><script>var x = '<p>no</p>';</SCRIPT><p>the next paragraph</p><style>p{}</Style><p>and the last</p>"
+    assert hx.extract(page("T", body)) == "T\n\n" + "İ" * 20 + "\n\nthe next paragraph\n\nand the last"
+
+
+def test_parts_of_an_article_named_by_words_of_prose_stay():
+    body = '<section id="discussion"><h2 id="related-work">Related work</h2><p>We discuss.</p></section><h3 class="share">Share of votes</h3>'
+    assert hx.extract(page("T", body)) == "T\n\nRelated work\n\nWe discuss.\n\nShare of votes"
+
+
+def test_ids_of_prose_go_where_the_host_has_them_as_a_rule(spark):
+    one = [page(f"T{i}", f"<p>own text {i} of it</p><div id='discussion'><p>reader {i} says so</p></div>") for i in range(6)]
+    assert texts_of(spark, one) == [f"T{i}\n\nown text {i} of it" for i in range(6)]
+    rare = [page(f"T{i}", f"<p>own text {i} of it</p>" + ("<section id='discussion'><p>We discuss.</p></section>" if i == 2 else "")) for i in range(6)]
+    assert texts_of(spark, rare) == [f"T{i}\n\nown text {i} of it" + ("\n\nWe discuss." if i == 2 else "") for i in range(6)]
+
+
+def test_constant_notice_inside_articles_goes(spark):
+    pages = [page(f"T{i}", f"<p class='x1'>Read our terms before you go on.</p><p>own text {i} of the page</p>") for i in range(10)]
+    assert texts_of(spark, pages) == [f"T{i}\n\nown text {i} of the page" for i in range(10)]
+    # on a few pages only it is a shared passage
+    some = [page(f"T{i}", ("<p class='x1'>A passage that is quoted.</p>" if i < 5 else "") + f"<p>own text {i} of the page</p>") for i in range(10)]
+    assert [("quoted" in t) for t in texts_of(spark, some)] == [i < 5 for i in range(10)]
+
+
+def test_passages_shared_by_pages_without_article_stay(spark):
+    wrap = ("<div class='main-col'>", "</div>")
+    extra = "<div class='col2'><p>Always the same here</p></div>"
+    shared = "<p>A passage that two of the pages share, word by word.</p>"
+    make = lambda i, b: page(f"Title {i}", f"{b}<p>Own words {i * 7919} and {i * 104729} of page {i} stand here.</p>", wrap=wrap, extra=extra)
+    for n in (2, 3, 8):
+        got = texts_of(spark, [make(i, shared if i < 2 else "") for i in range(n)])
+        assert got == [f"Title {i}\n\n" + ("A passage that two of the pages share, word by word.\n\n" if i < 2 else "") + f"Own words {i * 7919} and {i * 104729} of page {i} stand here." for i in range(n)]
+
+
+def test_an_odd_page_does_not_decide(spark):
+    wrap = ("<div class='main-col'>", "</div>")
+    make = lambda i: page(f"Title {i}", f"<p>Own words {i * 7919} and {i * 104729} of page {i} stand here.</p>", wrap=wrap, extra="<div class='col2'><p>Always the same here</p></div>")
+    stub = [f"<html><body><p>Error {i}: not found</p></body></html>" for i in range(2)]
+    got = texts_of(spark, [make(i) for i in range(8)] + stub)
+    assert got[:8] == [f"Title {i}\n\nOwn words {i * 7919} and {i * 104729} of page {i} stand here." for i in range(8)]
+    assert got[8:] == ["Error 0: not found", "Error 1: not found"]
+
+
+def test_copies_that_fill_a_host_keep_their_text(spark):
+    pages = [page("T", "<p>The one article, copied.</p>", ad=f"ad {i}") for i in range(30)] + [page("Other", "<p>Another one.</p>")]
+    assert texts_of(spark, pages) == ["T\n\nThe one article, copied."] * 30 + ["Other\n\nAnother one."]
+
+
+def test_exact_copies_count_once(spark):
+    copy = page("T", "<p>copied text</p><p class='n'>Shared line.</p>")
+    own = [page(f"T{i}", f"<p>text {i} of its own</p>") for i in range(6)]
+    assert texts_of(spark, [copy] * 200 + own)[0] == "T\n\ncopied text\n\nShared line."
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    def seconds(p):
+        began = time.perf_counter()
+        hx.parse(p)
+        return time.perf_counter() - began
+
+    assert seconds("<b>" * 5000 + "<p>x" * 3000) < 0.5
+    assert seconds("<div>" * 20_000 + "</span>" * 20_000 + "<li>" * 20_000) < 1
+
+
 def test_tables_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in hx.extract_pages(pages).collect()}
