@@ -11,9 +11,10 @@ once more with an empty text: the common prefix and suffix of both spans frame
 the text.
 
 Conversations are streamed in order through a task, so memory is bounded by
-one conversation's formatted text.  A black box must be asked for every prefix:
-the work grows with the square of the turns of one conversation, not of the
-table.
+a few copies of one conversation's formatted text (which is one row of the result, so one
+conversation cannot be split).  A black box must be asked for every prefix: a template that
+renders from scratch takes the square of a conversation's turns; ``ChatML`` appends
+to what it last wrote, so that only copying and comparing its output does.
 
 ``chatml`` is the template of the registered query.  It escapes control strings
 in roles and texts: ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``; both
@@ -28,9 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,14 +52,39 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
-@lru_cache(maxsize=1024)
 def _one(turn: Turn) -> str:
     role = escape(turn[0]).replace("\n", "\\\n")
     return f"{START}{role}\n{escape(turn[1])}{END}\n"
 
 
-def chatml(turns: list[Turn]) -> str:
-    return "".join(map(_one, turns))
+class ChatML:
+    """The template of the registered query.
+
+    A call that adds one turn to what one of the last calls was given appends to that
+    call's output; any other renders all turns.  The result never depends on it.
+    """
+
+    _KEPT = 2
+
+    def __init__(self) -> None:
+        self._last: deque[tuple[list[Turn], str]] = deque(maxlen=self._KEPT)
+
+    def __call__(self, turns: list[Turn]) -> str:
+        turns = list(turns)
+        for before, text in self._last:
+            if len(before) == len(turns) - 1 and turns[:-1] == before:
+                out = text + _one(turns[-1])
+                break
+        else:
+            out = "".join(map(_one, turns))
+        self._last.append((turns, out))
+        return out
+
+    def __reduce__(self):
+        return ChatML, ()
+
+
+chatml = ChatML()
 
 
 @dataclass

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
+import random
+import time
 
 import pytest
 
@@ -34,6 +37,26 @@ def model():
     return out
 
 
+def test_long_conversations():
+    turns = [("user" if i % 2 else "assistant", f"turn {i} <| " + "x" * 150) for i in range(4000)]
+    began = time.perf_counter()
+    got = chat.render(chat.ChatML(), turns)
+    assert time.perf_counter() - began < 25
+    assert chat.read_back(got.text) == turns and len(got.turns) == len(turns)
+    assert [chat.unescape(got.text[a:b]) for a, b in got.texts] == [t for _, t in turns]
+
+
+def test_template_remembers_but_never_changes_its_output():
+    plain = lambda turns: "".join(map(chat._one, turns))
+    rng = random.Random(4)
+    template = chat.ChatML()
+    turns = []
+    for _ in range(500):
+        turns = turns[: rng.randrange(0, len(turns) + 1)] if rng.random() < 0.2 else [*turns, (rng.choice("ab"), rng.choice(["", "x", "<|"]))]
+        assert template(turns) == plain(turns)
+    assert pickle.loads(pickle.dumps(template))(turns) == plain(turns)
+
+
 def test_read_back_equals_input(spark):
     got = chat.digests(chat.format_conversations(rows(spark))).collect()
     assert {r.conv_id: tuple(r)[1:5] for r in got} == model()
