@@ -84,3 +84,48 @@ def test_suffix_stage_tells_rows_of_one_id_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.suffix_removal(spark, docs, "").collect()), key=str)
     assert got == sorted([(1, passage), (2, f"{a} "), (2, b), (None, c), (3, f" {b[:50]}")], key=str)
+
+
+def near_rows(rng):
+    own = lambda n: " ".join(rng.choice(["of", "the", "and", "to", "be"]) + " " + f"w{rng.randrange(10**6)}" for _ in range(n))
+    base, other, third = own(60), own(60), own(60)
+    near = base.rsplit(" ", 1)[0] + " changed"
+    return base, near, other, third
+
+
+def test_one_row_of_each_class_whatever_the_ids(spark):
+    base, near, other, third = near_rows(random.Random(5))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [
+        (1, base, "en", "a", 0), (1, near, "en", "b", 0), (None, other, "en", "c", 0), (None, other, "en", "d", 0), (None, near, "en", "e", 0),
+        (7, other, "en", "f", 0), (None, third, "en", "g", 0), (None, third + " x", "en", "h", 0), (9, None, "en", "i", 0), (9, "", "en", "j", 0), (None, None, "en", "k", 0),
+    ]
+    kept = corpus_pipeline.ngram_jaccard_join(spark, spark.createDataFrame(rows, schema).repartition(4), "").collect()
+    assert sorted(r.doc_id for r in kept if r.text in (base, near)) == [1]
+    assert [r.doc_id for r in kept if r.text == other] == [7]  # an id goes before none
+    assert len([r for r in kept if r.text and r.text.startswith(third)]) == 1
+    assert len([r for r in kept if not r.text]) == 3 and len(kept) == 6
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    base, near, other, third = near_rows(random.Random(6))
+    names = ["__found", "__removed", "__doc", "__text", "__key", "__values", "found", "removed", "row", "place", "class_id", "Row_", "secret_doc", "salt", "h"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(i, f"{t} password=b7db7aa4a5fcc7830{i}", "en", "s", None, *range(len(names))) for i, t in enumerate([base, near, other, third])]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), schema)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        assert all(tuple(r)[5:] == tuple(range(len(names))) for r in docs.collect())
+    assert sorted(r.doc_id for r in docs.collect()) == [0, 2, 3]
+    assert all("[SECRET]" in r.text for r in docs.collect())
+
+
+def test_run_on_rows_with_repeated_and_null_ids(spark, tmp_path):
+    base, near, other, third = near_rows(random.Random(7))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, base, "en", "a", 0), (1, near, "en", "a", 0), (None, other, "en", "a", 0), (None, other, "en", "a", 0), (None, third, "en", "a", 0), (3, None, None, None, None), (4, "12 !?", None, None, 5)]
+    spark.createDataFrame(rows, schema).write.parquet(f"file://{tmp_path}/documents.parquet")
+    packed = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
+    assert sorted(str(r.doc_id) for r in packed) == ["1", "None", "None"]
+    assert len({r.sequence_id for r in packed}) == 1
