@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgepole.operators.skew import SALT, Salting, repeated, salted, salting
 from lodgepole.schemas import LAYERS, LAYOUT, RUN_COLUMN
 
 WRITE_MODES = ("overwrite", "append")
@@ -52,11 +53,15 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    sized: bool = False,
 ) -> str:
     """Generic sink. ``overwrite`` replaces the folder through Spark's commit
-    protocol (a failed job leaves the previous output), ``append`` adds files."""
+    protocol (a failed job leaves the previous output), ``append`` adds files.
+    ``sized`` makes the number of files follow the data (:func:`file_sized`)."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if sized:
+        df = file_sized(df, partition_by)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -66,8 +71,21 @@ def write_table(
     return path
 
 
-def write_layer_table(df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite") -> str:
-    return write_table(apply_layout(df, table), layer_path(root, layer, table), mode=mode)
+def file_sized(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Output partitions of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    A rebalancing exchange: AQE merges the small ones and splits the large ones
+    by their real sizes, whatever the number of shuffle partitions. With
+    ``keys`` (the folders of a partitioned write) rows of a key stay together as
+    far as their size allows, so that a folder does not get a file from every
+    task and a hot key is split over several.
+    """
+    return df.hint("rebalance", *(keys or []))
+
+
+def write_layer_table(df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite", sized: bool = False) -> str:
+    rows = apply_layout(file_sized(df) if sized else df, table)
+    return write_table(rows, layer_path(root, layer, table), mode=mode)
 
 
 def counted_write(df: DataFrame, path: str) -> int:
@@ -148,6 +166,35 @@ def save_bucketed(
     )
 
 
+def save_salted_buckets(
+    fact: DataFrame, lookup: DataFrame, names: tuple[str, str], root: str, keys: tuple[str, str], buckets: int, sort_by: list[str]
+) -> Salting:
+    """Two tables bucketed alike on a join key of which some values are hot.
+
+    ``fact`` is bucketed by its key and a salt, which spreads the rows of a hot
+    key (more than one bucket's even share) over all buckets; ``lookup`` holds its rows
+    of those keys once for each salt. :func:`join_salted` joins them bucket by
+    bucket, without a shuffle and without one file or task that holds a hot key.
+    """
+    s = salting(fact, keys[0], buckets)
+    for df, name, key, rows in ((fact, names[0], keys[0], salted), (lookup, names[1], keys[1], repeated)):
+        (
+            rows(df, key, s).repartition(buckets, key, SALT).write.mode("overwrite").format("parquet")
+            .option("path", f"{root}/{name.rsplit('.', 1)[-1]}")
+            .bucketBy(buckets, key, SALT)
+            .sortBy(*([key, SALT] if df is lookup else [key, SALT, *[c for c in sort_by if c != key]]))
+            .saveAsTable(name)
+        )
+    return s
+
+
+def join_salted(spark: SparkSession, names: tuple[str, str], keys: tuple[str, str]) -> DataFrame:
+    """The inner join of two tables that :func:`save_salted_buckets` wrote."""
+    a, b = spark.table(names[0]).alias("a"), spark.table(names[1]).withColumnRenamed(SALT, "lookup_salt").alias("b")
+    same = (F.col(f"a.{keys[0]}") == F.col(f"b.{keys[1]}")) & (F.col(f"a.{SALT}") == F.col("b.lookup_salt"))
+    return a.join(b.hint("merge"), same).drop(SALT, "lookup_salt")
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

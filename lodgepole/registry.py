@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgepole.functions.dates import parse_date
-from lodgepole.operators import clean, curate, merge, metrics, profile
-from lodgepole.plans import batch, layers, runs
+from lodgepole.operators import clean, curate, merge, metrics, profile, skew
+from lodgepole.plans import batch, incremental, layers, runs
 from lodgepole.schemas import CURATED_BOOKINGS, LAYOUT, RAW
 from lodgepole.session import lake_root
 from lodgepole.sources.domain import SOURCES, raw_table, raw_tables, read_input, source_tables
@@ -25,6 +25,8 @@ from lodgepole.sources.updates import listing_price_updates
 
 SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
+HOT_LISTING = 7  # the listing that every third booking is moved to
+LEAST_FILE_BYTES = 1 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,6 +243,69 @@ def _load_content_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return layers.content_report(spark, [layers.CheckedLoad("content_layer", t, content) for t in tables])
 
 
+def _hot_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings of which every third is of one listing."""
+    key = F.when(F.pmod("booking_id", F.lit(3)) == 0, F.lit(HOT_LISTING).cast("long")).otherwise(F.col("apartment_id"))
+    return _bookings(spark, sf).withColumn("apartment_id", key)
+
+
+def _by_city(joined: DataFrame) -> DataFrame:
+    return joined.groupBy("cityname").agg(
+        F.count(F.lit(1)).alias("bookings"), F.count_distinct("user_id").alias("users"), F.sum("stay_days").cast("long").alias("nights")
+    )
+
+
+def _layout_bucketed_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot bookings and listings in salted buckets, joined bucket by bucket."""
+    root = _scratch(spark, "salted")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS salted_layer LOCATION '{root}/_warehouse'")
+    names, keys = ("salted_layer.bookings", "salted_layer.listings"), ("apartment_id", "id")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layers.save_salted_buckets(_hot_bookings(spark, sf), _listings(spark, sf).select("id", "cityname"), names, root, keys, buckets, ["booking_date"])
+    return _by_city(layers.join_salted(spark, names, keys))
+
+
+def _skewed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot bookings with listings whose ids are repeated (each attribute row
+    three times): the whole fan-out, spread over salts."""
+    listings = _listings(spark, sf).select("id", "cityname").withColumn("copy", F.explode(F.array(*map(F.lit, range(3)))))
+    return _by_city(skew.skew_join(_hot_bookings(spark, sf), listings, "apartment_id", "id", salts=16))
+
+
+def _layout_sized(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings written with 1, 8 and 200 shuffle partitions: rows, and whether
+    the files have the size asked for (or there is one)."""
+    root, conf = _scratch(spark, "sized"), "spark.sql.shuffle.partitions"
+    before, reports = spark.conf.get(conf), []
+    for n in (1, 8, 200):
+        spark.conf.set(conf, str(n))
+        try:
+            layers.write_layer_table(_bookings(spark, sf), f"{root}/{n}", "curated_layer", "curated_bookings", sized=True)
+        finally:
+            spark.conf.set(conf, before)
+        rows = spark.read.parquet(layers.layer_path(f"{root}/{n}", "curated_layer", "curated_bookings"))
+        files = rows.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+        few = (F.count(F.lit(1)) == 1) | (F.avg("size") > LEAST_FILE_BYTES)
+        reports.append(files.agg(F.lit(n).alias("shuffle_partitions"), F.sum("n").cast("long").alias("row_count"), few.alias("files_follow_size")))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def _incremental_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings extracted twice: those modified until 1997 first, then all that
+    are left after one in 13 was deleted; with the run each row came in."""
+    root, source = _scratch(spark, "incremental"), raw_table(spark, sf, "apartments")
+    modified = parse_date("last_modified_timestamp")
+    early = source.filter(modified <= F.lit("1997-12-31").cast("date"))
+    first = incremental.extract_changes(spark, early, root, "apartments", ["id"], modified)
+    later = source.filter(F.col("id") % 13 != 0)
+    second = incremental.extract_changes(spark, later, root, "apartments", ["id"], modified)
+    if second.rows + first.rows > source.count():
+        raise AssertionError("the second run wrote rows that the first had")
+    return incremental.held(spark, root, "apartments", source.schema, ["id"])
+
+
 QUERIES: dict[str, Query] = {
     # curated layer
     "curated_apartments": _listings,
@@ -293,4 +358,9 @@ QUERIES: dict[str, Query] = {
     "csv_quarantine": _csv_quarantine,
     "append_rerun_bookings": _append_rerun,
     "load_content_reconcile": _load_content_reconcile,
+    # hot keys, file sizes, changes since the last extract
+    "layout_bucketed_salted": _layout_bucketed_salted,
+    "skewed_listing_join": _skewed_join,
+    "layout_sized": _layout_sized,
+    "incremental_extract": _incremental_extract,
 }

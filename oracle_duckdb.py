@@ -449,6 +449,15 @@ def _batch_reconcile() -> str:
     )
 
 
+def _by_city(listings: str) -> str:
+    return _with(
+        "",
+        "SELECT cityname, CAST(count(*) AS BIGINT) AS bookings, CAST(count(DISTINCT user_id) AS BIGINT) AS users, "
+        f"CAST(sum(stay_days) AS BIGINT) AS nights FROM curated_bookings JOIN {listings} l "
+        "ON l.id = CASE WHEN booking_id % 3 = 0 THEN 7 ELSE apartment_id END GROUP BY cityname",
+    )
+
+
 ORACLE.update(
     {
         "duplicate_profile": _duplicate_profile(),
@@ -496,6 +505,18 @@ SELECT q AS quarantined,
   CASE WHEN wrong_fields THEN 'not 5 fields' WHEN q THEN concat_ws('; ', CASE WHEN bad_customer THEN 'o_custkey: ''12x'' is no int' END,
     CASE WHEN bad_price THEN 'o_totalprice: ''abc'' is no double' END, CASE WHEN moved THEN 'o_orderdate: ''more'' is no date' END) END AS reason
 FROM (SELECT *, bad_price OR bad_customer OR wrong_fields OR moved AS q FROM judged)""",
+        "layout_bucketed_salted": _by_city("curated_apartments"),
+        "skewed_listing_join": _by_city("(SELECT a.* FROM curated_apartments a, range(3))"),
+        "layout_sized": _with(
+            "",
+            "SELECT CAST(p AS INTEGER) AS shuffle_partitions, (SELECT CAST(count(*) AS BIGINT) FROM curated_bookings) AS row_count, "
+            "true AS files_follow_size FROM (SELECT unnest([1, 8, 200]) AS p)",
+        ),
+        "incremental_extract": _with(
+            "",
+            f"SELECT *, CAST(CASE WHEN {parse('last_modified_timestamp')} <= DATE '1997-12-31' THEN 1 ELSE 2 END AS INTEGER) AS extract_run "
+            "FROM raw_apartments WHERE id % 13 <> 0",
+        ),
         "append_rerun_bookings": _with(
             "", "SELECT *, CASE WHEN booking_id % 2 = 0 THEN 'base' ELSE 'second' END AS load_run FROM raw_bookings"
         ),

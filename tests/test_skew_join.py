@@ -1,0 +1,111 @@
+"""Hot join keys: salted joins and buckets; files whose number follows the data."""
+
+import glob
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgepole.operators import skew
+from lodgepole.plans import layers
+from lodgepole.session import lake_root
+
+
+def _root(spark, name):
+    return f"{lake_root(spark)}/tests/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@pytest.fixture()
+def sides(spark):
+    """A key with a third of the rows, one repeated on both sides, NULLs, keys of one side only."""
+    left = [(i, 7 if i % 3 == 0 else (8 if i % 5 == 0 else i % 200), f"v{i}") for i in range(3000)] + [(9000 + i, None, "n") for i in range(1500)]
+    right = [(k, f"city{(k or 0) % 4}", c) for k in [*range(150), None] for c in range(3 if k in (7, 8) else 1)]
+    return (
+        spark.createDataFrame(left, "booking_id long, apartment_id long, note string").repartition(5),
+        spark.createDataFrame(right, "id long, cityname string, copy int").repartition(3),
+    )
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("how", skew.JOIN_TYPES)
+@pytest.mark.parametrize("salts", [1, 4, 16])
+def test_same_rows_as_a_plain_join(sides, how, salts):
+    left, right = sides
+    plain = left.join(right, left.apartment_id == right.id, how)
+    got = skew.skew_join(left, right, "apartment_id", "id", salts, how)
+    assert got.columns == plain.columns and _rows(got) == _rows(plain)
+
+
+def test_hot_keys_are_few_and_never_null(sides):
+    left, _ = sides
+    s = skew.salting(left, "apartment_id", 16)
+    assert s.keys == (7, 8)
+    assert skew.salting(left, "apartment_id", 2, share=0.5).keys == ()
+    with pytest.raises(ValueError):
+        skew.salting(left, "apartment_id", 0)
+    with pytest.raises(ValueError):
+        skew.skew_join(left, left, "apartment_id", "apartment_id", 4, "full")
+
+
+def test_no_salted_part_holds_a_large_share(sides):
+    left, _ = sides
+    s = skew.salting(left, "apartment_id", 16)
+    known = left.filter("apartment_id is not null")
+    before = known.groupBy("apartment_id").count().agg(F.max("count")).first()[0]
+    parts = skew.salted(known, "apartment_id", s).groupBy("apartment_id", skew.SALT).count()
+    most = parts.agg(F.max("count")).first()[0]
+    assert before > known.count() * 0.3 and most < known.count() * 0.04
+    assert {r[0] for r in parts.filter(f"{skew.SALT} > 0").select("apartment_id").distinct().collect()} == {7, 8}
+
+
+def test_nothing_hot_is_a_plain_join(spark):
+    left, right = spark.range(100).withColumnRenamed("id", "k"), spark.range(100)
+    joined = skew.skew_join(left, right, "k", "id", 4)
+    assert joined.count() == 100 and joined.columns == ["k", "id"]
+    assert skew.skew_join(left.limit(0), right, "k", "id", 4).count() == 0
+
+
+def test_salted_buckets_join_without_a_shuffle(spark, sides):
+    left, right = sides
+    root = _root(spark, "salted")
+    spark.sql("CREATE DATABASE IF NOT EXISTS testsalted")
+    names = ("testsalted.fact", "testsalted.lookup")
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    s = layers.save_salted_buckets(left, right, names, root, ("apartment_id", "id"), 8, ["booking_id"])
+    assert s.keys == (7, 8) or s.keys == (7,)
+    joined = layers.join_salted(spark, names, ("apartment_id", "id"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert _rows(joined.select(*left.columns, *right.columns)) == _rows(left.join(right, left.apartment_id == right.id))
+    # the hot listing lies in many files, none of which holds a third of all rows
+    fact = spark.table(names[0]).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("apartment_id") == 7).alias("hot"))
+    files = fact.collect()
+    known = left.filter("apartment_id is not null").count()
+    assert sum(f.hot > 0 for f in files) >= 4 and max(f.hot for f in files) < known * 0.15
+
+
+def test_files_follow_the_data(spark):
+    root, conf = _root(spark, "sized"), "spark.sql.shuffle.partitions"
+    before = {c: spark.conf.get(c) for c in (conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    counts = {}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(2 << 20))
+        for n in (1, 8, 200):
+            spark.conf.set(conf, str(n))
+            layers.write_table(rows.repartition(3, "id"), f"{root}/{n}", sized=True)
+            counts[n] = len(glob.glob(f"{root.removeprefix('file://')}/{n}/*.parquet"))
+            assert spark.read.parquet(f"{root}/{n}").count() == 200_000
+        # a hot folder is split, the others get one file, not one from every task
+        hot = rows.withColumn("part", F.when(F.col("id") % 4 != 0, 0).otherwise(F.col("id") % 20))
+        layers.write_table(hot, f"{root}/parts", partition_by=["part"], sized=True)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert max(counts.values()) <= min(counts.values()) + 3 and 3 <= counts[8] <= 14, counts
+    files = {p: len(glob.glob(f"{root.removeprefix('file://')}/parts/part={p}/*.parquet")) for p in (0, 4, 8, 12, 16)}
+    assert files[0] > 1 and max(files[p] for p in (4, 8, 12, 16)) <= 2, files
