@@ -113,8 +113,8 @@ def _firsts(order: tuple[np.ndarray, ...], *groups: np.ndarray) -> tuple[np.ndar
     return by, new
 
 
-def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray, order: tuple[np.ndarray, ...] = ()) -> Iterator[tuple[int, int, bytes]]:
-    """Blobs of the arrays, one for each block of keys, in it by ``order`` (equal neighbours compress).
+def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray, place: np.ndarray | None = None) -> Iterator[tuple[int, int, bytes]]:
+    """Blobs of the arrays, one for each block of keys, in it by ``place`` (neighbours of one text compress).
 
     Keys of cover positions are lowest hashes, so they crowd near zero; another
     hash of the key deals them evenly.
@@ -122,7 +122,7 @@ def _deal(kind: int, blocks: int, keys: np.ndarray, *arrays: np.ndarray, order:
     if not len(keys):
         return
     home = ((mix(keys) >> U64(32)).astype(np.int64) * blocks) >> 32
-    by = np.lexsort((*reversed(order), home))
+    by = np.argsort(home, kind="stable") if place is None else np.argsort((home << 32) | place)
     cuts = np.flatnonzero(np.diff(home[by])) + 1
     for part in np.split(by, cuts):
         yield kind, int(home[part[0]]), pack(keys[part], *(a[part] for a in arrays))
@@ -166,7 +166,7 @@ def _sample(length: int, gram: int, blocks: int, hot: int):
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             many = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key)))) > hot
             one = ~many
-            rows = [*_deal(0, blocks, key[one], context[one], doc[one], at[one], tag[one], order=(doc[one], tag[one], at[one]))]
+            rows = [*_deal(0, blocks, key[one], context[one], doc[one], at[one], tag[one], place=by[one])]
             if many.any():
                 marks = key[starts][many[starts]]
                 rows += _deal(1, blocks, marks, marks)
@@ -331,7 +331,7 @@ def _open_windows(length: int, gram: int, blocks: int):
             hashes, docs, at, tags = map(np.concatenate, parts)
             by, new = _firsts((docs, at, tags), hashes)
             by = by[new]
-            rows = [*_deal(4, blocks, hashes[by], docs[by], at[by], tags[by], order=(docs[by], tags[by], at[by]))]
+            rows = [*_deal(4, blocks, hashes[by], docs[by], at[by], tags[by], place=by)]
         return pa.Table.from_batches([_to_batch(rows, _BLOB)] if rows else [], _BLOB)
 
     return run
