@@ -118,3 +118,9 @@ def schema_profile(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
     return spark.createDataFrame(
         rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean"
     )
+
+
+def preview(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of all columns (NULL first): the same
+    rows however the table is partitioned. Each task keeps ``n`` rows."""
+    return df.orderBy(*[F.asc_nulls_first(f"`{c}`") for c in df.columns]).limit(n)

@@ -420,6 +420,20 @@ def is_readable(spark: SparkSession, name: str) -> bool:
     return True
 
 
+def presence(spark: SparkSession, tables: list[str]) -> DataFrame:
+    """One row per table name: ``table_name, present, readable, has_rows``.
+
+    A table that cannot be read is reported and does not fail the report; each
+    probe reads one row at most.
+    """
+    rows = []
+    for name in tables:
+        present = spark.catalog.tableExists(name)
+        readable = present and is_readable(spark, name)
+        rows.append((name, present, readable, readable and not spark.table(name).isEmpty()))
+    return spark.createDataFrame(rows, "table_name string, present boolean, readable boolean, has_rows boolean")
+
+
 def reconcile(spark: SparkSession, loads: list[Load]) -> DataFrame:
     """One row per load: ``layer, table_name, present, readable, source_rows,
     target_rows, complete``.

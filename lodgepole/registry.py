@@ -27,6 +27,7 @@ SPINE_START = "1995-01-01"
 SPINE_END = "2001-12-31"
 HOT_LISTING = 7  # the listing that every third booking is moved to
 LEAST_FILE_BYTES = 1 << 20
+PREVIEW_ROWS = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,6 +307,25 @@ def _incremental_extract(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.held(spark, root, "apartments", source.schema, ["id"])
 
 
+def _layer_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads into a fresh layer, one of bookings and one of a source without
+    rows (refused), and a table that was never created: what the checks say."""
+    root = _scratch(spark, "presence")
+    bookings = raw_table(spark, sf, "bookings")
+    names = [f"presence_layer.{t}" for t in ("bookings", "cancelled_in_advance", "missing")]
+    refused = []
+    for name, source in ((names[0], bookings), (names[1], bookings.filter("booking_status = 'cancelled in advance'"))):
+        _fresh_table(spark, "presence_layer", name.split(".")[1], RAW["bookings"], root)
+        staged = spark.read.schema(RAW["bookings"]).parquet(layers.write_table(source, f"{root}/staged/{name}"))
+        try:
+            layers.ensure_not_empty(staged, name)
+            layers.load_into(spark, staged, name)
+        except ValueError:
+            refused.append(name)
+    spark.sql(f"DROP TABLE IF EXISTS {names[2]}")
+    return layers.presence(spark, names).withColumn("refused", F.col("table_name").isin(refused))
+
+
 QUERIES: dict[str, Query] = {
     # curated layer
     "curated_apartments": _listings,
@@ -363,4 +383,7 @@ QUERIES: dict[str, Query] = {
     "skewed_listing_join": _skewed_join,
     "layout_sized": _layout_sized,
     "incremental_extract": _incremental_extract,
+    # checks before and after a load, previews
+    "layer_presence": _layer_presence,
+    "bookings_preview": lambda s, sf: profile.preview(raw_table(s, sf, "bookings"), PREVIEW_ROWS),
 }

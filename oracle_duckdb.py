@@ -517,6 +517,15 @@ FROM (SELECT *, bad_price OR bad_customer OR wrong_fields OR moved AS q FROM jud
             f"SELECT *, CAST(CASE WHEN {parse('last_modified_timestamp')} <= DATE '1997-12-31' THEN 1 ELSE 2 END AS INTEGER) AS extract_run "
             "FROM raw_apartments WHERE id % 13 <> 0",
         ),
+        "layer_presence": _with(
+            "",
+            "SELECT 'presence_layer.' || t AS table_name, t <> 'missing' AS present, t <> 'missing' AS readable, n > 0 AS has_rows, "
+            "n = 0 AND t <> 'missing' AS refused FROM (SELECT 'bookings' AS t, count(*) AS n FROM raw_bookings UNION ALL "
+            "SELECT 'cancelled_in_advance', count(*) FROM raw_bookings WHERE booking_status = 'cancelled in advance' UNION ALL SELECT 'missing', 0) q",
+        ),
+        "bookings_preview": _with(
+            "", f"SELECT * FROM raw_bookings ORDER BY {', '.join(f'{f.name} NULLS FIRST' for f in RAW['bookings'].fields)} LIMIT 20"
+        ),
         "append_rerun_bookings": _with(
             "", "SELECT *, CASE WHEN booking_id % 2 = 0 THEN 'base' ELSE 'second' END AS load_run FROM raw_bookings"
         ),
