@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import math
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import pytest
+import regex
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 import corpus_pipeline  # noqa: E402
@@ -86,3 +89,56 @@ def test_rare_languages_are_learned(spark):
     # the pipeline keeps them
     kept = corpus_pipeline.language_id(spark, docs, "").groupBy("lang").count().collect()
     assert {r["lang"]: r["count"] for r in kept} == {"en": 20_000, "chr": 2, "eu": 2}
+
+
+class PlainModel:
+    """The same model without Spark or arrays: dictionaries of counts, one word after the other."""
+
+    def __init__(self, rows):
+        self.langs = sorted({lang for _, lang in rows})
+        words, grams = Counter(), Counter()
+        for text, lang in rows:
+            for w in regex.findall(r"\p{L}+", text.lower()):
+                words[lang, w] += 1
+        for (lang, w), n in words.items():
+            padded = f" {w} "
+            for k in range(1, 5):
+                for i in range(len(padded) - k + 1):
+                    if padded[i : i + k] != " ":
+                        grams[lang, padded[i : i + k]] += n
+        self.words = self.kept(Counter({k: n for k, n in words.items() if n > 1}), lang_id.MAX_WORDS)
+        self.grams = self.kept(grams, lang_id.MAX_GRAMS)
+
+    def kept(self, counts, most):
+        order = sorted(counts, key=lambda k: (-counts[k], k[0], k[1].encode()))
+        own = math.ceil(most / len(self.langs))
+        keys = set(order[:most]) | {k for lang in self.langs for k in [x for x in order if x[0] == lang][:own]}
+        totals = [max(1, sum(counts[k] for k in keys if k[0] == lang)) for lang in self.langs]
+        out = {}
+        for key in {k for _, k in keys}:
+            logs = [math.log((counts[lang, key] if (lang, key) in keys else 0) / t + 0.5 / max(totals)) for lang, t in zip(self.langs, totals, strict=True)]
+            out[key] = [x - sum(logs) / len(logs) for x in logs]
+        return out
+
+    def predict(self, text):
+        total, found = [0.0] * len(self.langs), regex.findall(r"\p{L}+", (text or "").lower())
+        for w in found:
+            rows = [self.words[w]] if w in self.words else []
+            padded = f" {w} "
+            for k in (4, 3, 2, 1):
+                rows = rows or [self.grams[padded[i : i + k]] for i in range(len(padded) - k + 1) if padded[i : i + k] in self.grams]
+            total = [t + (sum(r[i] for r in rows) / len(rows) if rows else 0.0) for i, t in enumerate(total)]
+        if not found:
+            return "und", 0.0
+        best = max(range(len(total)), key=lambda i: (total[i], -i))
+        return self.langs[best], 1 / sum(math.exp(max(t - total[best], -700)) for t in total)
+
+
+def test_equals_a_plain_model(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    plain = PlainModel([(r.text, r.lang) for r in docs if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op2_language_id(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        lang, score = plain.predict(r.text)
+        assert got[r.doc_id][0] == lang and got[r.doc_id][1] == pytest.approx(score, abs=1e-6)
