@@ -83,7 +83,7 @@ def test_recall_at_the_registered_bands(docs):
     rng = random.Random(80)
     rows, wanted = [], {}
     for k in range(1500):
-        n, own = 100, rng.randrange(3, 12)  # n-grams in all, and those of one text only
+        n, own = 100, rng.randrange(5, 21)  # n-grams in all, and those of one text only
         words = [f"{k}w{i}" for i in range(n + 4)]
         other = words[: n + 4 - own]
         rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
