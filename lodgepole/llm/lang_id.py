@@ -137,9 +137,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
     counts = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).collect()
     n, share_of = sum(r["n"] for r in counts), max(1, len(counts))
     # its share of all rows, or an equal share of the sample if that is more; the least hash is always in
+    # one number a language, looked up in the plan: nothing is shuffled by language
     limits = [(r["lang"], max(math.ceil(min(1.0, max(sample_rows / n, sample_rows / share_of / r["n"])) * _HASH_RANGE), r["least"] + 1)) for r in counts]
-    known = labelled.sparkSession.createDataFrame(limits, "lang string, below long")
-    sample = hashed.join(known, "lang").filter("h < below").select("text", "lang")
+    below = F.create_map(*[F.lit(x) for limit in limits for x in limit])[F.col("lang")] if limits else F.lit(0)
+    sample = hashed.filter(F.col("h") < below).select("text", "lang")
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
         .groupBy("lang", "word")
