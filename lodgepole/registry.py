@@ -143,7 +143,7 @@ def _published(table: str) -> Query:
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         _batch(spark, sf)
-        return read_catalog_table(spark, "presentation_layer", table)
+        return runs.published(spark, "presentation_layer", table)
 
     return query
 
