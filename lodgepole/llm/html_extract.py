@@ -457,6 +457,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
     # pages of the usual shape are counted where they are half of all, or else all are
     most = F.col("two.n") * 2 >= F.col("all")
     voting = usual.filter("all > 1").select("host", F.when(most, F.col("two.shape")).alias("voting"), F.when(most, F.col("two.n")).otherwise(F.col("all")).alias("pages"))
+    # one row a host: written, so that the planner knows its size and need not shuffle pages by host
+    voting = written(voting, "voting")
     sizes = voting.select("host", "pages")
     counted = seen.join(voting.select("host", "voting"), "host").filter("voting is null or shape = voting")
     texts = _often(counted, sizes, "texts", CONSTANT, LEAST_PAGES)
@@ -464,7 +466,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     # two different pages of the usual shape; of single ones, the first and the last of all
     alone = F.col("two.a") == F.col("two.b")
     two = usual.select("host", F.when(alone, F.col("least")).otherwise(F.col("two.a")).alias("a"), F.when(alone, F.col("most")).otherwise(F.col("two.b")).alias("b"))
-    wanted = two.filter("a != b").select("host", F.posexplode(F.array("a", "b")).alias("nth", "h"))
+    wanted = written(two.filter("a != b").select("host", F.posexplode(F.array("a", "b")).alias("nth", "h")), "wanted")
     keyed = pages.filter("html is not null").withColumn("h", F.xxhash64("html"))
     found = keyed.join(wanted, ["host", "h"]).groupBy("host").agg(F.min_by("html", "nth").alias("one"), F.max_by("html", "nth").alias("other"))
 
