@@ -7,6 +7,7 @@ from lodgepole.sources.readers import (
     read_jdbc,
     read_jdbc_partitioned,
     read_parquet_table,
+    stage_csv,
 )
 
 __all__ = [
@@ -19,4 +20,5 @@ __all__ = [
     "read_jdbc",
     "read_jdbc_partitioned",
     "read_parquet_table",
+    "stage_csv",
 ]
