@@ -61,6 +61,9 @@ BLOCK_BYTES = 12 << 20
 _SEGMENT = 1 << 20
 _NO_ID = -(1 << 63)
 _AFTER_NULL = 1 << 40
+# what a blob holds: sample entries, marks of hot keys, firsts whose windows are all settled or
+# are still open, documents, windows, first windows
+_ENTRIES, _MARKS, _CLOSED, _OPEN, _TEXTS, _WINDOWS, _NEW = range(7)
 _TABLE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
@@ -166,38 +169,39 @@ def _sample(length: int, gram: int, blocks: int, hot: int):
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             many = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key)))) > hot
             one = ~many
-            rows = [*_deal(0, blocks, key[one], context[one], doc[one], at[one], tag[one], place=by[one])]
+            rows = [*_deal(_ENTRIES, blocks, key[one], context[one], doc[one], at[one], tag[one], place=by[one])]
             if many.any():
                 marks = key[starts][many[starts]]
-                rows += _deal(1, blocks, marks, marks)
-                rows += _deal_firsts(2, blocks, doc[many], at[many], tag[many], np.ones(many.sum(), np.uint8))
+                rows += _deal(_MARKS, blocks, marks, marks)
+                rows += _deal_firsts(_OPEN, blocks, doc[many], at[many], tag[many])
             yield _to_batch(rows, _BLOB)
 
     return run
 
 
-def _deal_firsts(kind: int, blocks: int, doc: np.ndarray, at: np.ndarray, tag: np.ndarray, state: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+def _deal_firsts(kind: int, blocks: int, doc: np.ndarray, at: np.ndarray, tag: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """First occurrences, sorted and delta-coded, one blob for each block of documents."""
     if not len(doc):
         return
     home = _doc_block(doc, tag, blocks)
     by = np.lexsort((at, tag, doc, home))
     for part in np.split(by, np.flatnonzero(np.diff(home[by])) + 1):
-        yield kind, int(home[part[0]]), pack(np.diff(doc[part], prepend=np.int64(0)), np.diff(at[part], prepend=np.int64(0)), tag[part], state[part])
+        yield kind, int(home[part[0]]), pack(np.diff(doc[part], prepend=np.int64(0)), np.diff(at[part], prepend=np.int64(0)), tag[part])
 
 
-def _load_firsts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    parts = [unpack(b, "i8", "i8", "u8", "u1") for b in blobs]
+def _load_firsts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [unpack(b, "i8", "i8", "u8") for b in blobs]
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.uint8)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
     doc, at = (np.concatenate([np.cumsum(p[i]) for p in parts]) for i in (0, 1))
-    return doc, at, np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+    return doc, at, np.concatenate([p[2] for p in parts])
 
 
-def _sort_keys(blocks: int):
-    """Sort one key block: class firsts, and whether their key has other classes.
+def _sort_keys(blocks: int, wanted: int):
+    """Sort one key block: the class firsts whose key has no other class (``_CLOSED``) or has some (``_OPEN``).
 
-    First occurrences of hot keys pass through; their blocks are of documents.
+    The two are used at different steps, so each step sorts for its own and moves no other.
+    First occurrences of hot keys are open and pass through; their blocks are of documents.
     """
 
     def run(group: pa.Table) -> pa.Table:
@@ -205,9 +209,9 @@ def _sort_keys(blocks: int):
         kinds = group.column("kind").to_pylist()
         blobs = group.column("blob").to_pylist()
         rows: list[tuple] = []
-        parts = [unpack(b, "u8", "u8", "i8", "i8", "u8") for k, b in zip(kinds, blobs, strict=True) if k == 0]
-        marks = [unpack(b, "u8", "u8")[0] for k, b in zip(kinds, blobs, strict=True) if k == 1]
-        rows += [(k, h, b) for k, h, b in zip(kinds, group.column("block").to_pylist(), blobs, strict=True) if k == 2]
+        parts = [unpack(b, "u8", "u8", "i8", "i8", "u8") for k, b in zip(kinds, blobs, strict=True) if k == _ENTRIES]
+        marks = [unpack(b, "u8", "u8")[0] for k, b in zip(kinds, blobs, strict=True) if k == _MARKS]
+        rows += [(k, h, b) for k, h, b in zip(kinds, group.column("block").to_pylist(), blobs, strict=True) if k == wanted]
         if parts:
             key, context, doc, at, tag = (np.concatenate(c) for c in zip(*parts, strict=True))
             by, new = _firsts((doc, at, tag), key, context)
@@ -218,7 +222,8 @@ def _sort_keys(blocks: int):
             open_ = np.repeat(n, n) > 1
             if marks:
                 open_ |= np.isin(key, np.concatenate(marks))
-            rows += _deal_firsts(2, blocks, doc, at, tag, open_.astype(np.uint8))
+            mine = open_ if wanted == _OPEN else ~open_
+            rows += _deal_firsts(wanted, blocks, doc[mine], at[mine], tag[mine])
         return pa.Table.from_batches([_to_batch(rows, _BLOB)] if rows else [], _BLOB)
 
     return run
@@ -262,7 +267,7 @@ def _chunks(blocks: int):
                 meta = pack(doc[part], np.array([len(r) for r in raws], np.int64), null[part].astype(np.uint8), np.array([texts[i] is None for i in part], np.uint8))
                 carried = _to_ipc(others.take(pa.array(part))) if others.num_columns else b""
                 sizes = np.array([len(meta), len(carried)], np.int64).tobytes()
-                rows.append((3, int(home[part[0]]), sizes + meta + carried + zstandard.ZstdCompressor(level=3).compress(b"".join(raws))))
+                rows.append((_TEXTS, int(home[part[0]]), sizes + meta + carried + zstandard.ZstdCompressor(level=3).compress(b"".join(raws))))
             yield _to_batch(rows, _BLOB)
 
     return run
@@ -293,16 +298,15 @@ class _Starts:
     """First occurrences of a block, looked up by document."""
 
     def __init__(self, blobs: list[bytes]) -> None:
-        doc, at, tag, state = _load_firsts(blobs)
+        doc, at, tag = _load_firsts(blobs)
         by = np.lexsort((at, tag, doc))
-        self.doc, self.at, self.tag, self.state = doc[by], at[by], tag[by], state[by]
+        self.doc, self.at, self.tag = doc[by], at[by], tag[by]
 
-    def of(self, doc: int, null: bool, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, doc: int, null: bool, tag: int) -> np.ndarray:
         lo, hi = np.searchsorted(self.doc, doc, "left"), np.searchsorted(self.doc, doc, "right")
         a, b = lo + np.searchsorted(self.tag[lo:hi], U64(tag), "left"), lo + np.searchsorted(self.tag[lo:hi], U64(tag), "right")
         at = self.at[a:b] - _shift(doc, null)
-        mine = (at >= 0) & (at < _AFTER_NULL)
-        return at[mine], self.state[a:b][mine]
+        return at[(at >= 0) & (at < _AFTER_NULL)]
 
 
 def _open_windows(length: int, gram: int, blocks: int):
@@ -316,8 +320,7 @@ def _open_windows(length: int, gram: int, blocks: int):
             if len(raw) < length:
                 continue
             tag = _tag(raw)
-            first, state = found.of(doc, null, tag)
-            wanted = first[state > 0]
+            wanted = found.of(doc, null, tag)
             for st, en, _, _, prefix, base in _segments(raw, length, gram):
                 mine = np.isin(st + base, wanted)
                 if mine.any():
@@ -331,7 +334,7 @@ def _open_windows(length: int, gram: int, blocks: int):
             hashes, docs, at, tags = map(np.concatenate, parts)
             by, new = _firsts((docs, at, tags), hashes)
             by = by[new]
-            rows = [*_deal(4, blocks, hashes[by], docs[by], at[by], tags[by], place=by)]
+            rows = [*_deal(_WINDOWS, blocks, hashes[by], docs[by], at[by], tags[by], place=by)]
         return pa.Table.from_batches([_to_batch(rows, _BLOB)] if rows else [], _BLOB)
 
     return run
@@ -345,7 +348,7 @@ def _sort_windows(blocks: int):
         hashes, doc, at, tag = (np.concatenate(c) for c in zip(*(unpack(b, "u8", "i8", "i8", "u8") for b in group.column("blob").to_pylist()), strict=True))
         by, new = _firsts((doc, at, tag), hashes)
         by = by[new]
-        rows = [*_deal_firsts(5, blocks, doc[by], at[by], tag[by], np.ones(len(by), np.uint8))]
+        rows = [*_deal_firsts(_NEW, blocks, doc[by], at[by], tag[by])]
         return pa.Table.from_batches([_to_batch(rows, _BLOB)], _BLOB)
 
     return run
@@ -368,16 +371,15 @@ def _kept(length: int, gram: int, chunks: pa.Table, firsts: pa.Table) -> Iterato
     """(doc_id, text, remaining bytes, removed bytes, removed runs) of a block's documents."""
     release()
     kinds, blobs = firsts.column("kind").to_pylist(), firsts.column("blob").to_pylist()
-    classes = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 2])
-    windows = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == 5])
+    classes = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == _CLOSED])
+    windows = _Starts([b for k, b in zip(kinds, blobs, strict=True) if k == _NEW])
     for doc, raw, null, no_text in _documents(chunks.column("blob").to_pylist()):
         kept, removed, spans = raw, 0, 0
         if len(raw) >= length:
             tag = _tag(raw)
-            first, state = classes.of(doc, null, tag)
+            closed = classes.of(doc, null, tag)
             new = np.zeros(len(raw) - length + 1, bool)
-            new[windows.of(doc, null, tag)[0]] = True
-            closed = first[state == 0]
+            new[windows.of(doc, null, tag)] = True
             for st, en, _, _, _, base in _segments(raw, length, gram):
                 for s, e in zip(st[m := np.isin(st + base, closed)] + base, en[m] + base, strict=True):
                     new[s : e + 1] = True
@@ -421,13 +423,13 @@ def _settled(docs: DataFrame, others: list[str], length: int, gram: int, hot_cla
     blocks = max(parts, math.ceil(text_bytes(docs.select(text.alias("text"))) / BLOCK_BYTES))
     keyed = docs.select(doc.alias("doc_id"), text.alias("text"))
     sample = keyed.mapInArrow(_sample(length, gram, blocks, hot_classes), _BLOB_SQL)
-    firsts = sample.groupBy("block").applyInArrow(_sort_keys(blocks), _BLOB_SQL)
+    closed, unsettled = (sample.groupBy("block").applyInArrow(_sort_keys(blocks, kind), _BLOB_SQL) for kind in (_CLOSED, _OPEN))
     # the other columns go by number, so that none can clash
     carried = [F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(others)]
     chunks = docs.select(doc.alias("__doc"), text.alias("__text"), *carried).mapInArrow(_chunks(blocks), _BLOB_SQL)
-    open_ = chunks.groupBy("block").cogroup(firsts.groupBy("block")).applyInArrow(_open_windows(length, gram, blocks), _BLOB_SQL)
+    open_ = chunks.groupBy("block").cogroup(unsettled.groupBy("block")).applyInArrow(_open_windows(length, gram, blocks), _BLOB_SQL)
     windows = open_.groupBy("block").applyInArrow(_sort_windows(blocks), _BLOB_SQL)
-    return chunks, firsts.unionByName(windows)
+    return chunks, closed.unionByName(windows)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_classes: int = HOT_CLASSES) -> DataFrame:
