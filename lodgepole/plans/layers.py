@@ -10,6 +10,8 @@ cluster is shared storage (see :func:`lodgepole.session.lake_root`).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -67,10 +69,24 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.save(path)
+    with _size_first(df.sparkSession) if sized else nullcontext():
+        writer.save(path)
     return path
 
 
+@contextmanager
+def _size_first(spark: SparkSession) -> Iterator[None]:
+    """AQE merges partitions up to the advisory size, not to one for each core, as
+    long as this lasts; else the number of files follows the cores."""
+    conf = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(conf, before)
+
+
 def file_sized(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Output partitions of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 

@@ -51,6 +51,12 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{lake_root(spark)}/runs/{what}-{uuid.uuid4().hex[:12]}"
 
 
+def _staged(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as written to a scratch folder: what reads it repeatedly does not compute it again."""
+    spark = df.sparkSession
+    return spark.read.schema(df.schema).parquet(layers.write_table(df, f"{_scratch(spark, what)}/staged"))
+
+
 def _fresh_table(spark: SparkSession, layer: str, table: str, schema, root: str) -> str:
     name = f"{layer}.{table}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/_warehouse/{layer}'")
@@ -277,13 +283,18 @@ def _skewed_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def _layout_sized(spark: SparkSession, sf: str) -> DataFrame:
     """Bookings written with 1, 8 and 200 shuffle partitions: rows, and whether
-    there are no more files than cores, or else files of some size."""
+    there are no more files than cores, or else files of some size.
+
+    They are curated once, with the session's own partitions: with one, the join
+    and the de-duplication of all rows would be a single task.
+    """
     root, conf = _scratch(spark, "sized"), "spark.sql.shuffle.partitions"
+    bookings = _staged(_bookings(spark, sf), "sized-source")
     before, reports = spark.conf.get(conf), []
     for n in (1, 8, 200):
         spark.conf.set(conf, str(n))
         try:
-            layers.write_layer_table(_bookings(spark, sf), f"{root}/{n}", "curated_layer", "curated_bookings", sized=True)
+            layers.write_layer_table(bookings, f"{root}/{n}", "curated_layer", "curated_bookings", sized=True)
         finally:
             spark.conf.set(conf, before)
         rows = spark.read.parquet(layers.layer_path(f"{root}/{n}", "curated_layer", "curated_bookings"))

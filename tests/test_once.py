@@ -1,0 +1,46 @@
+"""Queries that use curated bookings repeatedly compute them once."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgepole import registry
+from lodgepole.plans import layers
+
+ROWS = 600
+
+
+@pytest.fixture()
+def counted(spark):
+    """Bookings, and how many of their rows were computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    i = F.col("id")
+    rows = spark.range(0, ROWS, 1, 3).select(
+        i.alias("booking_id"),
+        F.when(i % 11 != 0, i % 40).alias("user_id"),
+        F.when(i % 17 != 0, i % 60).alias("apartment_id"),
+        F.date_add(F.lit("1996-01-01").cast("date"), (i % 90).cast("int")).alias("booking_date"),
+        (i % 9).cast("int").alias("stay_days"),
+    )
+    return rows.mapInArrow(run, rows.schema), seen
+
+
+def test_sized_layout_curates_once(spark, counted, monkeypatch):
+    bookings, seen = counted
+    monkeypatch.setattr(registry, "_bookings", lambda spark, sf: bookings)
+    got = sorted(map(tuple, registry.QUERIES["layout_sized"](spark, "").collect()))
+    assert got == [(n, ROWS, True) for n in (1, 8, 200)] and seen.value == ROWS
+
+
+def test_sized_write_leaves_the_session_as_it_was(spark, tmp_path):
+    conf = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(conf)
+    layers.write_table(spark.range(10), f"file://{tmp_path}/a", sized=True)
+    with pytest.raises(Exception):  # noqa: B017  (a failed write)
+        layers.write_table(spark.range(10).select(F.raise_error(F.lit("no")).alias("x")), f"file://{tmp_path}/b", sized=True)
+    assert spark.conf.get(conf) == before
