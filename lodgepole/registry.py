@@ -251,9 +251,13 @@ def _load_content_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hot_bookings(spark: SparkSession, sf: str) -> DataFrame:
-    """Bookings of which every third is of one listing."""
+    """Bookings of which every third is of one listing.
+
+    Written once and read back: the key shares are measured before the rows are
+    used, and neither curates them again.
+    """
     key = F.when(F.pmod("booking_id", F.lit(3)) == 0, F.lit(HOT_LISTING).cast("long")).otherwise(F.col("apartment_id"))
-    return _bookings(spark, sf).withColumn("apartment_id", key)
+    return _staged(_bookings(spark, sf).withColumn("apartment_id", key), "hot")
 
 
 def _by_city(joined: DataFrame) -> DataFrame:
