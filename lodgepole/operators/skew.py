@@ -33,13 +33,17 @@ class Salting:
 
 def salting(df: DataFrame, key: str, salts: int, share: float | None = None) -> Salting:
     """Measure which keys hold more than ``share`` (default ``1 / salts``) of the
-    rows: one aggregate with partial sums in each task."""
+    rows: one aggregate with partial sums in each task.
+
+    The total is the sum of the counts, and a NULL key leaves the result and not
+    the plan, so that both share one shuffle and ``df`` is computed once."""
     if salts < 1:
         raise ValueError("salts must be at least 1")
     share = share or 1.0 / salts
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return Salting(tuple(sorted(r[0] for r in counts.filter(F.col("n") > total * share).select(key).collect())), salts)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    hot = counts.filter(F.col("n") > total * share).select(key).collect()
+    return Salting(tuple(sorted(r[0] for r in hot if r[0] is not None)), salts)
 
 
 def _is_hot(key: str, s: Salting) -> Column:

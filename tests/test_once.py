@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgepole import registry
+from lodgepole.operators import skew
 from lodgepole.plans import layers
 
 ROWS = 600
@@ -30,6 +31,19 @@ def counted(spark):
     return rows.mapInArrow(run, rows.schema), seen
 
 
+@pytest.mark.parametrize(("name", "times"), [("skewed_listing_join", 3), ("layout_bucketed_salted", 1)])
+def test_hot_bookings_are_curated_once(spark, counted, monkeypatch, name, times):
+    bookings, seen = counted
+    listings = spark.range(60).select("id", F.when(F.col("id") % 5 != 0, F.concat(F.lit("city"), F.col("id") % 4)).alias("cityname"))
+    monkeypatch.setattr(registry, "_bookings", lambda spark, sf: bookings)
+    monkeypatch.setattr(registry, "_listings", lambda spark, sf: listings)
+    got = {r["cityname"]: r["bookings"] for r in registry.QUERIES[name](spark, "").collect()}
+    assert seen.value == ROWS
+    hot = [registry.HOT_LISTING if i % 3 == 0 else (i % 60 if i % 17 else None) for i in range(ROWS)]
+    cities = [f"city{k % 4}" if k % 5 else None for k in hot if k is not None]
+    assert got == {c: times * cities.count(c) for c in set(cities)}
+
+
 def test_sized_layout_curates_once(spark, counted, monkeypatch):
     bookings, seen = counted
     monkeypatch.setattr(registry, "_bookings", lambda spark, sf: bookings)
@@ -37,6 +51,12 @@ def test_sized_layout_curates_once(spark, counted, monkeypatch):
     assert got == [(n, ROWS, True) for n in (1, 8, 200)] and seen.value == ROWS
 
 
+def test_key_shares_take_one_pass(spark, counted):
+    bookings, seen = counted
+    assert skew.salting(bookings.withColumn("k", F.when(F.col("booking_id") % 2 == 0, 7)), "k", 4) == skew.Salting((7,), 4)
+    assert seen.value == ROWS
+
+
 def test_sized_write_leaves_the_session_as_it_was(spark, tmp_path):
     conf = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
     before = spark.conf.get(conf)
