@@ -41,7 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows are told apart by a number of their own: ids may repeat or be null
     row = free_name(docs, "row")
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", codec="zstd")
     classes = ngram_join.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "class_id")
     own = numbered.select(row, F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(row).alias("row")).alias("place"))
     stay = classes.join(own, row).groupBy("class_id").agg(F.min("place").alias("place")).select(F.col("place.row").alias(row))

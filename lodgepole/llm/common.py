@@ -69,11 +69,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back (column-pruned reads)."""
+def written(df: DataFrame, what: str, codec: str | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back (column-pruned reads).
+
+    The files stay until the folder is cleared: whole texts are worth a denser ``codec``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
