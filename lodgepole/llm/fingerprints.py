@@ -50,28 +50,40 @@ def parse(text: str, start: int = 0, phrases: set[str] | None = None, ends: list
     add, out = phrases.add, ends.append
     while i < n:
         size = guess
-        if text[i : i + size] in phrases:
-            size += 1
-            while text[i : i + size] in phrases and i + size <= n:
+        piece = text[i : i + size]
+        if piece in phrases:
+            while piece in phrases and i + size <= n:
                 size += 1
+                piece = text[i : i + size]
         else:
-            while size > 1 and text[i : i + size - 1] not in phrases:
+            while size > 1 and (shorter := text[i : i + size - 1]) not in phrases:
                 size -= 1
-        add(text[i : i + size])
+                piece = shorter
+        add(piece)
         guess = size
         i += size
         out(i if i < n else n)
     return phrases, ends
 
 
-def signature(values: np.ndarray, ends: list[int], size: int) -> np.ndarray:
-    """The smallest distinct hashes of the phrases that end at ``ends``."""
+def phrase_hashes(values: np.ndarray, ends: list[int], start: int = 0) -> np.ndarray:
+    """Hashes of the phrases that end at ``ends``; the first begins at ``start``.  The place does not matter."""
     if not ends:
         return np.zeros(0, np.uint32)
-    end = np.array(ends, np.int64)
-    start = np.concatenate(([0], end[:-1]))
-    hashes = (span_hash(prefix_hash(values), start, end) >> U64(32)).astype(np.uint32)
-    return np.unique(hashes)[:size]
+    end = np.array(ends, np.int64) - start
+    begin = np.concatenate(([0], end[:-1]))
+    return (span_hash(prefix_hash(values[start:]), begin, end) >> U64(32)).astype(np.uint32)
+
+
+def smallest(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The smallest distinct hashes, ascending."""
+    ordered = np.sort(hashes)  # np.unique costs several times the sort of so few
+    return ordered[np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(ordered)])[:size]]
+
+
+def signature(values: np.ndarray, ends: list[int], size: int) -> np.ndarray:
+    """The smallest distinct hashes of the phrases that end at ``ends``."""
+    return smallest(phrase_hashes(values, ends), size)
 
 
 def fingerprint(text: str | None, size: int = SIZE) -> str:
@@ -83,8 +95,10 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
     """Share of the smallest hashes of both that both have; two empty ones are alike."""
     if not len(a) and not len(b):
         return 1.0
-    least = np.union1d(a, b)[:size]
-    return float(np.isin(least, np.intersect1d(a, b, assume_unique=True), assume_unique=True).mean())
+    both = np.sort(np.concatenate((a, b)))
+    twice = both[1:] == both[:-1]  # of a hash that both have, the first
+    firsts = np.flatnonzero(np.concatenate(([True], ~twice)))[:size]
+    return int(np.count_nonzero(twice[: firsts[-1] + 1])) / len(firsts)
 
 
 def edited(text: str, following: str) -> str:
@@ -99,21 +113,22 @@ class _Parsed:
     def __init__(self, text: str, size: int) -> None:
         self.text, self.size = text, size
         self.values = code_points(text)
-        self.phrases, self.ends = parse(text)
-        self.signature = signature(self.values, self.ends, size)
-
-    def edit(self, following: str) -> tuple[str, np.ndarray]:
-        half = len(self.text) // 2
-        keep = len(self.text) - half
-        changed = self.text[:keep] + following[:half]
-        shared = int(np.searchsorted(self.ends, keep, side="right"))  # phrases that end in the kept part
-        if shared and self.ends[shared - 1] == len(self.text):
-            shared -= 1  # the last phrase of a text may be an old one
-        ends = self.ends[:shared]
-        at = ends[-1] if ends else 0
-        phrases = {self.text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)} if ends else set()
-        ends = parse(changed, at, phrases, ends)[1]
-        return changed, signature(code_points(changed), ends, self.size)
+        self.keep = len(text) - len(text) // 2
+        phrases, self.kept_ends = parse(text[: self.keep])
+        if len(phrases) < len(self.kept_ends):
+            self.kept_ends.pop()  # an old phrase: the text goes on in it
+        self.at = self.kept_ends[-1] if self.kept_ends else 0
+        self.kept_phrases = phrases.copy()
+        self.phrases, self.ends = parse(text, self.at, phrases, self.kept_ends.copy())
+        self.hashes = phrase_hashes(self.values, self.ends)
+        self.signature = smallest(self.hashes, size)
+
+    def edit(self, following: _Parsed) -> tuple[str, np.ndarray]:
+        half, shared = len(self.text) - self.keep, len(self.kept_ends)
+        changed = self.text[: self.keep] + following.text[:half]
+        ends = parse(changed, self.at, self.kept_phrases.copy(), [])[1]
+        values = np.concatenate((self.values[: self.keep], following.values[:half]))
+        return changed, smallest(np.concatenate((self.hashes[:shared], phrase_hashes(values, ends, self.at))), self.size)
 
 
 _ROW = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
@@ -122,7 +137,7 @@ _PART = pa.schema([*_ROW, ("part", pa.int32()), ("first", pa.string()), ("last",
 
 
 def _row(doc: int | None, now: _Parsed, nxt: _Parsed) -> tuple:
-    changed, sig = now.edit(nxt.text)
+    changed, sig = now.edit(nxt)
     hexed = lambda s: s.astype(">u4").tobytes().hex()
     return (doc, len(now.text), hashlib.sha256(changed.encode()).hexdigest(), hexed(now.signature), hexed(sig), likeness(now.signature, sig, now.size), likeness(now.signature, nxt.signature, now.size))
 

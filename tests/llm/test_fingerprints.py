@@ -72,3 +72,19 @@ def test_one_row_repeats_and_empty(docs):
     assert one.near_next == 1.0
     same = fp.compare_with_next(docs([(1, "abc abd")] * 5)).collect()
     assert len(same) == 5 and len(set(same)) == 1
+
+
+@pytest.mark.parametrize("text", ["", "a", "ab", "aaaaaaaaaaaa", "abababab" * 30, "😀é" * 20, words(1, 400), words(6, 401), "x" * 500 + words(2, 50)])
+def test_an_edit_is_parsed_and_hashed_from_its_branch_on(monkeypatch, text):
+    """Neither the kept half nor what the next text has hashed is hashed again."""
+    nexts = ["", "b", "abababab" * 10, words(4, 500), text]
+    now, after = fp._Parsed(text, fp.SIZE), [fp._Parsed(t, fp.SIZE) for t in nexts]
+    hashed = []
+    monkeypatch.setattr(fp, "code_points", lambda t: hashed.append(t))
+    made = [now.edit(n) for n in after]
+    monkeypatch.undo()
+    assert hashed == []
+    for (changed, sig), n in zip(made, nexts, strict=True):
+        assert changed == fp.edited(text, n)
+        assert sig.astype(">u4").tobytes().hex() == fp.fingerprint(changed)
+    assert now.ends == fp.parse(text)[1] and now.phrases == lz78(text)
