@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,29 +106,32 @@ class LanguageModel:
         return self.langs[best], float(1.0 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
 
-def _scores(rows: list, langs: tuple[str, ...], of: str) -> tuple[dict[str, int], np.ndarray]:
+def _scores(rows: pa.Table, langs: tuple[str, ...], of: str) -> tuple[dict[str, int], np.ndarray]:
     """Smoothed log frequencies of the keys, with the mean over languages taken off.
 
     What a key not seen in a language gets is the same for all languages, half a
     count in the largest one: few rows do not make a language likelier.
     """
+    keys = rows.column(of).to_pylist()
     index: dict[str, int] = {}
-    for r in rows:
-        index.setdefault(r[of], len(index))
+    for key in keys:
+        index.setdefault(key, len(index))
     counts = np.zeros((len(index), len(langs)))
     column = {lang: i for i, lang in enumerate(langs)}
-    for r in rows:
-        counts[index[r[of]], column[r["lang"]]] += r["n"]
+    for key, lang, n in zip(keys, rows.column("lang").to_pylist(), rows.column("n").to_pylist(), strict=True):
+        counts[index[key], column[lang]] += n
     totals = np.maximum(counts.sum(axis=0, keepdims=True), 1.0)
     logs = np.log(counts / totals + 0.5 / totals.max()) if len(index) else counts
     return index, logs - logs.mean(axis=1, keepdims=True) if len(index) else logs
 
 
-def _most_frequent(keys: DataFrame, of: str, most: int, langs: int) -> list:
-    """The ``most`` most frequent (lang, key) rows, and of each language at least its equal share of them."""
+def _most_frequent(keys: DataFrame, of: str, most: int, langs: int) -> pa.Table:
+    """The ``most`` most frequent (lang, key) rows, and of each language at least its equal share of them.
+
+    They come as Arrow columns: rows as objects take several times the driver's memory."""
     order = [F.desc("n"), "lang", of]
     own = keys.withColumn("__nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("__nth") <= math.ceil(most / langs)).drop("__nth")
-    return keys.orderBy(*order).limit(most).select("lang", of, "n").union(own.select("lang", of, "n")).distinct().orderBy(*order).collect()
+    return keys.orderBy(*order).limit(most).select("lang", of, "n").union(own.select("lang", of, "n")).distinct().orderBy(*order).toArrow()
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, max_gram: int = MAX_GRAM) -> LanguageModel:
@@ -156,7 +160,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MA
         top_grams = _most_frequent(all_grams, "gram", max_grams, share_of)
     finally:
         words.unpersist()
-    langs = tuple(sorted({r["lang"] for r in [*top_words, *top_grams]}))
+    langs = tuple(sorted({lang for top in (top_words, top_grams) for lang in top.column("lang").unique().to_pylist()}))
     return LanguageModel(langs, *_scores(top_words, langs, "word"), *_scores(top_grams, langs, "gram"), max_gram)
 
 

@@ -142,3 +142,13 @@ def test_equals_a_plain_model(spark):
     for r in docs:
         lang, score = plain.predict(r.text)
         assert got[r.doc_id][0] == lang and got[r.doc_id][1] == pytest.approx(score, abs=1e-6)
+
+
+def test_words_and_ngrams_come_to_the_driver_as_columns(spark, monkeypatch):
+    """Only the counts of the languages are collected as rows: many row objects fill the driver."""
+    labelled = spark.createDataFrame([(f"un chat noir {i} dort", "fr") for i in range(30)] + [(f"a black cat {i} sleeps", "en") for i in range(30)], "text string, lang string")
+    plain, collected = type(labelled).collect, []
+    monkeypatch.setattr(type(labelled), "collect", lambda df: collected.append(plain(df)) or collected[-1])
+    model = lang_id.fit(labelled)
+    assert [len(rows) for rows in collected] == [2]
+    assert {"chat", "cat"} <= set(model.words) and model.predict("le chat dort")[0] == "fr"
