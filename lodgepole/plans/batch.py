@@ -42,6 +42,7 @@ from lodgepole.plans.layers import (
     create_layer_tables,
     ensure_not_empty,
     layer_path,
+    merging,
     publish,
     reconcile,
 )
@@ -71,8 +72,14 @@ def write_layer(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Write the tables of one layer (with their layout); return them read
     back from the written files (with the schema just written, so no job is
-    spent inferring it) and the rows that each write counted."""
-    rows = run_each(lambda t, df: counted_write(apply_layout(df, t), layer_path(root, layer, t)), frames)
+    spent inferring it) and the rows that each write counted.
+
+    Partitions are merged as far as every core keeps a task: merged by size
+    alone, a layer that is small when compressed is joined, de-duplicated,
+    sorted and written by a few tasks, and the next stage scans as few files.
+    """
+    with merging(spark, cores_first=True):
+        rows = run_each(lambda t, df: counted_write(apply_layout(df, t), layer_path(root, layer, t)), frames)
     return {t: spark.read.schema(df.schema).parquet(layer_path(root, layer, t)) for t, df in frames.items()}, rows
 
 

@@ -69,18 +69,19 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
-    with _size_first(df.sparkSession) if sized else nullcontext():
+    with merging(df.sparkSession, cores_first=False) if sized else nullcontext():
         writer.save(path)
     return path
 
 
 @contextmanager
-def _size_first(spark: SparkSession) -> Iterator[None]:
-    """AQE merges partitions up to the advisory size, not to one for each core, as
-    long as this lasts; else the number of files follows the cores."""
+def merging(spark: SparkSession, cores_first: bool) -> Iterator[None]:
+    """How AQE merges small partitions as long as this lasts: up to the advisory
+    size, whatever the number of cores, or (``cores_first``) only as far as every
+    core keeps a task. Neither makes a partition larger than the advisory size."""
     conf = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
     before = spark.conf.get(conf)
-    spark.conf.set(conf, "false")
+    spark.conf.set(conf, str(cores_first).lower())
     try:
         yield
     finally:

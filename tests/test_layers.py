@@ -269,3 +269,27 @@ def test_run_each_writes_every_table_and_raises_the_first_error(spark, raw):
 
     with pytest.raises(RuntimeError, match="t2 failed"):
         run_each(fail_on_t2, frames)
+
+
+def test_layer_writes_keep_every_core_busy(spark):
+    """A session that merges partitions by size alone must not leave a layer to one task."""
+    from lodgepole.plans.batch import write_layer
+
+    prefix = "spark.sql.adaptive.coalescePartitions."
+    conf = {f"{prefix}parallelismFirst": "false", f"{prefix}minPartitionSize": "1024"}
+    before = {c: spark.conf.get(c) for c in conf}
+    rows = spark.range(20_000).select(
+        F.col("id").alias("user_id"), (F.col("id") % 500).alias("apartment_id"), F.lit("06/01/2020").alias("viewed_at")
+    )
+    root = _root(spark, "cores")
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        staged, counts = write_layer(spark, {"user_viewing": rows.repartition("user_id").dropDuplicates()}, root, "raw_layer")
+        assert {c: spark.conf.get(c) for c in conf} == conf
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    files = staged["user_viewing"].select(F.input_file_name()).distinct().count()
+    assert counts == {"user_viewing": 20_000} and staged["user_viewing"].count() == 20_000
+    assert files > 2, files
